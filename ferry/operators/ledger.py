@@ -57,8 +57,13 @@ def of_key(ledger: DataFrame, key: str | None) -> DataFrame:
 
 
 def of_keys(ledger: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows whose key is among ``keys``."""
-    return ledger.join(distinct_keys(keys), "db", "left_semi").select(*ledger.columns)
+    """Rows whose key is among ``keys``.
+
+    The keys are staged so that their size is known and both sides of the join
+    are plain shuffles (see ``replace_by_key``).
+    """
+    asked = materialize(distinct_keys(keys), "keys")
+    return ledger.join(asked, "db", "left_semi").select(*ledger.columns)
 
 
 def latest_version(ledger: DataFrame, tie_break: str | None = None) -> DataFrame:

@@ -24,7 +24,7 @@ from ferry.operators.quality import validate_all
 from ferry.schemas import LEDGER, fits_user_table
 from ferry.sources import documents, objects, tables
 from ferry.sources.endpoint import Endpoint
-from ferry.sources.scratch import discard, materialize, path_exists
+from ferry.sources.scratch import discard, path_exists, stage
 
 
 class TransferError(RuntimeError):
@@ -146,6 +146,17 @@ class Stores:
     def write_storage(self, df: DataFrame, path: str, **more: Any) -> int:
         return self.write(df, "s3", path, **more)
 
+    def store_file(
+        self,
+        file: str,
+        path: str,
+        schema: StructType | None = None,
+        options: Mapping[str, Any] | None = None,
+        **more: Any,
+    ) -> int:
+        """Put a csv, json or parquet file that executors can read into storage."""
+        return self.write_storage(objects.read_file(self.spark, file, schema, options), path, **more)
+
     # -- readiness -----------------------------------------------------------
 
     def count(self, kind: str, name: str = LEDGER_CONTAINER) -> int:
@@ -245,8 +256,8 @@ class Stores:
         total = raw.count()
         if total == 0:
             raise TransferError(f"no data found in source: {source_name}")
-        staged = materialize(validate_all(raw, order_by=order_by), "users")
-        valid = staged.count()
+        copy = stage(validate_all(raw, order_by=order_by), "users")
+        staged, valid = copy.rows, copy.rows.count()
         if valid == 0:
             raise TransferError("no valid records after validation")
         if self.endpoint(target).is_table_store:
@@ -257,7 +268,7 @@ class Stores:
             )
         else:
             written = self.write(staged, target, target_name, mode)
-        discard(staged)
+        discard(copy)
         return UsersTransferred(total, valid, total - valid, written, source, target)
 
     def read_ledger(self, kind: str, name: str = LEDGER_CONTAINER) -> DataFrame:
@@ -268,13 +279,19 @@ class Stores:
         return self.read(kind, name)
 
     def write_ledger(self, df: DataFrame, kind: str, name: str = LEDGER_CONTAINER) -> int:
-        """Replace the ledger in a store with rows computed from it."""
-        staged = materialize(df, "ledger")
-        rows = self.write(
-            staged, kind, name, "overwrite",
-            staged=self.endpoint(kind).is_table_store,
-        )
-        discard(staged)
+        """Replace the ledger in a store with rows computed from it.
+
+        The new ledger is complete in scratch before the old one is touched,
+        and stays there if the store fails on the way.
+        """
+        copy = stage(df, "ledger")
+        try:
+            rows = self.write(
+                copy.rows, kind, name, "overwrite", staged=self.endpoint(kind).is_table_store
+            )
+        except Exception as e:
+            raise TransferError(f"{kind} {name} not replaced; the rows are in {copy.path}") from e
+        discard(copy)
         return rows
 
     def transfer_versions(

@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,7 +36,12 @@ def scratch_path(spark: SparkSession, name: str = "stage") -> str:
     return f"{scratch_root(spark)}/ferry/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+class Staged(NamedTuple):
+    rows: DataFrame
+    path: str
+
+
+def stage(df: DataFrame, name: str = "stage") -> Staged:
     """Write ``df`` to scratch and read it back.
 
     The copy is computed once, outlives lost executors, has a known size for
@@ -43,7 +49,12 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Staged(df.sparkSession.read.schema(df.schema).parquet(path), path)
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """The rows of ``stage``, for plans that go on from them."""
+    return stage(df, name).rows
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -62,11 +73,7 @@ def make_folder(spark: SparkSession, path: str) -> str:
     return path
 
 
-def discard(staged: DataFrame) -> None:
-    """Remove a copy made by ``materialize`` that is no longer needed."""
-    spark = staged.sparkSession
-    root = scratch_root(spark)
-    for path in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
-        if f"{root.split('://')[-1]}/ferry/" in path:
-            fs, jvm_path = _file_system(spark, path)
-            fs.delete(jvm_path, True)
+def discard(staged: Staged) -> None:
+    """Remove a staged copy that nothing reads any more."""
+    fs, jvm_path = _file_system(staged.rows.sparkSession, staged.path)
+    fs.delete(jvm_path, True)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ferry.fixed_values import LEDGER_CONTAINER
 from ferry.operators.quality import drop_surrogate_key
 from ferry.sources.endpoint import Endpoint
-from ferry.sources.scratch import discard, materialize
+from ferry.sources.scratch import discard, stage
 
 # Used where the endpoint does not say otherwise. Each write partition is one
 # connection, so their number is bounded; rows travel in batches both ways.
@@ -114,8 +114,8 @@ def write_table(
     """
     spark = df.sparkSession
     rows = drop_surrogate_key(df, surrogate_key)
-    if not staged:
-        rows = materialize(rows, "table")
+    copy = None if staged else stage(rows, "table")
+    rows = copy.rows if copy else rows
     expected = rows.count()
     before = _count_or_zero(spark, endpoint, table) if mode == "append" else 0
     options = {**JDBC_DEFAULTS, "numPartitions": str(WRITE_CONNECTIONS), **endpoint.options}
@@ -140,6 +140,6 @@ def write_table(
         raise VerificationError(
             f"{quoted(table)}: expected {expected} more rows, found {found}"
         )
-    if not staged:
-        discard(rows)
+    if copy:
+        discard(copy)
     return expected

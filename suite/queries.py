@@ -20,7 +20,7 @@ from ferry.fixtures import (
     raw_users,
     table,
 )
-from ferry.functions.rules import nonblank, valid_email, valid_phone
+from ferry.functions.rules import next_version, nonblank, valid_email, valid_phone
 from ferry.operators import ledger as ledgers, quality
 from ferry.plans import jobs
 from ferry.plans.report import append_report, failed, report, succeeded
@@ -28,7 +28,7 @@ from ferry.plans.transfer import Stores, TransferError
 from ferry.schemas import fits_user_table, schema_by_name
 from ferry.sources import documents, objects, synthetic, tables
 from ferry.sources.endpoint import Endpoint
-from ferry.sources.scratch import make_folder, scratch_path
+from ferry.sources.scratch import make_folder, materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -282,7 +282,7 @@ def upsert_by_id(spark, sf_dir):
     """Per key the highest version's row moves on in place, under its own id."""
     rows = ledger(spark, sf_dir)
     best = ledgers.latest_version(rows, tie_break="rid")
-    moved = best.withColumn("test_version", F.bround(F.col("test_version") + 0.1, 1))
+    moved = materialize(best.withColumn("test_version", next_version("test_version")))
     return ledgers.replace_by_key(rows, moved, "rid")
 
 
