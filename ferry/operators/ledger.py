@@ -9,6 +9,7 @@ the shuffle however many rows that key has.
 from __future__ import annotations
 
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, StringType
@@ -19,6 +20,13 @@ from ferry.sources.scratch import materialize
 
 AsOf = str | datetime | None
 
+# Up to this many keys, and bytes of them, become a filter.
+FILTER_KEYS = 1000
+FILTER_BYTES = 64 * 1024
+# Beyond that, keys are broadcast up to this size; a row costs some bytes more.
+BROADCAST_BYTES = 32 * 1024 * 1024
+ROW_OVERHEAD = 64
+
 
 def _moment(as_of: AsOf, kind: DataType) -> Column:
     """``as_of`` (default: now) in the type the ledger keeps its times in."""
@@ -43,12 +51,49 @@ def _top_row(ledger: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
+def _checked(rows: DataFrame) -> DataFrame:
+    """The rows; a NULL key among them is an error, as it would match nothing."""
+    refusal = F.raise_error(F.lit("a ledger key is NULL")).cast("string")
+    return rows.withColumn("db", F.coalesce(F.col("db"), refusal))
+
+
 def distinct_keys(keys: DataFrame) -> DataFrame:
-    """The keys, once each. A NULL key is an error: it would match nothing."""
-    checked = F.coalesce(
-        F.col("db"), F.raise_error(F.lit("a ledger key is NULL")).cast("string")
-    )
-    return keys.select(checked.alias("db")).distinct()
+    """The keys, once each."""
+    return _checked(keys.select("db")).distinct()
+
+
+class Asked(NamedTuple):
+    """Distinct keys, staged: computed once, counted and measured."""
+
+    rows: DataFrame
+    count: int
+    size: int
+
+
+def _asked(keys: DataFrame) -> Asked:
+    rows = materialize(distinct_keys(keys), "keys")
+    size = F.coalesce(F.sum(F.octet_length("db")), F.lit(0))
+    return Asked(rows, *rows.agg(F.count(F.lit(1)), size).first())
+
+
+def _narrowed(ledger: DataFrame, asked: Asked) -> DataFrame | None:
+    """The ledger's rows of ``asked`` without a shuffle, if there are few keys.
+
+    A handful becomes an IN filter, which a database or Parquet reader applies
+    itself. More are broadcast while their measured size allows. Beyond that
+    the answer is None and the caller goes over the whole ledger.
+    """
+    if asked.count <= FILTER_KEYS and asked.size <= FILTER_BYTES:
+        return ledger.filter(F.col("db").isin([r["db"] for r in asked.rows.collect()]))
+    if asked.size + asked.count * ROW_OVERHEAD <= BROADCAST_BYTES:
+        return ledger.join(F.broadcast(asked.rows), "db", "left_semi").select(*ledger.columns)
+    return None
+
+
+def _about(ledger: DataFrame, asked: Asked) -> DataFrame:
+    """The ledger, narrowed to the asked keys where that saves work."""
+    narrowed = _narrowed(ledger, asked)
+    return ledger if narrowed is None else narrowed
 
 
 def of_key(ledger: DataFrame, key: str | None) -> DataFrame:
@@ -59,11 +104,14 @@ def of_key(ledger: DataFrame, key: str | None) -> DataFrame:
 def of_keys(ledger: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows whose key is among ``keys``.
 
-    The keys are staged so that their size is known and both sides of the join
-    are plain shuffles (see ``replace_by_key``).
+    With many keys both sides of the join are plain shuffles, which adaptive
+    execution splits where one key holds much of the ledger.
     """
-    asked = materialize(distinct_keys(keys), "keys")
-    return ledger.join(asked, "db", "left_semi").select(*ledger.columns)
+    asked = _asked(keys)
+    narrowed = _narrowed(ledger, asked)
+    if narrowed is not None:
+        return narrowed
+    return ledger.join(asked.rows, "db", "left_semi").select(*ledger.columns)
 
 
 def latest_version(ledger: DataFrame, tie_break: str | None = None) -> DataFrame:
@@ -82,10 +130,9 @@ def highest_versions(ledger: DataFrame) -> DataFrame:
 
 def latest_version_or_zero(ledger: DataFrame, keys: DataFrame) -> DataFrame:
     """For every asked key its highest version, or 0 where it has none."""
-    return (
-        distinct_keys(keys)
-        .join(highest_versions(ledger), "db", "left")
-        .select("db", F.coalesce("test_version", F.lit(0.0)).alias("test_version"))
+    asked = _asked(keys)
+    return asked.rows.join(highest_versions(_about(ledger, asked)), "db", "left").select(
+        "db", F.coalesce("test_version", F.lit(0.0)).alias("test_version")
     )
 
 
@@ -162,16 +209,16 @@ def bump(
     stay those of the highest version; only the new row of a key remains.
     Without ``keys`` every key moves and the result is one aggregate.
     """
-    best = latest_version(ledger, tie_break)
     if new_version is not None:
         version = F.lit(float(new_version))
     else:
         version = F.coalesce(next_version("test_version"), F.lit(FIRST_VERSION))
     if keys is None:
-        return _with_versions(best, version, as_of, ledger)
-    asked = distinct_keys(keys).join(best, "db", "left")
-    updates = materialize(_with_versions(asked, version, as_of, ledger))
-    return replace_by_key(ledger, updates, "db")
+        return _with_versions(latest_version(ledger, tie_break), version, as_of, ledger)
+    asked = _asked(keys)
+    best = latest_version(_about(ledger, asked), tie_break)
+    moved = _with_versions(asked.rows.join(best, "db", "left"), version, as_of, ledger)
+    return replace_by_key(ledger, materialize(moved), "db")
 
 
 def transfer_versions(
@@ -186,13 +233,17 @@ def transfer_versions(
     A key the source lacks, or holds at 0.0, is set to 1.0. Without ``keys``
     all keys of the source are handed over.
     """
-    versions = highest_versions(source).withColumnRenamed("test_version", "_given")
+    def given(rows: DataFrame) -> DataFrame:
+        return highest_versions(rows).withColumnRenamed("test_version", "_given")
+
     if keys is None:
-        given = versions
+        handed = given(_checked(source))
+        best = latest_version(target, tie_break)
     else:
-        given = distinct_keys(keys).join(versions, "db", "left")
-    best = latest_version(target, tie_break)
+        asked = _asked(keys)
+        handed = asked.rows.join(given(_about(source, asked)), "db", "left")
+        best = latest_version(_about(target, asked), tie_break)
     moved = _with_versions(
-        given.join(best, "db", "left"), version_or_first("_given"), as_of, target
+        handed.join(best, "db", "left"), version_or_first("_given"), as_of, target
     )
     return replace_by_key(target, materialize(moved), "db")

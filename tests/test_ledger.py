@@ -8,7 +8,7 @@ from check import connect, difference
 from ferry.fixtures import AS_OF, ledger
 from ferry.operators import ledger as L
 from suite import oracles
-from tests.helpers import final_plan, rows
+from tests.helpers import final_plan, plan, rows
 
 T1, T2, T3 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
 NOW = datetime(2025, 1, 1)
@@ -174,8 +174,9 @@ def hot_ledger(spark, n=600_000):
     )
 
 
-def test_hot_key_is_split_in_the_join(spark, conf):
+def test_hot_key_is_split_in_the_join(spark, conf, monkeypatch):
     """Beyond the broadcast limit the hot key's rows go to several tasks."""
+    monkeypatch.setattr(L, "BROADCAST_BYTES", 0)
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="300KB",
@@ -201,6 +202,35 @@ def test_small_updates_are_broadcast_and_the_ledger_is_not_shuffled(spark, tmp_p
     assert "Exchange hashpartitioning" not in text
 
 
+def test_few_keys_become_a_filter(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    hot_ledger(spark, 5000).write.parquet(path)
+    df = spark.read.parquet(path)
+    few = plan(L.of_keys(df, keys(spark, "hot", "k1")))
+    assert "PushedFilters: [In(db, [hot,k1])]" in few or "PushedFilters: [In(db, [k1,hot])]" in few
+    assert L.of_keys(df, keys(spark)).count() == 0
+
+
+@pytest.mark.parametrize("filter_keys, broadcast_bytes", [(1000, 0), (0, 1 << 20), (0, 0)])
+def test_every_way_gives_the_same_rows(spark, sf, monkeypatch, filter_keys, broadcast_bytes):
+    df = ledger(spark, sf)
+    some = df.filter("db LIKE 'c%'").select("db").unionByName(keys(spark, "absent"))
+    source = df.withColumn("test_version", F.col("test_version") + 1)
+
+    def outcomes():
+        return [
+            rows(L.of_keys(df, some)),
+            rows(L.latest_version_or_zero(df, some)),
+            rows(L.bump(df, some, as_of=AS_OF, tie_break="rid")),
+            rows(L.transfer_versions(source, df, some, AS_OF, "rid")),
+        ]
+
+    expected = outcomes()
+    monkeypatch.setattr(L, "FILTER_KEYS", filter_keys)
+    monkeypatch.setattr(L, "BROADCAST_BYTES", broadcast_bytes)
+    assert outcomes() == expected
+
+
 def test_per_key_choices_reduce_before_the_shuffle(spark):
     df = hot_ledger(spark, 1000)
     assert "partial_max" in final_plan(L.compact(df, "rid"))
