@@ -214,7 +214,8 @@ def bump(
     else:
         version = F.coalesce(next_version("test_version"), F.lit(FIRST_VERSION))
     if keys is None:
-        return _with_versions(latest_version(ledger, tie_break), version, as_of, ledger)
+        best = latest_version(_checked(ledger), tie_break)
+        return _with_versions(best, version, as_of, ledger)
     asked = _asked(keys)
     best = latest_version(_about(ledger, asked), tie_break)
     moved = _with_versions(asked.rows.join(best, "db", "left"), version, as_of, ledger)

@@ -171,15 +171,14 @@ class Stores:
     def probe(self, kind: str, name: str = LEDGER_CONTAINER) -> None:
         """Fail unless the store can be reached; reads no rows.
 
-        A storage is reached when its root exists, a database when the
-        container can be opened.
+        A store in a folder is reached when the folder exists, another when
+        the container can be opened.
         """
         store = self.endpoint(kind)
-        path = store.path(name) if store.is_database else store.root
-        if store.root and not path_exists(self.spark, path):
-            raise FileNotFoundError(f"no such folder: {path}")
-        if store.is_database:
+        if not store.root:
             self.read(kind, name).schema
+        elif not path_exists(self.spark, store.root):
+            raise FileNotFoundError(f"no such folder: {store.root}")
 
     def readiness(self, wanted: Sequence[tuple[str, str]]) -> DataFrame:
         """(source, ok, row_count, error) for each (kind, container).
