@@ -8,14 +8,16 @@ the shuffle however many rows that key has.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
-from typing import NamedTuple
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, StringType
 
 from ferry.fixed_values import FIRST_VERSION
 from ferry.functions.rules import next_version, version_or_first
+from ferry.operators.matching import broadcastable, hot_keys, hottest, match, measure
 from ferry.sources.scratch import materialize
 
 AsOf = str | datetime | None
@@ -23,9 +25,6 @@ AsOf = str | datetime | None
 # Up to this many keys, and bytes of them, become a filter.
 FILTER_KEYS = 1000
 FILTER_BYTES = 64 * 1024
-# Beyond that, keys are broadcast up to this size; a row costs some bytes more.
-BROADCAST_BYTES = 32 * 1024 * 1024
-ROW_OVERHEAD = 64
 
 
 def _moment(as_of: AsOf, kind: DataType) -> Column:
@@ -39,15 +38,18 @@ def _moment(as_of: AsOf, kind: DataType) -> Column:
     return moment.cast(kind)
 
 
-def _top_row(ledger: DataFrame, order: list[str]) -> DataFrame:
+def _top_row(ledger: DataFrame, order: list[str], count_as: str | None = None) -> DataFrame:
     """The greatest row of each key by ``order``, then by the other columns."""
     rest = [c for c in ledger.columns if c != "db" and c not in order]
-    top = ledger.groupBy("db").agg(F.max(F.struct(*order, *rest)).alias("_top"))
-    return top.select(
+    found = [F.max(F.struct(*order, *rest)).alias("_top")]
+    if count_as:
+        found.append(F.count(F.lit(1)).alias(count_as))
+    return ledger.groupBy("db").agg(*found).select(
         *[
             F.col("db") if c == "db" else F.col("_top")[c].alias(c)
             for c in ledger.columns
-        ]
+        ],
+        *([count_as] if count_as else []),
     )
 
 
@@ -69,31 +71,47 @@ class Asked(NamedTuple):
     count: int
     size: int
 
+    @property
+    def few(self) -> bool:
+        return self.count <= FILTER_KEYS and self.size <= FILTER_BYTES
+
+    @property
+    def small(self) -> bool:
+        return self.few or broadcastable(self.count, self.size)
+
 
 def _asked(keys: DataFrame) -> Asked:
     rows = materialize(distinct_keys(keys), "keys")
-    size = F.coalesce(F.sum(F.octet_length("db")), F.lit(0))
-    return Asked(rows, *rows.agg(F.count(F.lit(1)), size).first())
+    return Asked(rows, *measure(rows, "db"))
 
 
-def _narrowed(ledger: DataFrame, asked: Asked) -> DataFrame | None:
-    """The ledger's rows of ``asked`` without a shuffle, if there are few keys.
+def _narrowed(ledger: DataFrame, asked: Asked) -> DataFrame:
+    """The ledger's rows of few or a small number of keys, without a shuffle.
 
     A handful becomes an IN filter, which a database or Parquet reader applies
-    itself. More are broadcast while their measured size allows. Beyond that
-    the answer is None and the caller goes over the whole ledger.
+    itself; more are broadcast, their size having been measured.
     """
-    if asked.count <= FILTER_KEYS and asked.size <= FILTER_BYTES:
+    if asked.few:
         return ledger.filter(F.col("db").isin([r["db"] for r in asked.rows.collect()]))
-    if asked.size + asked.count * ROW_OVERHEAD <= BROADCAST_BYTES:
-        return ledger.join(F.broadcast(asked.rows), "db", "left_semi").select(*ledger.columns)
-    return None
+    return ledger.join(F.broadcast(asked.rows), "db", "left_semi").select(*ledger.columns)
 
 
 def _about(ledger: DataFrame, asked: Asked) -> DataFrame:
-    """The ledger, narrowed to the asked keys where that saves work."""
-    narrowed = _narrowed(ledger, asked)
-    return ledger if narrowed is None else narrowed
+    """The ledger, narrowed to the asked keys where that takes no shuffle."""
+    return _narrowed(ledger, asked) if asked.small else ledger
+
+
+def _best(
+    ledger: DataFrame, asked: Asked, tie_break: str | None
+) -> tuple[DataFrame, list[str] | None]:
+    """Rows of the highest versions of at least the asked keys, and hot keys.
+
+    Where the whole ledger is gone over, rows are counted in the same pass.
+    """
+    if asked.small:
+        return latest_version(_narrowed(ledger, asked), tie_break), None
+    counted = materialize(_top_row(ledger, _by_version(tie_break), "_rows"), "best")
+    return counted.drop("_rows"), hottest(counted, "db", "_rows")
 
 
 def of_key(ledger: DataFrame, key: str | None) -> DataFrame:
@@ -102,16 +120,15 @@ def of_key(ledger: DataFrame, key: str | None) -> DataFrame:
 
 
 def of_keys(ledger: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows whose key is among ``keys``.
-
-    With many keys both sides of the join are plain shuffles, which adaptive
-    execution splits where one key holds much of the ledger.
-    """
+    """Rows whose key is among ``keys``."""
     asked = _asked(keys)
-    narrowed = _narrowed(ledger, asked)
-    if narrowed is not None:
-        return narrowed
-    return ledger.join(asked.rows, "db", "left_semi").select(*ledger.columns)
+    if asked.small:
+        return _narrowed(ledger, asked)
+    return match(ledger, asked.rows, "db", "left_semi", hot_keys(ledger, "db"))
+
+
+def _by_version(tie_break: str | None) -> list[str]:
+    return ["test_version", "updated_at"] + ([tie_break] if tie_break else [])
 
 
 def latest_version(ledger: DataFrame, tie_break: str | None = None) -> DataFrame:
@@ -119,8 +136,7 @@ def latest_version(ledger: DataFrame, tie_break: str | None = None) -> DataFrame
 
     Equal versions go to the latest update, then to the highest ``tie_break``.
     """
-    order = ["test_version", "updated_at"] + ([tie_break] if tie_break else [])
-    return _top_row(ledger, order)
+    return _top_row(ledger, _by_version(tie_break))
 
 
 def highest_versions(ledger: DataFrame) -> DataFrame:
@@ -172,16 +188,23 @@ def create(
     return ledger.unionByName(new_rows(keys, ledger, version, as_of))
 
 
-def replace_by_key(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+def replace_by_key(
+    target: DataFrame, updates: DataFrame, key: str, hot: Sequence[Any] | None = None
+) -> DataFrame:
     """Rows of ``target`` whose key is not in ``updates``, and the updates.
 
-    ``updates`` is used twice, so pass something cheap to read again. When it
-    is small its measured size lets the optimizer broadcast it and the target
-    is not shuffled. Otherwise both sides of the join are plain shuffles, which
-    adaptive execution splits where one key holds much of the target.
+    ``updates`` is read several times, so pass something staged. Small updates
+    are broadcast, their size having been measured, and the target is not
+    shuffled. Otherwise hot keys of the target are spread over many tasks; they
+    are counted unless ``hot`` names them (empty for a key without repeats).
     """
-    kept = target.join(updates.select(key), key, "left_anti")
-    return kept.select(*target.columns).unionByName(updates)
+    names = updates.select(key)
+    if broadcastable(*measure(names, key)):
+        kept = target.join(F.broadcast(names), key, "left_anti").select(*target.columns)
+    else:
+        hot = hot_keys(target, key) if hot is None else hot
+        kept = match(target, names, key, "left_anti", hot)
+    return kept.unionByName(updates)
 
 
 def _with_versions(rows: DataFrame, version: Column, as_of: AsOf, like: DataFrame) -> DataFrame:
@@ -217,9 +240,9 @@ def bump(
         best = latest_version(_checked(ledger), tie_break)
         return _with_versions(best, version, as_of, ledger)
     asked = _asked(keys)
-    best = latest_version(_about(ledger, asked), tie_break)
+    best, hot = _best(ledger, asked, tie_break)
     moved = _with_versions(asked.rows.join(best, "db", "left"), version, as_of, ledger)
-    return replace_by_key(ledger, materialize(moved), "db")
+    return replace_by_key(ledger, materialize(moved), "db", hot)
 
 
 def transfer_versions(
@@ -239,12 +262,12 @@ def transfer_versions(
 
     if keys is None:
         handed = given(_checked(source))
-        best = latest_version(target, tie_break)
+        best, hot = latest_version(target, tie_break), None
     else:
         asked = _asked(keys)
         handed = asked.rows.join(given(_about(source, asked)), "db", "left")
-        best = latest_version(_about(target, asked), tie_break)
+        best, hot = _best(target, asked, tie_break)
     moved = _with_versions(
         handed.join(best, "db", "left"), version_or_first("_given"), as_of, target
     )
-    return replace_by_key(target, materialize(moved), "db")
+    return replace_by_key(target, materialize(moved), "db", hot)

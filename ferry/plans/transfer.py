@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from ferry.fixed_values import (
     DATABASES,
+    FIRST_VERSION,
     LEDGER_CONTAINER,
     STORAGES,
     USER_TABLE_LENGTHS,
@@ -270,6 +271,8 @@ class Stores:
         discard(copy)
         return UsersTransferred(total, valid, total - valid, written, source, target)
 
+    # -- the ledger in a store -----------------------------------------------
+
     def read_ledger(self, kind: str, name: str = LEDGER_CONTAINER) -> DataFrame:
         """The ledger in a store, or an empty one where there is none yet."""
         store = self.endpoint(kind)
@@ -277,6 +280,44 @@ class Stores:
             return self.spark.createDataFrame([], store.schemas.get(name, LEDGER))
         return self.read(kind, name)
 
+    def latest_version(
+        self, kind: str, key: str, name: str = LEDGER_CONTAINER
+    ) -> float | None:
+        """The highest version of one key, or None; the store filters by key."""
+        rows = ledgers.of_key(self.read_ledger(kind, name), key)
+        return ledgers.highest_versions(rows).agg({"test_version": "max"}).first()[0]
+
+    def create_versions(
+        self,
+        kind: str,
+        keys: DataFrame,
+        version: float = FIRST_VERSION,
+        name: str = LEDGER_CONTAINER,
+        as_of: ledgers.AsOf = None,
+    ) -> int:
+        """Append a first row for each key."""
+        like = self.read_ledger(kind, name)
+        return self.write(ledgers.new_rows(keys, like, version, as_of), kind, name, "append")
+
+    def bump_versions(
+        self,
+        kind: str,
+        keys: DataFrame | None = None,
+        new_version: float | None = None,
+        name: str = LEDGER_CONTAINER,
+        as_of: ledgers.AsOf = None,
+        tie_break: str | None = None,
+    ) -> int:
+        """Move keys of a store's ledger on, or set them to ``new_version``."""
+        moved = ledgers.bump(self.read_ledger(kind, name), keys, new_version, as_of, tie_break)
+        return self.write_ledger(moved, kind, name)
+
+    def compact_ledger(
+        self, kind: str, name: str = LEDGER_CONTAINER, tie_break: str | None = None
+    ) -> int:
+        """Keep only the most recently updated row of each key."""
+        return self.write_ledger(ledgers.compact(self.read_ledger(kind, name), tie_break), kind, name)
+
     def write_ledger(self, df: DataFrame, kind: str, name: str = LEDGER_CONTAINER) -> int:
         """Replace the ledger in a store with rows computed from it.
 

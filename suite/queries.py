@@ -283,7 +283,7 @@ def upsert_by_id(spark, sf_dir):
     rows = ledger(spark, sf_dir)
     best = ledgers.latest_version(rows, tie_break="rid")
     moved = materialize(best.withColumn("test_version", next_version("test_version")))
-    return ledgers.replace_by_key(rows, moved, "rid")
+    return ledgers.replace_by_key(rows, moved, "rid", hot=())
 
 
 @query
@@ -446,7 +446,7 @@ def synthetic_users(spark, sf_dir):
 def literal_versions(spark, sf_dir):
     """The literal documents put into the event ledger's documents by id."""
     return ledgers.replace_by_key(
-        ledger_documents(spark, sf_dir), synthetic.literal_documents(spark), "_id"
+        ledger_documents(spark, sf_dir), synthetic.literal_documents(spark), "_id", hot=()
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from check import connect, difference
 from ferry.fixtures import AS_OF, ledger
-from ferry.operators import ledger as L
+from ferry.operators import ledger as L, matching
 from suite import oracles
 from tests.helpers import final_plan, plan, rows
 
@@ -174,24 +174,58 @@ def hot_ledger(spark, n=600_000):
     )
 
 
-def test_hot_key_is_split_in_the_join(spark, conf, monkeypatch):
-    """Beyond the broadcast limit the hot key's rows go to several tasks."""
-    monkeypatch.setattr(L, "BROADCAST_BYTES", 0)
-    conf(
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="300KB",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="200KB",
-    )
+@pytest.fixture
+def large(conf, monkeypatch):
+    """Act as if keys were too many to broadcast."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    monkeypatch.setattr(L, "FILTER_KEYS", 0)
+    monkeypatch.setattr(matching, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(matching, "HOT_ROWS", 10_000)
+
+
+def largest_share(df):
+    """The largest part of the rows in one partition."""
+    counts = [r[1] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(counts) / sum(counts)
+
+
+def test_hot_keys_are_found(spark, large):
+    df = hot_ledger(spark, 60_000)
+    assert matching.hot_keys(df, "db") == ["hot"]
+    assert matching.hot_keys(df.filter("db <> 'hot'"), "db") == []
+
+
+def test_hot_key_is_spread_in_the_join(spark, large, conf):
+    """A key with a third of the rows does not meet in one task."""
+    conf(spark__sql__adaptive__enabled="false")
+    df = hot_ledger(spark)
+    some = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("db"))
+    plain = matching.match(df, some, "db", "left_anti")
+    spread = matching.match(df, some, "db", "left_anti", ["hot"])
+    assert largest_share(plain) > 0.45
+    assert largest_share(spread) < 0.32  # four partitions
+    assert plain.count() == spread.count()
+    same = df.select(F.lit("hot").alias("db"), F.lit(1).alias("v"))  # equal rows only
+    assert largest_share(matching.match(same, some, "db", "left_anti", ["hot"])) < 0.6
+    both = some.unionByName(keys(spark, "hot"))
+    for how in ("left_semi", "left_anti"):
+        a, b = (matching.match(df, both, "db", how, hot) for hot in ((), ["hot"]))
+        assert a.count() == b.count()
+        assert a.agg(F.sum(F.hash(*df.columns))).first() == b.agg(F.sum(F.hash(*df.columns))).first()
+
+
+def test_large_bump_counts_in_the_same_pass(spark, large, monkeypatch):
+    def never(*a):
+        raise AssertionError("the ledger was counted once more")
+
+    monkeypatch.setattr(L, "hot_keys", never)
     df = hot_ledger(spark)
     some = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("db"))
     moved = L.bump(df, some, as_of=AS_OF, tie_break="rid")
-    assert "skew=true" in final_plan(moved)
-    assert "skew=true" in final_plan(L.of_keys(df, some))
+    assert "_place" in plan(moved)
     # 200,000 hot rows stay, and each touched key keeps one row of its eight.
     touched = df.filter("db <> 'hot' AND substr(db, 2) < 20000")
-    expected = df.count() - touched.count() + 20_000
-    assert moved.count() == expected
+    assert moved.count() == df.count() - touched.count() + 20_000
 
 
 def test_small_updates_are_broadcast_and_the_ledger_is_not_shuffled(spark, tmp_path):
@@ -200,6 +234,8 @@ def test_small_updates_are_broadcast_and_the_ledger_is_not_shuffled(spark, tmp_p
     text = final_plan(L.bump(spark.read.parquet(path), keys(spark, "hot", "k1"), as_of=AS_OF))
     assert "BroadcastHashJoin" in text
     assert "Exchange hashpartitioning" not in text
+    text = final_plan(L.of_keys(spark.read.parquet(path), keys(spark, *[f"k{i}" for i in range(2000)])))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
 def test_few_keys_become_a_filter(spark, tmp_path):
@@ -211,8 +247,12 @@ def test_few_keys_become_a_filter(spark, tmp_path):
     assert L.of_keys(df, keys(spark)).count() == 0
 
 
-@pytest.mark.parametrize("filter_keys, broadcast_bytes", [(1000, 0), (0, 1 << 20), (0, 0)])
-def test_every_way_gives_the_same_rows(spark, sf, monkeypatch, filter_keys, broadcast_bytes):
+@pytest.mark.parametrize("filter_keys, broadcast_bytes, hot_rows", [
+    (1000, 0, 1), (0, 1 << 20, 1), (0, 0, 10), (0, 0, 1 << 40),
+])
+def test_every_way_gives_the_same_rows(
+    spark, sf, monkeypatch, filter_keys, broadcast_bytes, hot_rows
+):
     df = ledger(spark, sf)
     some = df.filter("db LIKE 'c%'").select("db").unionByName(keys(spark, "absent"))
     source = df.withColumn("test_version", F.col("test_version") + 1)
@@ -223,11 +263,13 @@ def test_every_way_gives_the_same_rows(spark, sf, monkeypatch, filter_keys, broa
             rows(L.latest_version_or_zero(df, some)),
             rows(L.bump(df, some, as_of=AS_OF, tie_break="rid")),
             rows(L.transfer_versions(source, df, some, AS_OF, "rid")),
+            rows(L.transfer_versions(source, df, None, AS_OF, "rid")),
         ]
 
     expected = outcomes()
     monkeypatch.setattr(L, "FILTER_KEYS", filter_keys)
-    monkeypatch.setattr(L, "BROADCAST_BYTES", broadcast_bytes)
+    monkeypatch.setattr(matching, "BROADCAST_BYTES", broadcast_bytes)
+    monkeypatch.setattr(matching, "HOT_ROWS", hot_rows)
     assert outcomes() == expected
 
 

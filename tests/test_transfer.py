@@ -188,6 +188,31 @@ def test_ledger_job_on_each_database(filled):
     assert filled.count("postgresql") == 1
 
 
+@pytest.mark.parametrize("kind", ["mongodb", "postgresql"])
+def test_ledger_of_a_store(spark, filled, kind):
+    one = spark.createDataFrame([("x",)], "db string")
+    assert filled.latest_version(kind, "x") is None
+    assert filled.create_versions(kind, one, as_of="2024-01-01") == 1
+    assert filled.create_versions(kind, one, 3.0, as_of="2024-01-02") == 1
+    assert filled.latest_version(kind, "x") == 3.0
+    assert filled.count(kind) == 3
+    filled.compact_ledger(kind)
+    assert filled.count(kind) == 2
+    filled.bump_versions(kind, one)
+    assert filled.latest_version(kind, "x") == 3.1
+    filled.bump_versions(kind, one, 0.0)
+    assert filled.latest_version(kind, "x") == 0.0
+    filled.bump_versions(kind)
+    assert filled.latest_version(kind, "x") == 0.1
+    assert filled.count(kind) == 2
+
+
+def test_first_version_in_a_store_without_a_ledger(spark, stores):
+    one = spark.createDataFrame([("x",)], "db string")
+    stores.create_versions("mongodb", one)
+    assert stores.latest_version("mongodb", "x") == 1.0
+
+
 def test_failed_replacement_keeps_the_rows(spark, filled, monkeypatch):
     def broken(*a, **k):
         raise OSError("disk")
