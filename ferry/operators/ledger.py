@@ -198,8 +198,15 @@ def replace_by_key(
     shuffled. Otherwise hot keys of the target are spread over many tasks; they
     are counted unless ``hot`` names them (empty for a key without repeats).
     """
+    small = broadcastable(*measure(updates, key))
+    return _replace(target, updates, key, small, hot)
+
+
+def _replace(
+    target: DataFrame, updates: DataFrame, key: str, small: bool, hot: Sequence[Any] | None
+) -> DataFrame:
     names = updates.select(key)
-    if broadcastable(*measure(names, key)):
+    if small:
         kept = target.join(F.broadcast(names), key, "left_anti").select(*target.columns)
     else:
         hot = hot_keys(target, key) if hot is None else hot
@@ -242,7 +249,7 @@ def bump(
     asked = _asked(keys)
     best, hot = _best(ledger, asked, tie_break)
     moved = _with_versions(asked.rows.join(best, "db", "left"), version, as_of, ledger)
-    return replace_by_key(ledger, materialize(moved), "db", hot)
+    return _replace(ledger, materialize(moved), "db", asked.small, hot)
 
 
 def transfer_versions(
@@ -261,13 +268,13 @@ def transfer_versions(
         return highest_versions(rows).withColumnRenamed("test_version", "_given")
 
     if keys is None:
-        handed = given(_checked(source))
-        best, hot = latest_version(target, tie_break), None
+        best = latest_version(target, tie_break)
+        handed = given(_checked(source)).join(best, "db", "left")
     else:
         asked = _asked(keys)
-        handed = asked.rows.join(given(_about(source, asked)), "db", "left")
         best, hot = _best(target, asked, tie_break)
-    moved = _with_versions(
-        handed.join(best, "db", "left"), version_or_first("_given"), as_of, target
-    )
-    return replace_by_key(target, materialize(moved), "db", hot)
+        handed = asked.rows.join(given(_about(source, asked)), "db", "left").join(best, "db", "left")
+    moved = materialize(_with_versions(handed, version_or_first("_given"), as_of, target))
+    if keys is None:
+        return replace_by_key(target, moved, "db")
+    return _replace(target, moved, "db", asked.small, hot)
