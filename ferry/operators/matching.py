@@ -31,9 +31,9 @@ def broadcastable(count: int, size: int) -> bool:
 
 
 def hottest(counts: DataFrame, key: str, rows: str) -> list[Any]:
-    """The keys with the most rows, from a DataFrame of counts."""
+    """The keys with the most rows, from a DataFrame of counts; None may be one."""
     top = counts.filter(F.col(rows) >= HOT_ROWS).orderBy(F.desc(rows)).limit(HOT_KEYS)
-    return [r[key] for r in top.select(key).collect() if r[key] is not None]
+    return [r[key] for r in top.select(key).collect()]
 
 
 def hot_keys(rows: DataFrame, key: str) -> list[Any]:
@@ -54,7 +54,9 @@ def match(
         return rows.join(keys, key, how).select(*rows.columns)
     places = max(PLACES, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     hashable = [f.name for f in rows.schema if not isinstance(f.dataType, (MapType, VariantType))]
-    is_hot, home = F.col(key).isin(list(hot)), F.lit(0).cast("bigint")
+    is_hot, home = F.col(key).isin([h for h in hot if h is not None]), F.lit(0).cast("bigint")
+    if None in hot:
+        is_hot = is_hot | F.col(key).isNull()
     somewhere = F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), F.lit(places))
     spread = rows.withColumn("_place", F.when(is_hot, somewhere).otherwise(home))
     everywhere = F.sequence(home, F.lit(places - 1).cast("bigint"))

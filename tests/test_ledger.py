@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -162,6 +163,52 @@ FROM keys k LEFT JOIN given g ON g.db = k.db LEFT JOIN best b ON b.db = k.db"""
     assert difference(got, connect(sf), sql) is None
 
 
+# -- against the procedure for one key at a time ------------------------------
+
+
+def one_key(records, key, new_version, now):
+    """Append a row with the next version, then keep the latest of the key."""
+    mine = [r for r in records if r[0] == key]
+    if not mine:
+        return records + [(key, 1.0 if new_version is None else new_version, now, now, None)]
+    top = max(mine, key=lambda r: (r[1], r[3], r[4]))
+    version = round(top[1] + 0.1, 1) if new_version is None else new_version
+    appended = records + [(key, version, top[2], now, top[4])]
+    latest = max((r for r in appended if r[0] == key), key=lambda r: r[3])
+    return [r for r in appended if r[0] != key] + [latest]
+
+
+moments = st.integers(1, 28).map(lambda d: datetime(2024, 1, d))
+records = st.lists(
+    st.tuples(st.sampled_from("abcd"), st.integers(0, 40).map(lambda n: n / 10), moments, moments),
+    max_size=10,
+).map(lambda rs: [(*r, i) for i, r in enumerate(rs)])
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(records, st.lists(st.sampled_from("abxy"), min_size=1, max_size=3), st.sampled_from([None, 0.0, 2.5]))
+def test_bump_equals_one_key_at_a_time(spark, rs, names, new_version):
+    expected = rs
+    for name in set(names):
+        expected = one_key(expected, name, new_version, NOW)
+    got = L.bump(make(spark, *rs), keys(spark, *names), new_version, AS_OF, "id")
+    assert rows(got) == sorted(expected, key=lambda r: tuple(str(v) for v in r))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(records, records, st.lists(st.sampled_from("abxy"), min_size=1, max_size=3))
+def test_transfer_equals_one_key_at_a_time(spark, source, target, names):
+    expected = target
+    for name in set(names):
+        given_version = max((r[1] for r in source if r[0] == name), default=None)
+        expected = one_key(expected, name, given_version or 1.0, NOW)
+    got = L.transfer_versions(make(spark, *source), make(spark, *target), keys(spark, *names), AS_OF, "id")
+    assert rows(got) == sorted(expected, key=lambda r: tuple(str(v) for v in r))
+
+
+# -- hot keys ----------------------------------------------------------------
+
+
 def hot_ledger(spark, n=600_000):
     """A third of all rows belongs to one key."""
     i = F.col("id")
@@ -214,6 +261,19 @@ def test_hot_key_is_spread_in_the_join(spark, large, conf):
         assert a.agg(F.sum(F.hash(*df.columns))).first() == b.agg(F.sum(F.hash(*df.columns))).first()
 
 
+def test_null_keys_are_spread_too(spark, large, conf):
+    conf(spark__sql__adaptive__enabled="false")
+    df = hot_ledger(spark).withColumn("db", F.when(F.col("db") != "hot", F.col("db")))
+    some = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("db"))
+    assert matching.hot_keys(df, "db") == [None]
+    kept = L.replace_by_key(df, df.limit(0).unionByName(df.filter("false")), "db")
+    assert kept.count() == df.count()
+    spread = matching.match(df, some, "db", "left_anti", [None])
+    assert largest_share(spread) < 0.32
+    assert spread.filter("db IS NULL").count() == 200_000
+    assert matching.match(df, some, "db", "left_semi", [None]).filter("db IS NULL").count() == 0
+
+
 def test_large_bump_counts_in_the_same_pass(spark, large, monkeypatch):
     def never(*a):
         raise AssertionError("the ledger was counted once more")
