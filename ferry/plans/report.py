@@ -14,18 +14,21 @@ from ferry.sources.objects import write_dataset
 REPORT = (
     "success boolean, status boolean, message string, error string, "
     "row_count bigint, total bigint, valid bigint, invalid bigint, "
-    "source string, target string"
+    "source string, target string, details map<string,string>"
 )
 
 
-def succeeded(outcome: Transferred | UsersTransferred, message: str = "") -> dict[str, Any]:
-    """A report record for a finished transfer."""
+def succeeded(
+    outcome: Transferred | UsersTransferred, message: str = "", **details: str
+) -> dict[str, Any]:
+    """A report record for a finished transfer, with any further details."""
     record = {
         "success": True,
         "status": True,
         "message": message or f"{outcome.source} to {outcome.target}",
         "source": outcome.source,
         "target": outcome.target,
+        "details": details,
     }
     if isinstance(outcome, UsersTransferred):
         return record | {
@@ -37,7 +40,9 @@ def succeeded(outcome: Transferred | UsersTransferred, message: str = "") -> dic
     return record | {"row_count": outcome.row_count}
 
 
-def failed(message: str, error: Exception, source: str = "", target: str = "") -> dict[str, Any]:
+def failed(
+    message: str, error: Exception, source: str = "", target: str = "", **details: str
+) -> dict[str, Any]:
     """A report record for a transfer that raised ``error``."""
     return {
         "success": False,
@@ -46,6 +51,7 @@ def failed(message: str, error: Exception, source: str = "", target: str = "") -
         "error": str(error),
         "source": source or None,
         "target": target or None,
+        "details": details,
     }
 
 

@@ -198,9 +198,12 @@ class Stores:
         )
 
     def require(self, *kinds: str) -> None:
-        """Raise one error naming every store that cannot be reached."""
+        """Raise one error naming every store that cannot be reached.
+
+        Without kinds, all stores are tried.
+        """
         failures = []
-        for kind in kinds:
+        for kind in kinds or self._by_kind:
             try:
                 self.probe(kind)
             except Exception as e:

@@ -18,13 +18,15 @@ EXACT_CSV = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
-# JSON options that keep columns holding only NULLs, and microseconds.
-EXACT_JSON_WRITE = {"ignoreNullFields": "false"}
-EXACT_JSON = {
+# Written with microseconds; readers recognise them, and other forms, by default.
+EXACT_TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
+# Columns holding only NULLs stay visible to a reader that infers the schema.
+EXACT_JSON_WRITE = {"ignoreNullFields": "false"}
+
 # Headerless pipe-separated extracts.
 PIPE_DAT = {
     "sep": "|",
@@ -78,9 +80,9 @@ def resolve_path(
 
 def _format_defaults(format: str, writing: bool) -> dict[str, str]:
     if format == "csv":
-        return dict(EXACT_CSV)
-    if format == "json":
-        return EXACT_JSON | (EXACT_JSON_WRITE if writing else {})
+        return EXACT_CSV | (EXACT_TIMES if writing else {})
+    if format == "json" and writing:
+        return EXACT_JSON_WRITE | EXACT_TIMES
     if format == "delta" and writing:
         return {"mergeSchema": "true", "overwriteSchema": "true"}
     return {}

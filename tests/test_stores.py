@@ -65,11 +65,23 @@ def test_csv_defaults_can_be_overridden(spark, tmp_path):
     assert got.columns == ["_c0", "_c1"] and got.count() == 1
 
 
-def test_microseconds_survive_json(spark, tmp_path, sf):
-    df = ledger(spark, sf)
+@pytest.mark.parametrize("format", ["json", "csv"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_microseconds_survive_text(spark, tmp_path, sf, format, kind):
+    df = ledger(spark, sf).withColumns({c: F.col(c).cast(kind) for c in ("created_at", "updated_at")})
     path = str(tmp_path / "d")
-    objects.write_dataset(df, path, "json")
-    assert rows(objects.read_dataset(spark, path, "json", df.schema)) == rows(df)
+    objects.write_dataset(df, path, format)
+    assert rows(objects.read_dataset(spark, path, format, df.schema)) == rows(df)
+
+
+@pytest.mark.parametrize("text", [
+    "2024-01-02T03:04:05", "2024-01-02T03:04:05.000", "2024-01-02T03:04:05Z",
+    "2024-01-02 03:04:05", "2024-01-02T03:04:05.000Z",
+])
+def test_other_time_formats_are_read(spark, tmp_path, text):
+    (tmp_path / "x.json").write_text('{"t": "%s"}\n' % text)
+    got = objects.read_dataset(spark, str(tmp_path), "json", "t timestamp").first()[0]
+    assert got == datetime(2024, 1, 2, 3, 4, 5)
 
 
 def test_json_keeps_columns_of_nulls(spark, tmp_path):

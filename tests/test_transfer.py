@@ -158,7 +158,7 @@ def test_require_names_all_failures(spark, tmp_path):
         [Endpoint("mongodb", "json", str(tmp_path / "no")), derby(), Endpoint("s3", "parquet", str(tmp_path / "nope"))],
     )
     with pytest.raises(TransferError) as e:
-        broken.require("mongodb", "postgresql", "s3")
+        broken.require()
     assert all(kind in str(e.value) for kind in ("mongodb", "postgresql", "s3"))
 
 
@@ -257,7 +257,7 @@ def test_report(spark, filled, tmp_path):
     plain = jobs.ledger_to_storage(filled, "mongodb")
     lost = failed("s3 to mongodb", TransferError("no data"), "s3", "mongodb")
     audit = Endpoint("s3", "parquet", str(tmp_path))
-    for records in ([succeeded(done), lost], [succeeded(plain, "ledger copied")]):
+    for records in ([succeeded(done), lost], [succeeded(plain, "ledger copied", run="7")]):
         append_report(report(spark, records), audit)
     got = spark.read.parquet(str(tmp_path / "audit"))
     assert got.count() == 3
@@ -265,7 +265,8 @@ def test_report(spark, filled, tmp_path):
     assert (bad["error"], bad["row_count"]) == ("no data", None)
     users = got.filter("total IS NOT NULL").first()
     assert (users["total"], users["valid"], users["invalid"]) == (1500, 984, 516)
-    assert got.filter("message = 'ledger copied'").first()["row_count"] == 1
+    copied = got.filter("message = 'ledger copied'").first()
+    assert (copied["row_count"], copied["details"]) == (1, {"run": "7"})
 
 
 def test_jdbc_ledger_is_read_in_parts(spark, stores):
