@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ferry.fixed_values import OBJECT_SCHEME
+from ferry.sources.sizing import sized_for
 
 # CSV options under which NULL, '' and blanks come back as they were written.
 EXACT_CSV = {
@@ -211,5 +212,6 @@ def write_dataset(
     )
     if columns:
         writer = writer.partitionBy(*columns)
-    writer.save(path)
+    with sized_for(df):
+        writer.save(path)
     return rows.get["n"]

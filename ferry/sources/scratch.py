@@ -10,6 +10,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ferry.sources.sizing import sized_for
+
 _local_roots: dict[str, str] = {}
 
 
@@ -48,7 +50,8 @@ def stage(df: DataFrame, name: str = "stage") -> Staged:
     the optimizer and can be counted from file footers.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with sized_for(df):
+        df.write.parquet(path)
     return Staged(df.sparkSession.read.schema(df.schema).parquet(path), path)
 
 
