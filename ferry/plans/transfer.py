@@ -167,7 +167,9 @@ class Stores:
             return tables.count_rows(self.spark, store, name)
         if store.root and not path_exists(self.spark, store.path(name)):
             raise FileNotFoundError(f"no such folder: {store.path(name)}")
-        return self.read(kind, name).count()
+        # Counting needs no columns; naming one spares JSON the pass that infers them.
+        schema = StructType().add("_id", "string") if store.format == "json" else None
+        return self.read(kind, name, schema).count()
 
     def probe(self, kind: str, name: str = LEDGER_CONTAINER) -> None:
         """Fail unless the store can be reached; reads no rows.

@@ -15,13 +15,18 @@ from ferry.sources.sizing import sized_for
 _local_roots: dict[str, str] = {}
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process."""
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; a temporary folder only in local mode."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if master != "local" and not master.startswith("local["):
+    if not is_local(spark):
         raise RuntimeError(
             "set spark.checkpoint.dir to a folder that all executors share"
         )

@@ -139,7 +139,8 @@ def synthetic_users() -> str:
     side = draw("id", 3, "2")
     return f"""keyed AS (
   SELECT o_orderkey AS id, {kind('o_orderkey')} AS kind,
-         CASE WHEN o_orderkey > 0 THEN {draw('o_orderkey', 6, 'CASE WHEN o_orderkey > 0 THEN o_orderkey ELSE 1 END')} END AS earlier
+         CASE WHEN o_orderkey > 0
+              THEN {draw('o_orderkey', 6, 'greatest(o_orderkey, 1)')} END AS earlier
   FROM orders),
 linked AS (
   SELECT *, CASE WHEN kind = 'duplicate_email' THEN {kind('earlier')} END AS earlier_kind

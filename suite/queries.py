@@ -28,7 +28,7 @@ from ferry.plans.transfer import Stores, TransferError
 from ferry.schemas import fits_user_table, schema_by_name
 from ferry.sources import documents, objects, synthetic, tables
 from ferry.sources.endpoint import Endpoint
-from ferry.sources.scratch import make_folder, materialize, scratch_path
+from ferry.sources.scratch import is_local, make_folder, materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -61,7 +61,7 @@ def _relational(spark: SparkSession) -> Endpoint:
         return Endpoint(
             "postgresql", "jdbc", options=options | {"url": url} | ({"driver": driver} if driver else {})
         )
-    if not spark.conf.get("spark.master", "").startswith("local["):
+    if not is_local(spark):
         raise RuntimeError("set spark.ferry.jdbc.url to a database all executors reach")
     return Endpoint(
         "postgresql",

@@ -7,7 +7,7 @@ from ferry.fixtures import ledger, raw_users
 from ferry.schemas import RAW_USER
 from ferry.sources import documents, objects, scratch, tables
 from ferry.sources.endpoint import Endpoint
-from tests.helpers import derby, final_plan, plan, rows
+from tests.helpers import derby, plan, rows
 
 VARCHAR = {c: "VARCHAR(255)" for c in ("k", "v", "db", "email", "name")}
 
@@ -120,7 +120,8 @@ def test_partitioned_write_splits_a_hot_value(spark, tmp_path, conf):
     )
     path = str(tmp_path / "d")
     df = spark.range(0, 300_000, 1, 16).select(
-        F.xxhash64("id").alias("v"), F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 20).cast("string")).alias("p")
+        F.xxhash64("id").alias("v"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 20).cast("string")).alias("p"),
     )
     objects.write_dataset(df, path, "parquet", partition_by="p")
     assert len(spark.read.parquet(path + "/p=hot").inputFiles()) > 2

@@ -246,7 +246,12 @@ def test_routes(spark, stores, tmp_path):
     table = {"type": "database", "properties": {"storage": "postgresql", "table": LEDGER_CONTAINER}}
     done = jobs.run_route(stores, {"src": side, "dest": table})
     assert done.row_count == 1
-    out = {"type": "file", "properties": {"storage": "MinIO", "path": "out/pg", "filename": "ledger_json", "format": "json"}}
+    out = {
+        "type": "file",
+        "properties": {
+            "storage": "MinIO", "path": "out/pg", "filename": "ledger_json", "format": "json",
+        },
+    }
     done = jobs.run_route(stores, {"src": table, "dest": out})
     assert (done.row_count, done.source, done.target) == (1, "postgresql", "s3")
     assert stores.read("s3", "out/pg/ledger_json", format="json").first()["db"] == "a"
