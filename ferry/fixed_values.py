@@ -58,7 +58,6 @@ DATABASES = ["mongodb", "postgresql"]
 STORAGES = ["s3", "minio"]
 LEDGER_CONTAINER = "db_connect"
 USER_CONTAINER = "user"
-LAYERS = ["bronze", "silver", "gold"]
 RAW_USER_DATASET = "raw_valid_data_user"
 VERSION_DATASET = "simple_json_data"
 OBJECT_SCHEME = "s3a://"

@@ -86,7 +86,7 @@ def validate_rows(df: DataFrame) -> DataFrame:
     """Keep valid rows; a missing required column is an error."""
     missing = [c for c in REQUIRED_TO_VALIDATE if c not in df.columns]
     if missing:
-        raise ValueError(f"missing required columns: {', '.join(missing)}")
+        raise ValueError(f"columns the row rule needs are absent: {', '.join(missing)}")
     return df.filter(valid_user())
 
 

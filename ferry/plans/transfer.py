@@ -234,7 +234,7 @@ class Stores:
         """
         df = self.read(source, source_name, source_schema, source_format, source_options)
         if df.isEmpty():
-            raise TransferError(f"no data found in source: {source} {source_name}")
+            raise TransferError(f"{source} {source_name} holds no rows to move")
         rows = self.write(df, target, target_name, mode, **write_options)
         return Transferred(True, rows, source, target)
 
@@ -260,11 +260,11 @@ class Stores:
         raw = self.read(source, source_name, format=source_format)
         total = raw.count()
         if total == 0:
-            raise TransferError(f"no data found in source: {source_name}")
+            raise TransferError(f"{source_name} holds no rows to move")
         copy = stage(validate_all(raw, order_by=order_by), "users")
         staged, valid = copy.rows, copy.rows.count()
         if valid == 0:
-            raise TransferError("no valid records after validation")
+            raise TransferError("validation leaves no rows to write")
         if self.endpoint(target).is_table_store:
             rows = staged.filter(fits_user_table()) if check_table_limits else staged
             types = {c: f"VARCHAR({n})" for c, n in USER_TABLE_LENGTHS.items()}

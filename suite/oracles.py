@@ -293,5 +293,5 @@ UNION ALL
 SELECT true, true, 's3 to mongodb', '', v, t, v, t - v, 's3', 'mongodb'
 FROM (SELECT count(*) AS t FROM raw), (SELECT count(*) AS v FROM valid)
 UNION ALL
-SELECT false, false, 's3 to mongodb', 'no data found in source: silver/empty', 0, 0, 0, 0, 's3', 'mongodb'""",
+SELECT false, false, 's3 to mongodb', 'silver/empty holds no rows to move', 0, 0, 0, 0, 's3', 'mongodb'""",
     }

@@ -90,7 +90,7 @@ def test_default_modes(spark, stores):
 def test_empty_source_leaves_the_target_alone(spark, stores):
     stores.write(spark.range(3), "s3", "target")
     stores.write(spark.range(0), "s3", "empty")
-    with pytest.raises(TransferError, match="no data"):
+    with pytest.raises(TransferError, match="no rows to move"):
         stores.transfer("s3", "empty", "s3", "target")
     assert stores.count("s3", "target") == 3
 
@@ -123,10 +123,10 @@ def test_validated_transfer_without_valid_rows(spark, filled):
     jobs.users_to_database(filled, "mongodb", order_by="rid")
     bad = spark.createDataFrame([("A", "B", "x", "1", "M")], RAW_USER)
     filled.write(bad, "s3", "bad")
-    with pytest.raises(TransferError, match="no valid"):
+    with pytest.raises(TransferError, match="leaves no rows"):
         filled.transfer_users("mongodb", "bad", USER_CONTAINER)
     filled.write(bad.limit(0), "s3", "none")
-    with pytest.raises(TransferError, match="no data"):
+    with pytest.raises(TransferError, match="no rows to move"):
         filled.transfer_users("mongodb", "none", USER_CONTAINER)
     assert filled.count("mongodb", USER_CONTAINER) == 984
 
