@@ -8,6 +8,8 @@ from typing import Any
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import MapType, VariantType
 
+from ferry.sources.sizing import shuffle_partitions
+
 # Keys are broadcast up to this many bytes; a row costs some bytes more.
 BROADCAST_BYTES = 32 * 1024 * 1024
 ROW_OVERHEAD = 64
@@ -52,7 +54,7 @@ def match(
     """
     if not hot:
         return rows.join(keys, key, how).select(*rows.columns)
-    places = max(PLACES, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    places = max(PLACES, shuffle_partitions(rows))
     hashable = [f.name for f in rows.schema if not isinstance(f.dataType, (MapType, VariantType))]
     is_hot, home = F.col(key).isin([h for h in hot if h is not None]), F.lit(0).cast("bigint")
     if None in hot:

@@ -15,6 +15,7 @@ MOST_SHUFFLE_PARTITIONS = 50_000
 # Scan tasks grow with the input beyond this many of them.
 MOST_SCAN_TASKS = 100_000
 SCAN_BYTES, MOST_SCAN_BYTES = 128 * MB, 1024 * MB
+SHUFFLE_SETTING = "spark.sql.shuffle.partitions"
 # Spark's stand-in where a source cannot tell its size.
 UNKNOWN = 2**62
 
@@ -26,10 +27,16 @@ def input_bytes(df: DataFrame) -> int:
     return sum(s for s in sizes if s < UNKNOWN)
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    """As many as the session sets, or more where the input of ``df`` needs them."""
+    set_ = int(df.sparkSession.conf.get(SHUFFLE_SETTING))
+    return max(set_, settings_for(input_bytes(df))[SHUFFLE_SETTING])
+
+
 def settings_for(size: int) -> dict[str, int]:
     """Settings for an input of ``size`` bytes."""
     return {
-        "spark.sql.shuffle.partitions": min(MOST_SHUFFLE_PARTITIONS, size // SHUFFLE_BYTES + 1),
+        SHUFFLE_SETTING: min(MOST_SHUFFLE_PARTITIONS, size // SHUFFLE_BYTES + 1),
         "spark.sql.files.maxPartitionBytes": min(
             MOST_SCAN_BYTES, max(SCAN_BYTES, size // MOST_SCAN_TASKS)
         ),

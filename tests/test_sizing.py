@@ -53,6 +53,15 @@ def test_staging_uses_them(spark, tmp_path, monkeypatch, conf):
     assert few <= 4 < many
 
 
+def test_places_follow_the_input(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "d")
+    spark.range(100_000).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert sizing.shuffle_partitions(df) == int(spark.conf.get(SHUFFLE))
+    monkeypatch.setattr(sizing, "SHUFFLE_BYTES", 1000)
+    assert sizing.shuffle_partitions(df) > 100
+
+
 def test_sizes_of_settings():
     assert sizing._bytes("134217728b") == sizing._bytes("128MB") == sizing._bytes("128m") == 128 * sizing.MB
     assert sizing._bytes("200") == 200 and sizing._bytes("1g") == 1024 * sizing.MB
