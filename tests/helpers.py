@@ -33,3 +33,14 @@ def derby():
             "preferTimestampNTZ": "true",
         },
     )
+
+
+class FakeSession:
+    """Stands for a session with given settings."""
+
+    def __init__(self, **settings):
+        self._settings = {k.replace("__", "."): v for k, v in settings.items()}
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self._settings.get(key, default)

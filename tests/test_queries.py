@@ -2,6 +2,8 @@ import pytest
 
 import __spark_entry__ as contract
 from check import difference
+from suite.queries import _relational
+from tests.helpers import FakeSession
 
 
 def test_entry(spark):
@@ -16,3 +18,10 @@ def test_every_query_has_sql():
 def test_query_equals_its_sql(spark, sf, duck, name):
     df = contract.queries()[name](spark, sf)
     assert difference(df, duck, contract.oracle_sql()[name]) is None
+
+
+def test_a_cluster_needs_a_database_it_can_reach():
+    with pytest.raises(RuntimeError, match="spark.ferry.jdbc.url"):
+        _relational(FakeSession(spark__master="yarn"))
+    named = FakeSession(spark__master="yarn", spark__ferry__jdbc__url="jdbc:x:y")
+    assert _relational(named).options["url"] == "jdbc:x:y"

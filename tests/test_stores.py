@@ -7,7 +7,7 @@ from ferry.fixtures import ledger, raw_users
 from ferry.schemas import RAW_USER
 from ferry.sources import documents, objects, scratch, tables
 from ferry.sources.endpoint import Endpoint
-from tests.helpers import derby, plan, rows
+from tests.helpers import FakeSession, derby, plan, rows
 
 VARCHAR = {c: "VARCHAR(255)" for c in ("k", "v", "db", "email", "name")}
 
@@ -291,25 +291,14 @@ def test_scratch_follows_the_session(spark):
     assert scratch.scratch_path(spark) != scratch.scratch_path(spark)
 
 
-class _Session:
-    """Stands for a session with given settings."""
-
-    def __init__(self, **settings):
-        self._settings = {k.replace("__", "."): v for k, v in settings.items()}
-        self.conf = self
-
-    def get(self, key, default=None):
-        return self._settings.get(key, default)
-
-
 def test_no_machine_local_scratch_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch.scratch_root(_Session(spark__master="spark://host:7077"))
+        scratch.scratch_root(FakeSession(spark__master="spark://host:7077"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch.scratch_root(_Session(spark__master="local-cluster[2,1,1024]"))
-    shared = _Session(spark__master="yarn", spark__checkpoint__dir="hdfs:///x/")
+        scratch.scratch_root(FakeSession(spark__master="local-cluster[2,1,1024]"))
+    shared = FakeSession(spark__master="yarn", spark__checkpoint__dir="hdfs:///x/")
     assert scratch.scratch_root(shared) == "hdfs:///x"
-    assert scratch.scratch_root(_Session(spark__master="local[2]", spark__app__id="t")).startswith("/")
+    assert scratch.scratch_root(FakeSession(spark__master="local[2]", spark__app__id="t")).startswith("/")
 
 
 def test_staged_copies_are_removed(spark):
