@@ -2,7 +2,8 @@ import pytest
 
 import __spark_entry__ as contract
 from check import difference
-from suite.queries import _relational
+from suite.oracles import all_oracles
+from suite.queries import _relational, all_queries
 from tests.helpers import FakeSession
 
 
@@ -11,10 +12,12 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_its_sql(spark, sf, duck, name):
     df = contract.queries()[name](spark, sf)
     assert difference(df, duck, contract.oracle_sql()[name]) is None
