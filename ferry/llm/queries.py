@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm import decontaminate, exact_dedup, licenses, sharding
+from ferry.llm import (
+    decontaminate,
+    exact_dedup,
+    licenses,
+    line_dedup,
+    pieces,
+    sharding,
+    token_counts,
+)
 from ferry.llm.words import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +39,20 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return encoded.select("doc_id", "n_tokens", "ids", "round_trip")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.remove_boilerplate(docs).drop("source")
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.limits(token_counts.histogram(table(spark, sf_dir, "documents")))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -39,5 +61,8 @@ def llm_queries() -> dict[str, Query]:
             op3_sharding,
             op4_decontamination,
             op7_exact_dedup,
+            op8_sentencepiece,
+            op9_line_dedup,
+            op10_token_counts,
         )
     }
