@@ -15,6 +15,7 @@ from ferry.llm import (
     pieces,
     sharding,
     token_counts,
+    toxicity,
 )
 from ferry.llm.words import table
 
@@ -35,6 +36,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(docs, benchmark, {"doc_id": F.col("doc_id")})
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return toxicity.score_documents(docs, labels)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
@@ -60,6 +66,7 @@ def llm_queries() -> dict[str, Query]:
             op2_license_scan,
             op3_sharding,
             op4_decontamination,
+            op6_toxicity,
             op7_exact_dedup,
             op8_sentencepiece,
             op9_line_dedup,
