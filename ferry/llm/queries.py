@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ferry.llm import (
     decontaminate,
     exact_dedup,
+    jaccard_join,
     licenses,
     line_dedup,
     pieces,
@@ -23,6 +24,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 40
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
+            op1_jaccard_join,
             op2_license_scan,
             op3_sharding,
             op4_decontamination,
