@@ -15,6 +15,7 @@ from ferry.llm import (
     line_dedup,
     pieces,
     sharding,
+    surrogates,
     token_counts,
     toxicity,
 )
@@ -22,6 +23,8 @@ from ferry.llm.words import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 40
+# For the query only; a user's key comes from where secrets are kept.
+SURROGATE_KEY = b"op5"
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +44,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(docs, benchmark, {"doc_id": F.col("doc_id")})
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace(docs, SURROGATE_KEY)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     return toxicity.score_documents(docs, labels)
@@ -72,6 +80,7 @@ def llm_queries() -> dict[str, Query]:
             op2_license_scan,
             op3_sharding,
             op4_decontamination,
+            op5_surrogates,
             op6_toxicity,
             op7_exact_dedup,
             op8_sentencepiece,
