@@ -160,7 +160,7 @@ def scan(
         F.array_max("base").cast("long").alias("last_word"),
         names(F.col("base_labels")).alias("base_labels"),
         names(F.col("covers.label")).alias("labels"),
-        F.least(F.coalesce(F.array_max("covers.cover"), F.lit(0.0)), F.lit(1.0)).alias("score"),
+        F.round(F.least(F.coalesce(F.array_max("covers.cover"), F.lit(0.0)), F.lit(1.0)), 6).alias("score"),
     )
 
 

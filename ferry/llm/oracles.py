@@ -51,5 +51,93 @@ FROM d JOIN s40 USING (doc_id) JOIN s41 USING (doc_id)
 """
 
 
+WORDS = r"""list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+OP2 = f"""
+WITH given(base, label, txt, phr) AS (VALUES
+  (true, 'cc-by', 'cc by', 'cc by'),
+  (true, 'gpl', 'general public license', 'general public license'),
+  (true, 'reserved', 'all rights reserved', 'all rights reserved'),
+  (false, 'apache-2.0', 'licensed under the apache license version 2 0', 'apache license version 2 0'),
+  (false, 'mit', 'released under the mit license', 'mit license'),
+  (false, 'mit', 'permission is hereby granted free of charge to any person obtaining a copy', 'permission is hereby granted free of charge'),
+  (false, 'bsd', 'redistribution and use in source and binary forms with or without modification are permitted', 'redistribution and use in source and binary forms'),
+  (false, 'gpl-2.0', 'gnu general public license version 2', 'general public license version 2'),
+  (false, 'gpl-3.0', 'gnu general public license version 3', 'general public license version 3'),
+  (false, 'lgpl', 'gnu lesser general public license', 'lesser general public license'),
+  (false, 'mpl-2.0', 'subject to the terms of the mozilla public license v 2 0', 'mozilla public license'),
+  (false, 'isc', 'permission to use copy modify and or distribute this software for any purpose', 'permission to use copy modify and or distribute'),
+  (false, 'unlicense', 'this is free and unencumbered software released into the public domain', 'free and unencumbered software')
+), t AS (
+  SELECT row_number() OVER () AS k, base, label, string_split(txt, ' ') AS tw, string_split(phr, ' ') AS pw,
+         len(string_split(split_part(txt, phr, 1), ' ')) - 1 AS before
+  FROM given
+), d AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS w FROM documents
+), vocab AS (SELECT DISTINCT unnest(tw) AS v FROM t
+), idf AS (
+  SELECT v, ln(((SELECT count(*) FROM d) + 1.0) / (count(rid) + 1.0)) + 1 AS x
+  FROM vocab LEFT JOIN (SELECT DISTINCT rid, unnest(w) AS v FROM d) USING (v) GROUP BY v
+), whole AS (SELECT k, sum(x) AS total FROM (SELECT k, unnest(tw) AS v FROM t) JOIN idf USING (v) GROUP BY k
+), hit AS (
+  SELECT rid, k, unnest(list_filter(range(len(w)), lambda i: w[i + 1 : i + len(pw)] = pw)) AS p FROM d, t WHERE list_contains(w, pw[1])
+), covered AS (
+  SELECT rid, k, p, sum(x) AS found
+  FROM (SELECT rid, k, p, unnest(list_transform(range(len(tw)),
+          lambda i: CASE WHEN p + i - before >= 0 AND w[p + i - before + 1] = tw[i + 1] THEN tw[i + 1] END)) AS v
+        FROM hit JOIN d USING (rid) JOIN t USING (k))
+  JOIN idf USING (v) GROUP BY rid, k, p
+), best AS (SELECT rid, k, max(found / total) AS cover FROM covered JOIN whole USING (k) GROUP BY rid, k HAVING max(found / total) >= 0.6
+), labelled AS (
+  SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, round(least(max(cover), 1.0), 6) AS score
+  FROM best JOIN t USING (k) GROUP BY rid
+), plain AS (
+  SELECT rid, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM hit JOIN t USING (k) WHERE base GROUP BY rid
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN plain USING (rid) LEFT JOIN labelled USING (rid)
+"""
+
+OP4 = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+b AS (SELECT item_id, {WORDS} AS tw FROM benchmark),
+dw AS (SELECT doc_id, unnest(w) AS v, generate_subscripts(w, 1) - 1 AS p FROM d),
+bw AS (SELECT item_id, unnest(tw) AS v, generate_subscripts(tw, 1) - 1 AS q FROM b WHERE len(tw) >= 5),
+c AS (
+  SELECT doc_id, item_id, p - q AS start_word, count(*) AS same_words
+  FROM dw JOIN bw USING (v) GROUP BY 1, 2, 3 HAVING count(*) >= 5
+), m AS (
+  SELECT c.*, len(tw) AS n, list_prepend(-1, list_concat(
+           list_filter(range(len(tw)), lambda i: NOT coalesce(start_word + i >= 0 AND w[start_word + i + 1] = tw[i + 1], false)),
+           [len(tw), len(tw), len(tw)])) AS cuts
+  FROM c JOIN d USING (doc_id) JOIN b USING (item_id)
+), s AS (
+  SELECT *, list_max(list_transform(range(1, len(cuts) - 2), lambda i: cuts[i + 3] - cuts[i] - 1)) AS overlap_words FROM m
+), f AS (SELECT * FROM s WHERE (n >= 13 AND overlap_words >= 13) OR same_words = n
+)
+SELECT DISTINCT ON (doc_id, item_id) doc_id, item_id, start_word, overlap_words, same_words,
+       count(*) OVER (PARTITION BY doc_id, item_id) AS alignments
+FROM f ORDER BY doc_id, item_id, overlap_words DESC, same_words DESC, start_word
+"""
+
+OP9 = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT source, trim(unnest(ls)) AS line FROM d),
+bad AS (SELECT coalesce(list(line), []) AS gone FROM (
+  SELECT line FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT coalesce(source, chr(0))) >= 10)),
+k AS (SELECT *, list_filter(ls, lambda x: NOT list_contains(gone, trim(x))) AS kept FROM d, bad)
+SELECT doc_id, CASE WHEN text IS NULL OR len(kept) = len(ls) THEN text ELSE array_to_string(kept, chr(10)) END AS text,
+       coalesce(len(ls), 1) AS n_lines, coalesce(len(ls) - len(kept), 0) AS n_removed
+FROM k
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op3_sharding": OP3, "op7_exact_dedup": OP7}
+    return {
+        "op2_license_scan": OP2,
+        "op3_sharding": OP3,
+        "op4_decontamination": OP4,
+        "op7_exact_dedup": OP7,
+        "op9_line_dedup": OP9,
+    }
