@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,30 +25,31 @@ def _offsets(mask: str) -> list[int]:
     return [i for i, c in enumerate(mask) if c == "1"]
 
 
+def _weights(masks: list[str]) -> list[list[str]]:
+    return [[m for m in masks if m.count("1") == w] for w in sorted({m.count("1") for m in masks})]
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def seeds(rows: DataFrame, masks: list[str], *keep: str) -> DataFrame:
     """A row per word place and mask that fits there: ``keep``, at, seed.
 
-    ``keep`` may hold the words: inside one stage they are passed by reference.
-    The masks of one weight are data, so that one short expression hashes all of
-    them: generated code beyond 8000 bytes is not compiled by the JVM.
+    The masks have one weight. They are data, so that one short expression hashes
+    all of them: generated code beyond 8000 bytes is not compiled by the JVM.
+    ``keep`` may hold the words. Up to the next union, shuffle or sort they are
+    passed by reference; beyond it each row would hold a copy.
     """
-    parts = []
-    for weight in sorted({m.count("1") for m in masks}):
-        same = [_offsets(m) for m in masks if m.count("1") == weight]
-        masks_of = F.array(*[F.array(*map(F.lit, m)) for m in same])
-        at = rows.select(*keep, "tokens", F.posexplode_outer("tokens").alias("at", "_"))
-        at = at.select(*keep, "tokens", "at", F.explode(masks_of).alias("mask"))
-        word = [F.get("tokens", F.col("at") + F.get("mask", F.lit(i))) for i in range(weight)]
-        gap = F.get("mask", F.lit(weight - 1))  # with the middle, tells masks of one weight apart
-        parts.append(
-            at.where(F.col("at") + gap < F.size("tokens")).select(
-                *keep, "at", F.xxhash64(gap, F.get("mask", F.lit(weight // 2)), *word).alias("seed")
-            )
-        )
-    seeded = parts[0]
-    for part in parts[1:]:
-        seeded = seeded.unionByName(part)
-    return seeded
+    weight = masks[0].count("1")
+    masks_of = F.array(*[F.array(*map(F.lit, _offsets(m))) for m in masks])
+    at = rows.select(*keep, "tokens", F.posexplode_outer("tokens").alias("at", "_"))
+    at = at.select(*keep, "tokens", "at", F.explode(masks_of).alias("mask"))
+    word = [F.get("tokens", F.col("at") + F.get("mask", F.lit(i))) for i in range(weight)]
+    gap = F.get("mask", F.lit(weight - 1))  # with the middle, tells masks of one weight apart
+    return at.where(F.col("at") + gap < F.size("tokens")).select(
+        *keep, "at", F.xxhash64(gap, F.get("mask", F.lit(weight // 2)), *word).alias("seed")
+    )
 
 
 def _stretch(same: Column) -> Column:
@@ -106,9 +109,9 @@ def overlaps(
     )
     if size <= broadcast_bytes:
         # The words stay in reach, so hits are verified where they are found.
-        hits = seeds(rows, masks, *keys, "tokens").join(F.broadcast(posts), "seed")
+        hits = _union([seeds(rows, m, *keys, "tokens").join(F.broadcast(posts), "seed") for m in _weights(masks)])
     else:
-        places = seeds(rows, masks, *keys).join(posts, "seed")
+        places = _union([seeds(rows, m, *keys) for m in _weights(masks)]).join(posts, "seed")
         start = (F.col("at") - F.col("item_at")).alias("at")
         places = places.select(*keys, "item_id", "item", start, F.lit(0).alias("item_at")).distinct()
         same_key = [places[k].eqNullSafe(rows[k]) for k in keys]
