@@ -1,0 +1,317 @@
+import bisect
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ferry.llm import jaccard_join, pieces, surrogates, token_counts, toxicity
+from ferry.llm.components import components
+from ferry.llm.words import BETWEEN
+from tests.llm.cases import AWKWARD, LABELS, awkward, clashing, docs, empty, rows
+
+KEY = b"test"
+
+
+# n-gram Jaccard join
+
+
+def _shingles(text):
+    w = [x for x in re.split(BETWEEN, (text or "").lower()) if x]
+    return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+
+
+def _classes(texts):
+    """doc id -> (class, links) by comparing all pairs."""
+    sets = {d: _shingles(t) for d, t in texts.items()}
+    root, links = {d: d for d in texts}, Counter()
+    ids = sorted(texts)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            near = both and 10 * both >= 8 * len(sets[a] | sets[b])
+            if near or (texts[a] or "") == (texts[b] or ""):
+                links.update((a, b))
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = {d: new if r == old else r for d, r in root.items()}
+    return {d: (root[d], links[d]) for d in texts}
+
+
+def _copies(n, seed, changes=4, length=60):
+    draw = random.Random(seed)
+    base = [f"w{draw.randrange(400)}" for _ in range(length)]
+    out = []
+    for _ in range(n):
+        w = list(base)
+        for _ in range(draw.randrange(changes)):
+            w[draw.randrange(length)] = f"x{draw.randrange(10_000)}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_join_equals_all_pairs(spark, monkeypatch):
+    texts = dict(enumerate([*_copies(40, 1), *_copies(25, 2, 9), "a b", "A  b!", "a b c", "", "...", "...", None]))
+    want = _classes(texts)
+    df = docs(spark, list(texts.items()))
+    got = {r.doc_id: (r.class_id, r.links) for r in jaccard_join.near_duplicates(df).collect()}
+    assert got == want
+    monkeypatch.setattr(jaccard_join, "BLOCK", 8)  # buckets are split, then compared block by block
+    got = {r.doc_id: (r.class_id, r.links) for r in jaccard_join.near_duplicates(df).collect()}
+    assert got == want
+
+
+def test_join_of_awkward_rows(spark):
+    got = jaccard_join.near_duplicates(clashing(spark)).collect()
+    assert len(got) == len(AWKWARD)
+    ones = [r for r in got if r.doc_id in (1, 2)]
+    assert all((r.class_id, r.links) == (1, 3) for r in ones)
+    long = {r.doc_id: r.links for r in got if r.doc_id in (6, 7, 8)}
+    assert long == {6: 1, 7: 1, 8: 0}
+    assert jaccard_join.near_duplicates(empty(spark)).count() == 0
+    kept = jaccard_join.keep_one(clashing(spark))
+    assert kept.columns == clashing(spark).columns
+    assert {r.doc_id for r in kept.collect()} >= {1, 6, 8} and kept.where("doc_id in (1, 2, 7)").count() == 1
+    assert jaccard_join.keep_one(empty(spark)).count() == 0
+
+
+def test_runs_reach_the_recall():
+    runs = jaccard_join.runs_for(0.999, 0.8, jaccard_join.DEPTH)
+    draw = np.random.default_rng(3)
+    missed = 0
+    for _ in range(300):  # pairs at the threshold, where one contains the other
+        a = np.unique(draw.integers(0, 2**64, 100, np.uint64))
+        b = a[:80]
+        x, y = (jaccard_join.paths(s, runs, 0.8, jaccard_join.DEPTH)[-1][1] for s in (a, b))
+        missed += not np.intersect1d(x, y).size
+    assert missed <= 3
+
+
+def test_components_of_a_path_and_a_star(spark):
+    path = [(i, i + 1) for i in range(100, 160)]
+    star = [(7, i) for i in range(200, 260)]
+    df = spark.createDataFrame([*path, *star, (5, 5), (101, 100)], "u bigint, v bigint")
+    got = {r.node: r.root for r in components(df).collect()}
+    assert got == {**{i: 100 for i in range(100, 161)}, **{i: 7 for i in (7, *range(200, 260))}}
+
+
+# surrogates
+
+
+def test_mentions_and_decoys():
+    card = "411111111111111" + str(surrogates.luhn("411111111111111"))
+    text = f"mail Ann.Lee@Mail.example.com, +1 (217) 555-1234 or {card}; 10.0.300.1 9999888877776666 v1.2.3.4.5 192.168.0.12"
+    assert [(m.kind, m.name) for m in surrogates.find(text)] == [
+        ("email", "ann.lee@mail.example.com"), ("phone", "12175551234"), ("card", card), ("ip", "192.168.0.12"),
+    ]
+    iban = "GB82 WEST 1234 5698 7654 32"
+    assert [m.kind for m in surrogates.find(f"{iban} 078-05-1120 token = \"abcdef0123456789abcd\"")] == ["iban", "ssn", "secret"]
+    assert surrogates.find("the word 12 and 2024-01-02 or 3.14159 in ordinary text") == []
+
+
+def test_surrogates_keep_type_and_format():
+    text = 'Mrs. Anna Schmidt met Mr. Ivan SMITH; г-жа Анна Иванова; +1 (217) 555-1234; 4111-1111-1111-1111; GB82WEST12345698765432; token="00ff00ff00ff00ff00"'
+    new, n = surrogates.rewrite(text, KEY, lambda k, v: 0)
+    assert n == len(surrogates.find(text)) == len(surrogates.find(new))
+    before, after = surrogates.find(text), surrogates.find(new)
+    assert [m.kind for m in before] == [m.kind for m in after]
+    assert not {m.name for m in before} & {m.name for m in after}
+    assert re.search(r"Mrs\. [A-Z][a-z]+a [A-Z][a-z]+ met Mr\. [A-Z][a-z]+n [A-Z]+; г-жа [А-Я][а-я]+а [А-Я][а-я]+; \+1 \(\d{3}\) \d{3}-\d{4}; 4\d{3}-\d{4}-\d{4}-\d{4}; GB", new)
+    assert re.search(r'token="[0-9a-f]{18}"', new)
+
+
+def test_one_entity_has_one_surrogate_and_others_have_others(spark):
+    made = [(i, f"call (217) 555-{i % 50:04d} or +12175550001, A{i % 50}@x.example.com and a{i % 50}@X.example.com") for i in range(200)]
+    got = surrogates.replace(docs(spark, made), KEY)
+    by_entity = {}
+    for r in got.collect():
+        assert r.n_entities == 4
+        found = surrogates.find(r.text)
+        by_entity.setdefault(("phone", r.doc_id % 50), set()).add(found[0].name)
+        by_entity.setdefault(("email", r.doc_id % 50), set()).update(m.name for m in found[2:])
+    assert all(len(v) == 1 for v in by_entity.values())
+    assert len({next(iter(v)) for v in by_entity.values()}) == 100
+
+
+def test_clashes_are_settled(spark, monkeypatch):
+    few = lambda kind, name, key, attempt=0: f"{(sum(name.encode()) + 7 * attempt) % 40:02d}"
+    monkeypatch.setattr(surrogates, "surrogate", few)
+    known = spark.createDataFrame([("ssn", f"n{i}") for i in range(20)] + [("ssn", "03")], "kind string, name string")
+    told = surrogates.settle(known, KEY).collect()
+    assert len(told) == 21 == len({r.made for r in told}) and "03" not in {r.made for r in told}
+    assert any(r.attempt for r in told)
+    made = [(i, f"Mr. Bob N{i}") for i in range(3)]
+    monkeypatch.setattr(surrogates, "surrogate", lambda kind, name, key, attempt=0: "bcdefgh"[attempt] * 3)
+    ways = [surrogates.replace(docs(spark, made), KEY, broadcast_entities=n) for n in (100, 0)]
+    texts = [rows(w, "doc_id", "text") for w in ways]
+    assert texts[0] == texts[1] and len({t for _, t in texts[0]}) == 3
+
+
+def test_surrogates_of_awkward_rows(spark):
+    df = clashing(spark)
+    got = surrogates.replace(df, KEY)
+    assert got.columns[: len(df.columns)] == df.columns and len(got.columns) == len(df.columns) + 1
+    assert rows(got, "doc_id", "text") == rows(df, "doc_id", "text")
+    assert surrogates.replace(empty(spark), KEY).count() == 0
+
+
+# toxicity
+
+
+def _labelled(spark):
+    draw = random.Random(9)
+    made, told = [], []
+    for i in range(600):
+        words = [f"w{int(draw.paretovariate(1)) % 300}" for _ in range(draw.randrange(5, 60))]
+        bad = i % 5 == 1
+        if bad:
+            for w in draw.sample(["awful", "vile", "nasty"], 2):
+                words.insert(draw.randrange(len(words)), w)
+        made.append((i, " ".join(words)))
+        told.append((i, None, int(bad)))
+    return docs(spark, made), spark.createDataFrame(told, LABELS)
+
+
+def test_toxicity_of_held_out_rows(spark):
+    df, labels = _labelled(spark)
+    got = toxicity.score_documents(df, labels).join(labels, "doc_id").where("held_out").collect()
+    good = sorted(r.score for r in got if not r.toxic)
+    auc = np.mean([bisect.bisect_left(good, r.score) / len(good) for r in got if r.toxic])
+    assert auc > 0.97
+    assert np.mean([r.predicted == r.toxic for r in got]) > 0.93
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+
+
+def test_held_out_labels_are_not_learnt(spark):
+    df, labels = _labelled(spark)
+    wrong = labels.withColumn("toxic", F.when(toxicity.fold() == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    one, two = (toxicity.score_documents(df, x) for x in (labels, wrong))
+    assert rows(one, "doc_id", "predicted") == rows(two, "doc_id", "predicted")
+
+
+def test_toxicity_of_awkward_rows(spark):
+    df, labels = _labelled(spark)
+    odd = spark.createDataFrame([(None, None, 1), (1, None, None), (3, 1, 1), (3, 1, 0)], LABELS)
+    wide = clashing(spark)
+    got = toxicity.score_documents(wide, labels.unionByName(odd))
+    assert got.count() == len(AWKWARD) and got.where("score is null or held_out is null").count() == 0
+    assert toxicity.score_documents(df, empty(spark, LABELS)).where("score < 0.5").count() == 600
+    assert toxicity.score_documents(empty(spark), labels).count() == 0
+    kept = toxicity.drop_toxic(wide, labels)
+    assert kept.columns == wide.columns and kept.count() == len(AWKWARD)
+    fewer = toxicity.drop_toxic(df, labels)
+    assert 400 < fewer.count() < 520
+
+
+# pieces
+
+
+@pytest.fixture(scope="module")
+def tool():
+    with open(pieces.MODEL, "rb") as f:
+        return pieces.Pieces(f.read())
+
+
+def test_best_paths_equal_the_formats_own_encoder(tool):
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as model_pb2
+
+    model = model_pb2.ModelProto()
+    with open(pieces.MODEL, "rb") as f:
+        model.ParseFromString(f.read())
+    model.trainer_spec.model_type = 1  # unigram
+    own = sentencepiece.SentencePieceProcessor()
+    own.LoadFromSerializedProto(model.SerializeToString())
+    draw = random.Random(4)
+    letters = "abcdeeehilnorsstu,.-ABCäéß"
+    for _ in range(300):
+        text = " ".join("".join(draw.choices(letters, k=draw.randrange(1, 14))) for _ in range(draw.randrange(1, 6)))
+        ids, _ = tool.encode([c.encode() for c in tool.chunks(text)])
+        assert ids.tolist() == own.encode(text), text
+
+
+def test_best_paths_equal_brute_force(tool):
+    normal = {bytes(s).replace(b" ", pieces.SPACE.encode()): i for i, s in enumerate(tool.surface) if i > 258}
+    draw = random.Random(6)
+    for _ in range(60):
+        text = "".join(draw.choices("the ing\n☃é", k=draw.randrange(1, 12)))
+        given = (pieces.SPACE + text.replace(" ", pieces.SPACE)).encode()
+        best = [(0.0, [])] + [None] * len(given)
+        for end in range(1, len(given) + 1):
+            for start in range(end):
+                if best[start] is None:
+                    continue
+                part = given[start:end]
+                if part in normal:
+                    step = (float(tool.scores[normal[part]]), [normal[part]])
+                else:
+                    try:
+                        if len(part.decode()) != 1:
+                            continue
+                    except UnicodeDecodeError:
+                        continue
+                    step = (tool.unknown_score, [int(tool.byte_ids[b]) for b in part])
+                new = (best[start][0] + step[0], best[start][1] + step[1])
+                if best[end] is None or new[0] > best[end][0]:
+                    best[end] = new
+        ids, counts = tool.encode([c.encode() for c in tool.chunks(text)])
+        assert ids.tolist() == best[-1][1] and counts.sum() == len(ids)
+        assert tool.decode(ids) == text
+
+
+def test_double_array_finds_what_a_dict_finds():
+    keys = {bytes(random.Random(i).choices(range(256), k=1 + i % 5)): i for i in range(500)}
+    trie = pieces.DoubleArray(keys)
+    for key in [*keys, b"missing", b"\xff\xff\xff"]:
+        node = 0
+        for byte in key:
+            child = trie.base[node] + byte + 1
+            node = child if node is not None and trie.check[child] == node else None
+            if node is None:
+                break
+        assert (trie.value[node] if node is not None else -1) == keys.get(key, -1)
+
+
+def test_encode_and_decode_awkward_rows(spark, monkeypatch):
+    monkeypatch.setattr(pieces, "SLICE_CHARS", 50)
+    df = clashing(spark)
+    got = pieces.encode_documents(df)
+    assert got.columns == [*df.columns, "ids_", "n_tokens_", "round_trip_"]
+    assert got.count() == len(AWKWARD) and got.where("round_trip_").count() == len(AWKWARD)
+    assert rows(got.where("text is null or text = ''"), "n_tokens_") == [(0,)] * 3
+    back = pieces.decode_documents(got.select("text", "ids_"), ids_column="ids_")
+    assert back.where("decoded <> coalesce(text, '')").count() == 0
+    assert pieces.encode_documents(empty(spark)).count() == 0
+    odd = pieces.encode_documents(docs(spark, [(1, "a▁b"), (2, "x" * 3000 + "\u0000☃")]))
+    assert rows(odd, "doc_id", "round_trip") == [(1, False), (2, True)]
+
+
+# token counts
+
+
+def test_limits_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "BLOCK", 4)
+    draw = random.Random(2)
+    lengths = [draw.choice((0, 1, 2, 3, 5, 8, 13, 40, 41)) for _ in range(300)]
+    df = spark.createDataFrame([(n,) for n in lengths], "n_tokens bigint").groupBy("n_tokens").agg(F.count("*").alias("docs"))
+    got = token_counts.limits(df).collect()
+    assert len(got) == len(set(lengths))
+    for r in got:
+        over = [n for n in lengths if n > r.n_tokens]
+        assert (r.docs, r.docs_over, r.tokens_over) == (lengths.count(r.n_tokens), len(over), sum(over))
+        assert (r.total, r.truncated_total) == (sum(lengths), sum(min(n, r.n_tokens) for n in lengths))
+        assert r.quantile == pytest.approx(1 - len(over) / len(lengths))
+
+
+def test_lengths_equal_the_encoder(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file("/opt/tokenizers/byte_bpe_50k.json")
+    plain.encode_special_tokens = True
+    texts = [r[1] for r in AWKWARD] + ["<|endoftext|> It's 12 x  y\n\n z", "é☃" * 50]
+    want = Counter(len(plain.encode(t or "", add_special_tokens=False).ids) for t in texts)
+    got = token_counts.histogram(docs(spark, list(enumerate(texts))))
+    assert {r.n_tokens: r.docs for r in got.collect()} == want
+    assert token_counts.limits(token_counts.histogram(empty(spark))).count() == 0
+    assert token_counts.histogram(clashing(spark)).count() == token_counts.histogram(awkward(spark)).count()
