@@ -9,15 +9,24 @@ the shuffle however many rows that key has.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DataType, StringType
+from pyspark.sql.types import DataType, MapType, StringType, TimestampType, VariantType
 
 from ferry.fixed_values import FIRST_VERSION
 from ferry.functions.rules import next_version, version_or_first
-from ferry.operators.matching import broadcastable, hot_keys, hottest, match, measure
+from ferry.operators.matching import (
+    broadcastable,
+    holds,
+    hot_keys,
+    hottest,
+    match,
+    measure,
+    name,
+    places_for,
+)
 from ferry.sources.scratch import materialize
 
 AsOf = str | datetime | None
@@ -27,26 +36,69 @@ FILTER_KEYS = 1000
 FILTER_BYTES = 64 * 1024
 
 
+# How string ledgers keep times: UTC, in milliseconds.
+STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+
+
+def _utc(as_of: str | datetime) -> str:
+    """``as_of`` in UTC; without a zone it is UTC already."""
+    if isinstance(as_of, str):
+        try:
+            as_of = datetime.fromisoformat(as_of)
+        except ValueError:
+            return as_of
+    if as_of.tzinfo is not None:
+        as_of = as_of.astimezone(timezone.utc).replace(tzinfo=None)
+    return str(as_of)
+
+
 def _moment(as_of: AsOf, kind: DataType) -> Column:
-    """``as_of`` (default: now) in the type the ledger keeps its times in."""
+    """``as_of`` (default: now), in UTC, in the type the ledger keeps its times in."""
     if as_of is None:
-        moment = F.current_timestamp()
+        now = F.current_timestamp()
+        if isinstance(kind, TimestampType):
+            return now
+        moment = F.to_utc_timestamp(now, F.current_timezone()).cast("timestamp_ntz")
     else:
-        moment = F.lit(str(as_of)).cast("timestamp_ntz")
-    if isinstance(kind, StringType):
-        return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+        moment = F.lit(_utc(as_of)).cast("timestamp_ntz")
+    if isinstance(kind, StringType):  # rounded up, so never before a finer time already kept
+        return F.date_format(moment + F.expr("INTERVAL '0.000999' SECOND"), STAMP)
+    if isinstance(kind, TimestampType):  # the same instant in any session zone
+        return F.from_utc_timestamp(moment.cast("timestamp"), F.current_timezone())
     return moment.cast(kind)
 
 
+def _sortable(kind: DataType) -> bool:
+    return not holds(kind, MapType, VariantType)
+
+
 def _top_row(ledger: DataFrame, order: list[str], count_as: str | None = None) -> DataFrame:
-    """The greatest row of each key by ``order``, then by the other columns."""
+    """The greatest row of each key by ``order``, then by the other columns.
+
+    Times kept as text are ordered as times. Columns without an order, such as
+    maps, travel with their row.
+    """
+    kinds = {f.name: f.dataType for f in ledger.schema}
     rest = [c for c in ledger.columns if c != "db" and c not in order]
-    found = [F.max(F.struct(*order, *rest)).alias("_top")]
+    times = [
+        F.try_to_timestamp(name(c)).alias(f"_time_{i}")
+        for i, c in enumerate(order)
+        if c in ("created_at", "updated_at") and isinstance(kinds[c], StringType)
+    ]
+    ranked, ordered = [], [*[name(c) for c in order], *[name(c) for c in rest if _sortable(kinds[c])]]
+    if times:  # a time goes before its text, which stays in the struct to be given back
+        first = order[: order.index("updated_at")] if "updated_at" in order else []
+        ranked = [*[name(c).alias(f"_first_{i}") for i, c in enumerate(first)], *times]
+    rank = F.struct(*ranked, *ordered)
+    carried = [c for c in rest if not _sortable(kinds[c])]
+    found = [F.max(rank).alias("_top")]
+    if carried:
+        found.append(F.max_by(F.struct(*[name(c) for c in carried]), rank).alias("_carried"))
     if count_as:
         found.append(F.count(F.lit(1)).alias(count_as))
     return ledger.groupBy("db").agg(*found).select(
         *[
-            F.col("db") if c == "db" else F.col("_top")[c].alias(c)
+            F.col("db") if c == "db" else F.col("_carried" if c in carried else "_top")[c].alias(c)
             for c in ledger.columns
         ],
         *([count_as] if count_as else []),
@@ -111,7 +163,7 @@ def _best(
     if asked.small:
         return latest_version(_narrowed(ledger, asked), tie_break), None
     counted = materialize(_top_row(ledger, _by_version(tie_break), "_rows"), "best")
-    return counted.drop("_rows"), hottest(counted, "db", "_rows")
+    return counted.drop("_rows"), hottest(counted, "db", "_rows", places_for(ledger))
 
 
 def of_key(ledger: DataFrame, key: str | None) -> DataFrame:

@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructType
 
 from ferry.fixed_values import OBJECT_SCHEME
+from ferry.operators.matching import name
 from ferry.sources.sizing import sized_for
 
-# CSV options under which NULL, '' and blanks come back as they were written.
+# CSV options under which NULL, '', blanks, quotes and line breaks come back as
+# they were written. Files whose values may hold line breaks cannot be split, so
+# writing bounds the rows of a file instead.
 EXACT_CSV = {
     "header": "true",
     "nullValue": "\\N",
+    "quote": '"',
+    "escape": '"',
+    "lineSep": "\n",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
 
+EXACT_CSV_READ = {"multiLine": "true"}
+EXACT_CSV_WRITE = {"maxRecordsPerFile": "1000000"}
+
 # Written with microseconds; readers recognise them, and other forms, by default.
 EXACT_TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -81,7 +90,7 @@ def resolve_path(
 
 def _format_defaults(format: str, writing: bool) -> dict[str, str]:
     if format == "csv":
-        return EXACT_CSV | (EXACT_TIMES if writing else {})
+        return EXACT_CSV | (EXACT_TIMES | EXACT_CSV_WRITE if writing else EXACT_CSV_READ)
     if format == "json" and writing:
         return EXACT_JSON_WRITE | EXACT_TIMES
     if format == "delta" and writing:
@@ -181,6 +190,39 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
 # -- writing -----------------------------------------------------------------
 
 
+def _refuse(df: DataFrame, columns: Sequence[str], wrong: Callable[[Column], Column], why: str) -> DataFrame:
+    """``df``, which fails as it is written if a value of ``columns`` is wrong."""
+    if not columns:
+        return df
+    checked = set(columns)
+    return df.select(
+        *[
+            F.when(wrong(name(c)), F.raise_error(F.lit(f"column {c}: {why}"))).otherwise(name(c)).alias(c)
+            if c in checked
+            else name(c)
+            for c in df.columns
+        ]
+    )
+
+
+def _loud(df: DataFrame, format: str, partitions: Sequence[str], options: Mapping[str, Any]) -> DataFrame:
+    """``df``, which fails where a reader would not find a value as it was written."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
+    df = _refuse(
+        df, [c for c in texts if c in partitions], lambda c: c == "", "a partition cannot be named by an empty string"
+    )
+    if format != "csv":
+        return df
+    inside = [c for c in texts if c not in partitions]
+    if options.get("quote") == "":
+        breaks = "".join({options.get("sep", options.get("delimiter", ",")), "\n", "\r"})
+        return _refuse(
+            df, inside, lambda c: F.translate(c, breaks, "") != c, "a separator or line break, and nothing quotes it"
+        )
+    null = options.get("nullValue")
+    return _refuse(df, inside, lambda c: c == F.lit(null), f"{null} stands for NULL") if null else df
+
+
 def write_dataset(
     df: DataFrame,
     path: str,
@@ -189,26 +231,34 @@ def write_dataset(
     partition_by: str | Sequence[str] | None = None,
     options: Mapping[str, Any] | None = None,
     output_filename: str | None = None,
+    rebalance: bool = True,
 ) -> int:
     """Write and return the number of rows, counted by the write itself.
 
     The counter sits in the last stage, where Spark counts each finished task
     once, so a task that runs again does not add to it. With ``partition_by``
-    rows are first rebalanced on those columns: files stay few, and adaptive
-    execution splits a value that holds much of the data over several tasks.
+    rows are first rebalanced on those columns (unless ``rebalance`` is false,
+    for rows that lie together already): files stay few, and adaptive execution
+    splits a value that holds much of the data over several tasks. Read with a
+    schema, partition values come back in their type.
+
+    A value that the format cannot give back is an error: in CSV the mark for
+    NULL, without quotes a separator or line break, as a partition ''.
     """
     spark = df.sparkSession
     if output_filename:
         path = f"{path.rstrip('/')}/{output_filename}"
     columns = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
-    if columns and spark.conf.get("spark.sql.adaptive.enabled", "true") == "true":
+    options = {**_format_defaults(format, writing=True), **(options or {})}
+    df = _loud(df, format, columns, options)
+    if columns and rebalance and spark.conf.get("spark.sql.adaptive.enabled", "true") == "true":
         df = df.hint("rebalance", *columns)
     rows = Observation()
     writer = (
         df.observe(rows, F.count(F.lit(1)).alias("n"))
         .write.format(format)
         .mode(mode)
-        .options(**{**_format_defaults(format, writing=True), **(options or {})})
+        .options(**options)
     )
     if columns:
         writer = writer.partitionBy(*columns)
