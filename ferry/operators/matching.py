@@ -90,7 +90,10 @@ def match(
     if not hot:
         return rows.join(keys, key, how).select(*rows.columns)
     places = places_for(rows)
-    hashable = [name(f.name) for f in rows.schema if not holds(f.dataType, MapType, VariantType)]
+    hashable = [
+        F.to_json(F.struct(name(f.name))) if holds(f.dataType, MapType, VariantType) else name(f.name)
+        for f in rows.schema
+    ]
     home = F.lit(0).cast("bigint")
     somewhere = F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), F.lit(places))
     spread = _flagged(rows, key, hot).withColumn("_place", F.when(F.col("_hot"), somewhere).otherwise(home))

@@ -47,7 +47,8 @@ class UsersTransferred:
     """Outcome of a validated transfer.
 
     ``invalid`` is everything that is not valid, duplicates included.
-    ``written`` is less than ``valid`` by the rows a table would refuse.
+    ``written`` is less than ``valid`` by the rows a table would refuse; those are
+    kept in the dataset ``refused_to``.
     """
 
     total: int
@@ -56,6 +57,8 @@ class UsersTransferred:
     written: int
     source: str
     target: str
+    refused: int = 0
+    refused_to: str | None = None
 
 
 class Stores:
@@ -92,9 +95,11 @@ class Stores:
         if not name:
             raise ValueError(f"reading {kind} needs the name of a container or a path")
         if store.is_table_store:
+            _unused(kind, schema=schema, format=format)
             return tables.read_table(self.spark, store, name, **(options or {}))
         if store.is_database:
-            return documents.read_collection(self.spark, store, name, schema)
+            _unused(kind, format=format)
+            return documents.read_collection(self.spark, store, name, schema, options)
         return objects.read_dataset(
             self.spark, store.path(name), format or store.format,
             schema or store.schemas.get(name), {**store.options, **(options or {})},
@@ -128,6 +133,8 @@ class Stores:
         if not name:
             raise ValueError(f"writing {kind} needs the name of a container or a path")
         mode = mode or ("append" if store.is_database else "overwrite")
+        if store.is_database:
+            _unused(kind, format=format, partition_by=partition_by, output_filename=output_filename)
         if store.is_table_store:
             return tables.write_table(df, store, name, mode, staged=staged, **(options or {}))
         if store.is_database:
@@ -213,6 +220,26 @@ class Stores:
         if failures:
             raise TransferError("stores not ready:\n" + "\n".join(failures))
 
+    def require_ends(self, source: str, target: str) -> None:
+        """Raise one error naming every end of a transfer that cannot be reached.
+
+        The source must exist; a target in a folder may be made by the transfer,
+        but its file system must answer. A database that a table is yet to be made
+        in shows only when it is written.
+        """
+        failures = []
+        for kind, is_target in ((source, False), (target, True)):
+            store = self.endpoint(kind)
+            try:
+                if store.root and is_target:
+                    path_exists(self.spark, store.root)
+                elif store.root:
+                    self.probe(kind)
+            except Exception as e:
+                failures.append(f"{kind}: {_message(e)}")
+        if failures:
+            raise TransferError("stores not ready:\n" + "\n".join(failures))
+
     # -- transfers -----------------------------------------------------------
 
     def transfer(
@@ -232,6 +259,7 @@ class Stores:
         An empty source is an error and leaves the target alone. The source is
         read once; the row count comes from the write.
         """
+        self.require_ends(source, target)
         df = self.read(source, source_name, source_schema, source_format, source_options)
         if df.isEmpty():
             raise TransferError(f"{source} {source_name} holds no rows to move")
@@ -248,33 +276,46 @@ class Stores:
         order_by: str | None = None,
         source_format: str | None = None,
         check_table_limits: bool = True,
+        refused_to: str | None = None,
     ) -> UsersTransferred:
         """Validate raw users from storage and write the valid ones.
 
         The raw rows are counted (for Parquet from file footers) and read once
         in full; the valid rows are staged, so the target is touched only when
-        there is something to write, and everything after reads the stage.
+        there is something to write, and everything after reads the stage. Valid
+        rows that a relational user table has no room for go to the storage
+        dataset ``refused_to``, by default ``refused/`` and the target's name.
         """
         if target not in DATABASES:
             raise ValueError(f"{target!r} is not a database; use {', '.join(DATABASES)}")
+        self.require_ends(source, target)
         raw = self.read(source, source_name, format=source_format)
         total = raw.count()
         if total == 0:
             raise TransferError(f"{source_name} holds no rows to move")
         copy = stage(validate_all(raw, order_by=order_by), "users")
-        staged, valid = copy.rows, copy.rows.count()
+        rows, valid, refused = copy.rows, copy.rows.count(), 0
         if valid == 0:
             raise TransferError("validation leaves no rows to write")
+        table = target == "postgresql"
+        if table and check_table_limits:
+            fits = F.coalesce(fits_user_table(), F.lit(False))
+            refused = rows.filter(~fits).count()
+            if refused:
+                refused_to = refused_to or f"refused/{target_name}"
+                self.write(rows.filter(~fits), source, refused_to)
+                rows = rows.filter(fits)
         if self.endpoint(target).is_table_store:
-            rows = staged.filter(fits_user_table()) if check_table_limits else staged
             types = {c: f"VARCHAR({n})" for c, n in USER_TABLE_LENGTHS.items()}
             written = self.write(
                 rows, target, target_name, mode, options={"column_types": types}, staged=True
             )
         else:
-            written = self.write(staged, target, target_name, mode)
+            written = self.write(rows, target, target_name, mode)
         discard(copy)
-        return UsersTransferred(total, valid, total - valid, written, source, target)
+        return UsersTransferred(
+            total, valid, total - valid, written, source, target, refused, refused_to if refused else None
+        )
 
     # -- the ledger in a store -----------------------------------------------
 
@@ -367,6 +408,13 @@ class Stores:
         return self.write_ledger(moved, target, target_name)
 
 
+def _unused(kind: str, **given: Any) -> None:
+    """Refuse what this kind of store would ignore."""
+    ignored = [k for k, v in given.items() if v is not None]
+    if ignored:
+        raise ValueError(f"{kind} does not use {', '.join(ignored)}")
+
+
 def _message(e: Exception) -> str:
     """The first line of an error that says something."""
     cause = getattr(e, "java_exception", None)

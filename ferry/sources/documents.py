@@ -17,14 +17,16 @@ def read_collection(
     endpoint: Endpoint,
     collection: str = LEDGER_CONTAINER,
     schema: StructType | str | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Read a collection; its schema is inferred unless given."""
     schema = schema or endpoint.schemas.get(collection)
+    merged = {**endpoint.options, **(options or {})}
     if endpoint.format != "mongodb":
         return read_dataset(
-            spark, endpoint.path(collection), endpoint.format, schema, endpoint.options
+            spark, endpoint.path(collection), endpoint.format, schema, merged
         )
-    reader = spark.read.format("mongodb").options(**endpoint.options)
+    reader = spark.read.format("mongodb").options(**merged)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.option("collection", collection).load()

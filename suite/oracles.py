@@ -94,9 +94,9 @@ def with_(*parts: str) -> str:
 def moved(version: str) -> str:
     """The event ledger after moving the order keys on to ``version``."""
     return with_(LEDGER, ORDER_LEDGER, ORDER_KEYS, best("best", "ledger")) + f"""
-SELECT {LEDGER_COLUMNS} FROM ledger WHERE db NOT IN (SELECT db FROM order_keys)
+SELECT {LEDGER_COLUMNS}, rid FROM ledger WHERE db NOT IN (SELECT db FROM order_keys)
 UNION ALL
-SELECT k.db, {version}, coalesce(b.created_at, {AS_OF}), {AS_OF}
+SELECT k.db, {version}, coalesce(b.created_at, {AS_OF}), {AS_OF}, b.rid
 FROM order_keys k LEFT JOIN best b ON b.db = k.db"""
 
 
@@ -211,13 +211,33 @@ def all_oracles() -> dict[str, str]:
         "latest_version_or_zero": with_(LEDGER, ORDER_LEDGER, ORDER_KEYS)
         + "SELECT k.db, coalesce(max(l.test_version), 0) AS test_version "
         "FROM order_keys k LEFT JOIN ledger l ON l.db = k.db GROUP BY k.db",
+        "ledger_documents_bump": with_(DOCUMENTS, best("best", "documents_of_ledger", "test_version DESC, updated_at DESC, _id DESC"))
+        + "SELECT _id, created_at, db, round(test_version + 0.1, 1) AS test_version, "
+        "'2025-01-01T00:00:00.000Z' AS updated_at FROM best",
+        "ledger_documents_compact": with_(DOCUMENTS, best("newest", "documents_of_ledger", "updated_at DESC, _id DESC"))
+        + "SELECT * FROM newest",
+        "csv_roundtrip_documents": "SELECT * FROM documents",
+        "csv_roundtrip_conversations": "SELECT * FROM conversations",
+        "csv_roundtrip_pages": "SELECT * FROM pages",
+        "partitioned_text_values": "SELECT c_custkey, CASE WHEN c_nationkey % 7 <> 3 "
+        "THEN lpad(CAST(c_nationkey AS VARCHAR), 3, '0') END AS part FROM customer",
+        "declared_route_table": with_(LEDGER) + f"SELECT {LEDGER_COLUMNS} FROM ledger",
+        "transfer_refused_rows": with_(
+            RAW.replace("raw AS (", "short AS (", 1),
+            "raw AS (SELECT * REPLACE (CASE WHEN rid % 7 = 0 THEN repeat(first_name, 60) ELSE first_name END "
+            "AS first_name) FROM short)",
+            DEDUP,
+            f"valid AS (SELECT {USERS} FROM firsts WHERE {IS_VALID})",
+        )
+        + f"SELECT {USERS}, CASE WHEN length(first_name) > 255 OR length(last_name) > 255 OR length(email) > 255 "
+        "OR length(phone) > 50 THEN 'refused' ELSE 'table' END AS place FROM valid",
         "ledger_compact": with_(LEDGER, best("newest", "ledger", "updated_at DESC, rid DESC"))
         + "SELECT * FROM newest",
         "ledger_create": with_(LEDGER, ORDER_LEDGER, ORDER_KEYS)
         + f"SELECT {LEDGER_COLUMNS} FROM ledger UNION ALL "
         f"SELECT db, CAST(1 AS DOUBLE), {AS_OF}, {AS_OF} FROM order_keys",
         "ledger_bump": with_(LEDGER, best("best", "ledger"))
-        + f"SELECT db, round(test_version + 0.1, 1) AS test_version, created_at, {AS_OF} AS updated_at FROM best",
+        + f"SELECT db, round(test_version + 0.1, 1) AS test_version, created_at, {AS_OF} AS updated_at, rid FROM best",
         "ledger_bump_keys": moved("coalesce(round(b.test_version + 0.1, 1), 1.0)"),
         "ledger_set": moved("CAST(2.5 AS DOUBLE)"),
         "ledger_transfer": with_(
@@ -227,10 +247,10 @@ def all_oracles() -> dict[str, str]:
             "given AS (SELECT db, max(test_version) AS v FROM ledger GROUP BY db)",
             best("best", "order_ledger"),
         )
-        + f"""SELECT {LEDGER_COLUMNS} FROM order_ledger WHERE db NOT IN (SELECT db FROM keys)
+        + f"""SELECT {LEDGER_COLUMNS}, rid FROM order_ledger WHERE db NOT IN (SELECT db FROM keys)
 UNION ALL
 SELECT k.db, CASE WHEN g.v IS NULL OR g.v = 0 THEN 1.0 ELSE g.v END,
-       coalesce(b.created_at, {AS_OF}), {AS_OF}
+       coalesce(b.created_at, {AS_OF}), {AS_OF}, b.rid
 FROM keys k LEFT JOIN given g ON g.db = k.db LEFT JOIN best b ON b.db = k.db""",
         "ledger_transfer_reverse": with_(
             LEDGER,

@@ -227,21 +227,21 @@ def ledger_create(spark, sf_dir):
 
 @query
 def ledger_bump(spark, sf_dir):
-    return ledgers.bump(ledger(spark, sf_dir), as_of=AS_OF, tie_break="rid").drop("rid")
+    return ledgers.bump(ledger(spark, sf_dir), as_of=AS_OF, tie_break="rid")
 
 
 @query
 def ledger_bump_keys(spark, sf_dir):
     return ledgers.bump(
         ledger(spark, sf_dir), _order_keys(spark, sf_dir), as_of=AS_OF, tie_break="rid"
-    ).drop("rid")
+    )
 
 
 @query
 def ledger_set(spark, sf_dir):
     return ledgers.bump(
         ledger(spark, sf_dir), _order_keys(spark, sf_dir), 2.5, as_of=AS_OF, tie_break="rid"
-    ).drop("rid")
+    )
 
 
 def _transfer_keys(spark, sf_dir):
@@ -260,7 +260,7 @@ def ledger_transfer(spark, sf_dir):
         _transfer_keys(spark, sf_dir),
         as_of=AS_OF,
         tie_break="rid",
-    ).drop("rid")
+    )
 
 
 @query
@@ -294,9 +294,90 @@ def ledger_job(spark, sf_dir):
     return jobs.ledger_job(stores, "mongodb", _order_keys(spark, sf_dir), as_of=AS_OF)
 
 
+@query
+def ledger_documents_bump(spark, sf_dir):
+    """Times kept as text."""
+    return ledgers.bump(ledger_documents(spark, sf_dir), as_of=AS_OF, tie_break="_id")
+
+
+@query
+def ledger_documents_compact(spark, sf_dir):
+    return ledgers.compact(ledger_documents(spark, sf_dir), tie_break="_id")
+
+
 # -- scans and sinks ---------------------------------------------------------
 
 
+def _csv_roundtrip(spark, sf_dir, name):
+    """Ordinary text, with its line breaks, quotes and backslashes, by way of CSV."""
+    rows = table(spark, sf_dir, name)
+    path = scratch_path(spark, "query")
+    objects.write_dataset(rows, path, "csv")
+    return objects.read_dataset(spark, path, "csv", rows.schema)
+
+
+@query
+def csv_roundtrip_documents(spark, sf_dir):
+    return _csv_roundtrip(spark, sf_dir, "documents")
+
+
+@query
+def csv_roundtrip_conversations(spark, sf_dir):
+    return _csv_roundtrip(spark, sf_dir, "conversations")
+
+
+@query
+def csv_roundtrip_pages(spark, sf_dir):
+    return _csv_roundtrip(spark, sf_dir, "pages")
+
+
+@query
+def partitioned_text_values(spark, sf_dir):
+    """Partition values that look like numbers, and NULL, come back as they were."""
+    nation = F.lpad((F.col("c_nationkey")).cast("string"), 3, "0")
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(F.col("c_nationkey") % 7 != 3, nation).alias("part")
+    )
+    path = scratch_path(spark, "query")
+    objects.write_dataset(rows, path, "parquet", partition_by="part")
+    return objects.read_dataset(spark, path, "parquet", rows.schema)
+
+
+@query
+def transfer_refused_rows(spark, sf_dir):
+    """Valid users too long for the table are kept in a dataset of their own."""
+    long_name = F.when(F.col("rid") % 7 == 0, F.repeat("first_name", 60)).otherwise(F.col("first_name"))
+    stores = _stores(spark)
+    stores.write(raw_users(spark, sf_dir).withColumn("first_name", long_name), "s3", jobs.USERS_PATH)
+    told = jobs.users_to_database(stores, "postgresql", order_by="rid")
+    kept = stores.read("postgresql", USER_CONTAINER).withColumn("place", F.lit("table"))
+    refused = stores.read("s3", told.refused_to).withColumn("place", F.lit("refused"))
+    return kept.unionByName(refused).select(*USERS, "place")
+
+
+@query
+def declared_route_table(spark, sf_dir):
+    """Relational ledger to JSON files."""
+    rows = ledger(spark, sf_dir).drop("rid")
+    stores = _stores(spark)
+    stores.write(rows, "postgresql", LEDGER_CONTAINER)
+    jobs.run_route(
+        stores,
+        {
+            "src": {"type": "database", "properties": {"storage": "postgresql", "table": LEDGER_CONTAINER}},
+            "dest": {
+                "type": "file",
+                "properties": {
+                    "storage": "MinIO", "path": "routes/postgresql", "filename": "ledger_json", "format": "json",
+                },
+            },
+        },
+    )
+    return stores.read("s3", "routes/postgresql/ledger_json", rows.schema, format="json")
+
+
+
+
 def _object_roundtrip(spark, sf_dir, format):
     users = raw_users(spark, sf_dir)
     path = scratch_path(spark, "query")
