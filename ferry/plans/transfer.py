@@ -6,7 +6,8 @@ transfer between them by kind.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import functools
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -25,7 +26,7 @@ from ferry.operators.quality import validate_all
 from ferry.schemas import LEDGER, fits_user_table
 from ferry.sources import documents, objects, tables
 from ferry.sources.endpoint import Endpoint
-from ferry.sources.scratch import discard, path_exists, stage
+from ferry.sources.scratch import own_scratch, path_exists, stage
 
 
 class TransferError(RuntimeError):
@@ -61,6 +62,17 @@ class UsersTransferred:
     refused_to: str | None = None
 
 
+def _tidy(call: Callable) -> Callable:
+    """A method of ``Stores`` that leaves nothing behind in scratch once it ends well."""
+
+    @functools.wraps(call)
+    def tidy(self: Stores, *given: Any, **more: Any) -> Any:
+        with own_scratch(self.spark):
+            return call(self, *given, **more)
+
+    return tidy
+
+
 class Stores:
     """The stores of one deployment, by kind; s3 and minio are one store."""
 
@@ -266,6 +278,7 @@ class Stores:
         rows = self.write(df, target, target_name, mode, **write_options)
         return Transferred(True, rows, source, target)
 
+    @_tidy
     def transfer_users(
         self,
         target: str,
@@ -312,7 +325,6 @@ class Stores:
             )
         else:
             written = self.write(rows, target, target_name, mode)
-        discard(copy)
         return UsersTransferred(
             total, valid, total - valid, written, source, target, refused, refused_to if refused else None
         )
@@ -333,6 +345,7 @@ class Stores:
         rows = ledgers.of_key(self.read_ledger(kind, name), key)
         return rows.agg(F.max("test_version")).first()[0]
 
+    @_tidy
     def create_versions(
         self,
         kind: str,
@@ -345,6 +358,7 @@ class Stores:
         like = self.read_ledger(kind, name)
         return self.write(ledgers.new_rows(keys, like, version, as_of), kind, name, "append")
 
+    @_tidy
     def bump_versions(
         self,
         kind: str,
@@ -358,12 +372,14 @@ class Stores:
         moved = ledgers.bump(self.read_ledger(kind, name), keys, new_version, as_of, tie_break)
         return self.write_ledger(moved, kind, name)
 
+    @_tidy
     def compact_ledger(
         self, kind: str, name: str = LEDGER_CONTAINER, tie_break: str | None = None
     ) -> int:
         """Keep only the most recently updated row of each key."""
         return self.write_ledger(ledgers.compact(self.read_ledger(kind, name), tie_break), kind, name)
 
+    @_tidy
     def write_ledger(self, df: DataFrame, kind: str, name: str = LEDGER_CONTAINER) -> int:
         """Replace the ledger in a store with rows computed from it.
 
@@ -377,9 +393,9 @@ class Stores:
             )
         except Exception as e:
             raise TransferError(f"{kind} {name} not replaced; the rows are in {copy.path}") from e
-        discard(copy)
         return rows
 
+    @_tidy
     def transfer_versions(
         self,
         source: str,

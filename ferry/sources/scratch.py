@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,9 +41,35 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+# The paths handed out inside the innermost ``own_scratch``.
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str = "stage") -> str:
     """A path nobody has used yet."""
-    return f"{scratch_root(spark)}/ferry/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/ferry/{name}-{uuid.uuid4().hex}"
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def own_scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove what is staged inside once it ends well; nothing may read it then.
+
+    Take a path off the list to keep it. After an error everything stays, as it
+    may be all that is left of the rows.
+    """
+    paths: list[str] = []
+    token = _owned.set(paths)
+    try:
+        yield paths
+    finally:
+        _owned.reset(token)
+    for path in paths:
+        fs, jvm_path = _file_system(spark, path)
+        fs.delete(jvm_path, True)
 
 
 class Staged(NamedTuple):

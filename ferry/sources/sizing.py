@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -49,22 +50,35 @@ def _bytes(value: str) -> int:
     return int(text[:-1]) * units[text[-1]] if text[-1:] in units else int(text)
 
 
+# Settings that jobs have raised: how many jobs hold each, and what it was before.
+_raised: dict[tuple[int, str], tuple[int, str]] = {}
+_lock = threading.Lock()
+
+
 @contextmanager
 def sized_for(df: DataFrame) -> Iterator[None]:
     """Raise the session's settings for the jobs inside, never lower them.
 
     Adaptive execution joins small shuffle partitions but cannot make more of
-    them, so a shuffle has to start with enough.
+    them, so a shuffle has to start with enough. Jobs that overlap share a raised
+    setting; the last one to end puts the session's own value back.
     """
-    conf = df.sparkSession.conf
-    before = {}
-    for name, wanted in settings_for(input_bytes(df)).items():
-        now = conf.get(name)
-        if _bytes(now) < wanted:
-            before[name] = now
-            conf.set(name, str(wanted))
+    conf, session = df.sparkSession.conf, id(df.sparkSession._jsparkSession)
+    wanted = settings_for(input_bytes(df))
+    with _lock:
+        for setting, size in wanted.items():
+            now = conf.get(setting)
+            jobs, before = _raised.get((session, setting), (0, now))
+            _raised[session, setting] = jobs + 1, before
+            if _bytes(now) < size:
+                conf.set(setting, str(size))
     try:
         yield
     finally:
-        for name, value in before.items():
-            conf.set(name, value)
+        with _lock:
+            for setting in wanted:
+                jobs, before = _raised.pop((session, setting))
+                if jobs > 1:
+                    _raised[session, setting] = jobs - 1, before
+                elif conf.get(setting) != before:
+                    conf.set(setting, before)
