@@ -9,7 +9,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferry.llm.components import components
@@ -122,7 +122,11 @@ class Block(NamedTuple):
     buckets: list[np.ndarray]
 
     def fresh(self) -> np.ndarray:
-        """Pairs to look at here: of the two sides, each once, and in no earlier bucket."""
+        """Pairs to look at here: of the two sides, each once, and in no larger bucket.
+
+        Alike texts meet in many buckets; the largest take most of their pairs, so
+        few buckets need their shingles.
+        """
         n = len(self.left)
         if (self.left == self.right).all():
             pairs = np.triu(np.ones((n, n), bool), 1)
@@ -279,6 +283,15 @@ def _path_table(docs: DataFrame, text_column: str, runs: int, similarity: float)
     return materialize(found.groupBy("key").agg(F.count("*").alias("copies"), *firsts), "paths")
 
 
+def _code(n: Column, node: Column) -> Column:
+    """A bucket's name, smaller for larger buckets: inverted size, then bits of its node.
+
+    Should two buckets of one size ever share a name, they are compared as one.
+    """
+    size = F.least(n, F.lit(2**20 - 1))
+    return F.shiftleft(2**20 - 1 - size, 43).bitwiseOR(F.shiftrightunsigned(node, 21))
+
+
 def _buckets(table: DataFrame) -> DataFrame:
     """bucket, key and blocks of every final bucket with two texts or more."""
     parts, large = [], None
@@ -288,11 +301,13 @@ def _buckets(table: DataFrame) -> DataFrame:
         if large is not None:
             rows = rows.join(large, "parent", "left_semi")
         rows = rows.select("bucket", "key").distinct()
+        rows = rows if large is None else materialize(rows, "split")
         sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
         sizes = materialize(sizes, "sizes")
         final = sizes if d == DEPTH else sizes.where(F.col("n") <= BLOCK)
-        final = final.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-        parts.append(rows.join(final, "bucket"))
+        final = final.select("bucket", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        named = rows.join(final, "bucket")
+        parts.append(named.select(_code(F.col("n"), F.col("bucket")).alias("bucket"), "key", "blocks"))
         large = sizes.where(F.col("n") > BLOCK).select(F.col("bucket").alias("parent"))
     out = parts[0]
     for part in parts[1:]:
