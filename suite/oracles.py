@@ -251,6 +251,18 @@ def all_oracles() -> dict[str, str]:
 UNION ALL
 SELECT k.db, CASE WHEN g.v IS NULL OR g.v = 0 THEN 1.0 ELSE g.v END,
        coalesce(b.created_at, {AS_OF}), {AS_OF}, b.rid
+FROM keys k LEFT JOIN given g ON g.db = k.db LEFT JOIN best b ON b.db = k.db""",
+        "versions_to_relational": with_(
+            LEDGER,
+            ORDER_LEDGER,
+            "keys AS (SELECT DISTINCT db FROM ledger UNION SELECT 'missing_' || n_nationkey FROM nation)",
+            "given AS (SELECT db, max(test_version) AS v FROM ledger GROUP BY db)",
+            best("best", "order_ledger"),
+        )
+        + f"""SELECT {LEDGER_COLUMNS} FROM order_ledger WHERE db NOT IN (SELECT db FROM keys)
+UNION ALL
+SELECT k.db, CASE WHEN g.v IS NULL OR g.v = 0 THEN 1.0 ELSE g.v END,
+       coalesce(b.created_at, {AS_OF}), {AS_OF}
 FROM keys k LEFT JOIN given g ON g.db = k.db LEFT JOIN best b ON b.db = k.db""",
         "ledger_transfer_reverse": with_(
             LEDGER,
@@ -268,6 +280,9 @@ UNION ALL SELECT db, round(test_version + 0.1, 1), created_at, updated_at, rid F
         "ledger_job": with_(LEDGER, ORDER_LEDGER, ORDER_KEYS)
         + "SELECT k.db, coalesce(round(max(l.test_version) + 0.1, 1), 1.0) AS test_version "
         "FROM order_keys k LEFT JOIN ledger l ON l.db = k.db GROUP BY k.db",
+        "ledger_job_relational": with_(LEDGER, ORDER_LEDGER, ORDER_KEYS)
+        + "SELECT k.db, coalesce(round(max(l.test_version) + 0.1, 1), 1.0) AS test_version "
+        "FROM order_keys k LEFT JOIN ledger l ON l.db = k.db GROUP BY k.db",
         "object_roundtrip_parquet": raw_all,
         "object_roundtrip_json": raw_all,
         "object_roundtrip_csv": raw_all,
@@ -301,8 +316,8 @@ UNION ALL SELECT db, round(test_version + 0.1, 1), created_at, updated_at, rid F
         "SELECT 's3:silver/users', true, count(*), false FROM orders UNION ALL "
         "SELECT 'postgresql:db_connect', false, 0, true",
         "object_store_job": with_(synthetic_users(), VERSIONED)
-        + "SELECT 'users' AS dataset, email AS key, phone AS value FROM synthetic "
-        "UNION ALL SELECT 'versions', _id, db FROM versioned",
+        + "SELECT 'users' AS dataset, first_name AS a, last_name AS b, email AS c, phone AS d, gender AS e FROM synthetic "
+        "UNION ALL SELECT 'versions', _id, db, CAST(test_version AS VARCHAR), created_at, updated_at FROM versioned",
         "declared_route": documents,
         "declared_route_dat": with_(LEDGER) + f"SELECT {LEDGER_COLUMNS} FROM ledger",
         "transfer_report": with_(VALID)

@@ -305,6 +305,27 @@ def ledger_documents_compact(spark, sf_dir):
     return ledgers.compact(ledger_documents(spark, sf_dir), tie_break="_id")
 
 
+@query
+def ledger_job_relational(spark, sf_dir):
+    rows = ledger(spark, sf_dir).drop("rid")
+    stores = _stores(spark)
+    stores.write(rows, "postgresql", LEDGER_CONTAINER)
+    return jobs.ledger_job(stores, "postgresql", _order_keys(spark, sf_dir), as_of=AS_OF)
+
+
+@query
+def versions_to_relational(spark, sf_dir):
+    """Document to relational store, through the stores and back out."""
+    source, target = ledger(spark, sf_dir).drop("rid"), order_ledger(spark, sf_dir).drop("rid")
+    stores = _stores(spark, **{LEDGER_CONTAINER: source.schema})
+    stores.write(source, "mongodb", LEDGER_CONTAINER)
+    stores.write(target, "postgresql", LEDGER_CONTAINER)
+    jobs.versions_flow(
+        stores, "mongodb", "postgresql", keys=_transfer_keys(spark, sf_dir), as_of=AS_OF
+    )
+    return stores.read_ledger("postgresql")
+
+
 # -- scans and sinks ---------------------------------------------------------
 
 
@@ -604,13 +625,13 @@ def object_store_job(spark, sf_dir):
     users, versions = jobs.object_store_job(
         _stores(spark), synthetic_users(spark, sf_dir), literal_versions(spark, sf_dir)
     )
-    return users.select(
-        F.lit("users").alias("dataset"), F.col("email").alias("key"), F.col("phone").alias("value")
-    ).unionByName(
+    parts = ["dataset", "a", "b", "c", "d", "e"]
+    ours = users.select(F.lit("users"), *USERS)
+    return ours.unionAll(
         versions.select(
-            F.lit("versions").alias("dataset"), F.col("_id").alias("key"), F.col("db").alias("value")
+            F.lit("versions"), "_id", "db", F.col("test_version").cast("string"), "created_at", "updated_at"
         )
-    )
+    ).toDF(*parts)
 
 
 @query
