@@ -26,6 +26,9 @@ BLOCK, DEPTH = 1024, 3
 # Bins of a text's sketch, and how many standard errors below the threshold a
 # sketch may lie before the exact comparison is left out.
 BINS, ERRORS = 64, 5.0
+# Keys of texts with a likely link that may be broadcast: 16 bytes each and the row
+# overhead of a hash table, under 100 MB at this number.
+BROADCAST_KEYS = 1_000_000
 # Shingles compared at a time within two blocks.
 COLUMNS = 4096
 # Odd multipliers for mixing 64-bit hashes.
@@ -352,7 +355,10 @@ def links(
     )
     text = whole(quoted(text_column))
     texts = docs.select(F.unhex(F.md5(text)).alias("key"), text.alias("text"))
-    texts = texts.join(materialize(left.select("key").distinct(), "keys"), "key", "left_semi")
+    keys = materialize(left.select("key").distinct(), "keys")
+    if keys.count() <= BROADCAST_KEYS:  # else both sides are shuffled, texts included
+        keys = F.broadcast(keys)
+    texts = texts.join(keys, "key", "left_semi")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
