@@ -30,7 +30,7 @@ BINS, ERRORS = 64, 5.0
 # overhead of a hash table, under 100 MB at this number.
 BROADCAST_KEYS = 1_000_000
 # Shingles compared at a time within two blocks.
-COLUMNS = 4096
+COLUMNS = 1024
 # Odd multipliers for mixing 64-bit hashes.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
 
@@ -164,11 +164,12 @@ def _shared(owners: np.ndarray, values: np.ndarray, n: int) -> np.ndarray | None
 
 def plausible(sketches: np.ndarray, sizes: np.ndarray, pairs: np.ndarray, similarity: float) -> np.ndarray:
     """Which of ``pairs`` may reach the threshold by size and sketch."""
-    smaller, larger = np.minimum(sizes[:, None], sizes), np.maximum(sizes[:, None], sizes)
-    a, b = np.nonzero(pairs & (smaller >= similarity * larger))
+    least = (similarity * sizes - 1e-3).astype(np.float32)[:, None]
+    larger = sizes.astype(np.float32) >= least
+    a, b = np.nonzero(pairs & larger & larger.T)
     out = np.zeros_like(pairs)
-    for low in range(0, len(a), 65536):
-        i, j = a[low : low + 65536], b[low : low + 65536]
+    for low in range(0, len(a), 16384):
+        i, j = a[low : low + 16384], b[low : low + 16384]
         x, y = sketches[i], sketches[j]
         used = ((x > 0) | (y > 0)).sum(1)
         same = ((x == y) & (x > 0)).sum(1)
@@ -185,8 +186,12 @@ def linked(sets: list[np.ndarray], pairs: np.ndarray, similarity: float) -> np.n
     both = _shared(owners, np.concatenate(sets), len(sets))
     if both is None:
         return np.zeros_like(pairs)
-    union = sizes[:, None] + sizes[None, :] - both
-    return pairs & (both + 1e-9 >= similarity * union)
+    out = np.zeros_like(pairs)
+    for low in range(0, len(sizes), 128):  # a few rows at a time, to hold little
+        rows = slice(low, low + 128)
+        union = sizes[rows, None] + sizes[None, :] - both[rows]
+        out[rows] = pairs[rows] & (both[rows] + 1e-9 >= similarity * union)
+    return out
 
 
 def _least_linked(links: np.ndarray) -> np.ndarray:

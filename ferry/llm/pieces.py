@@ -20,8 +20,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 # Text a worker encodes at a time, and chunks whose pieces it remembers.
-SLICE_CHARS = 1_000_000
-REMEMBERED = 200_000
+SLICE_CHARS = 250_000
+REMEMBERED = 100_000
 
 
 class DoubleArray:
@@ -226,9 +226,10 @@ class _Memory:
         return flat, np.bincount(text_of, weights=many, minlength=len(texts)).astype(np.int64)
 
 
-def _slices(texts: list[str]) -> Iterator[list[str]]:
+def _slices(texts: pa.ChunkedArray) -> Iterator[list[str]]:
     part, chars = [], 0
-    for text in texts:
+    for value in texts:
+        text = value.as_py()
         part.append(text)
         chars += len(text)
         if chars >= SLICE_CHARS:
@@ -245,8 +246,7 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, text_column: str
     holds the blank's stand-in itself decodes to a blank there: round_trip is
     false. Rows stand for themselves, so repeated ids and rows do no harm. New
     columns whose names are taken get an underscore. An empty table gives an
-    empty result. Texts are cut into slices of a million characters per pass and
-    memory, never shortened.
+    empty result. A worker encodes some texts at a time, each of them whole.
     """
     spark = docs.sparkSession
     pieces = spark.sparkContext.broadcast(Pieces(file_bytes(spark, model_path)))
@@ -259,7 +259,7 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, text_column: str
         for batch in batches:
             table = pa.Table.from_batches([batch])
             done = 0
-            for part in _slices(table.column(row).to_pylist()):
+            for part in _slices(table.column(row)):
                 flat, counts = memory.slice(part)
                 ends = np.cumsum(counts)
                 listed = flat.tolist()
