@@ -6,19 +6,23 @@ import hashlib
 import hmac
 import re
 from collections.abc import Callable, Iterator
+from itertools import count
 from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ferry.llm import formats
+from ferry.llm.formats import Space
+from ferry.llm.sharding import number_rows
 from ferry.llm.words import free_name, quoted, whole
 from ferry.sources.scratch import materialize
 
 # Entities whose first surrogate clashed, up to which they are broadcast.
 BROADCAST_ENTITIES = 100_000
-# A clash gives way to the next surrogate, at most so often.
-ATTEMPTS = 64
+# Surrogates drawn for an entity; if all clash, it gets a free one by number.
+DRAWS = 4
 
 # What each type looks like.
 EMAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
@@ -75,6 +79,11 @@ def _mod97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
+def _with_check(bare: str) -> str:
+    """The IBAN of a country code and what follows its check digits."""
+    return f"{bare[:2]}{98 - _mod97(f'{bare[:2]}00{bare[2:]}'):02d}{bare[2:]}"
+
+
 def script(word: str) -> str:
     for name, low, high in (("cyrillic", "Ѐ", "ԯ"), ("greek", "Ͱ", "Ͽ")):
         if any(low <= c <= high for c in word):
@@ -160,14 +169,17 @@ def _octet(part: str, draw: _Draw) -> str:
     return str(low + draw.below(high - low))
 
 
+def surrogate_host(domain: str, key: bytes) -> str:
+    return _alike(domain.split(".")[0], _Draw(key, f"domain|{domain}"))
+
+
 def surrogate(kind: str, name: str, key: bytes, attempt: int = 0) -> str:
     """A stand-in for an entity, in the form in which its name is kept."""
     draw = _Draw(key, f"{kind}|{attempt}|{name}")
     base, *rest = kind.split(":")
     if base == "email":
         local, _, domain = name.partition("@")
-        host = _alike(domain.split(".")[0], _Draw(key, f"domain|{domain}"))
-        return f"{_alike(local, draw)}@{host}.example.org"
+        return f"{_alike(local, draw)}@{surrogate_host(domain, key)}.example.org"
     if base == "card":
         body = name[0] + _alike(name[1:-1], draw)
         if not CARD_PREFIX.match(body):  # keep the issuer's range where one digit does not tell it
@@ -176,8 +188,7 @@ def surrogate(kind: str, name: str, key: bytes, attempt: int = 0) -> str:
     if base == "ip":
         return ".".join(_octet(part, draw) for part in name.split("."))
     if base == "iban":
-        body = name[:2] + "00" + _alike(name[4:], draw)
-        return f"{name[:2]}{98 - _mod97(body):02d}{body[4:]}"
+        return _with_check(name[:2] + _alike(name[4:], draw))
     if base in ("given", "surname"):
         first, second = SYLLABLES[rest[-1]]
         long = 3 if base == "given" else 4
@@ -193,12 +204,82 @@ def surrogate(kind: str, name: str, key: bytes, attempt: int = 0) -> str:
     return _alike(name, draw)
 
 
+def _spaces(base: str, value: str) -> Iterator[tuple[str, Space]]:
+    """The formats that ``value`` may belong to, each with a name; formats of one
+    name are equal, others share no value, except hexadecimal with other secrets."""
+    made: list[tuple[str, Space]] = []
+    if base == "email":
+        local, _, domain = value.partition("@")
+        made.append((base, Space(formats.alike(local) + formats.fixed("@" + domain))))
+    elif base in ("card", "phone", "ssn", "iban"):
+        body, x, more = value.partition("x")
+        tail = formats.fixed(x) + formats.alike(more)
+
+        def form(alphabets, whole=str, bare=str):
+            split = lambda f: lambda v: f(v.partition("x")[0]) + "".join(v.partition("x")[1:])
+            return base, Space(alphabets + tail, split(whole), split(bare))
+
+        if base == "card":
+            starts = formats.CARD_STARTS.get(body[:1]) or [next(s for s in ("6011", "65") if body.startswith(s))]
+            digits = formats.alike("0" * (len(body) - 1 - len(starts[0])))
+            made.append(form([starts, *digits], lambda v: v + str(luhn(v)), lambda v: v[:-1]))
+        elif base == "iban":
+            made.append(
+                form(formats.fixed(body[:2]) + formats.alike(body[4:]), _with_check, lambda v: v[:2] + v[4:])
+            )
+        elif base == "phone":
+            head = max(len(body) - 10, 0)
+            made.append(form([*formats.fixed(body[:head]), "23456789", *formats.alike(body[head + 1 :])]))
+        else:
+            made.append(form(formats.alike(body)))
+    elif base == "ip" and ":" in value:
+        groups = [formats.HEX if c != ":" else ":" for c in formats.IPV6[8:]]
+        made.append((base, Space([*formats.fixed(formats.IPV6[:8]), *groups])))
+    elif base == "ip":
+        parts = [a for part in value.split(".") for a in (".", formats.octets(len(part)))]
+        made.append((base, Space(parts[1:])))
+    elif base in ("given", "surname"):
+        first, second = SYLLABLES[script(value)]
+        units = [a + b for a in first for b in second]
+        ends = [[value[-1]]] if base == "given" else []
+        if (len(value) - len(ends)) % 2 == 0:
+            made.append((base, Space([units] * ((len(value) - len(ends)) // 2) + ends)))
+    else:
+        for name, digits in (("hex", formats.HEX), ("HEX", formats.HEX.upper())):
+            if base == "secret" and re.fullmatch(f"[{digits}]+", value):
+                made.append((name, Space([digits] * len(value))))
+        made.append((base, Space(formats.alike(value))))
+    for name, space in made:
+        yield f"{base}|{name}|{space.value(0)}", space
+
+
+def _example(kind: str, name: str, key: bytes, level: int) -> str:
+    """Any value of the format from which an entity gets its surrogate. Level 0 is
+    the format of ``surrogate``; each level more is a format with more values."""
+    base, *rest = kind.split(":")
+    if base == "email":
+        end = "net" if level else "org"
+        local, _, domain = name.partition("@")
+        host = surrogate_host(domain, key)
+        return f"{local}{formats.WIDER['email'] * level}@{host}.example.{end}"
+    if base in ("card", "phone", "ssn", "iban"):
+        return name + ("x" + formats.WIDER["digits"] * level if level else "")
+    if base == "ip":
+        return formats.IPV6 if level else name
+    if base in ("given", "surname"):
+        first, second = SYLLABLES[rest[-1]]
+        syllables = (first[0] + second[0]) * (level + (3 if base == "given" else 4))
+        return syllables + (ENDINGS[rest[-1]][rest[0]] if base == "given" else "")
+    return name + formats.WIDER["secret"] * level
+
+
 def _dressed(mention: str, kind: str, made: str) -> str:
     """The surrogate in the layout and the case of this mention."""
     base = kind.split(":")[0]
     if base in ("card", "phone", "ssn", "iban"):
+        made, x, more = made.partition("x")  # a widened format goes on behind the layout
         left = iter(made)
-        return "".join(next(left) if c.isalnum() else c for c in mention)
+        return "".join(next(left) if c.isalnum() else c for c in mention) + (x and f" {x}{more}")
     if base in ("given", "surname"):
         return made.upper() if len(mention) > 1 and mention.isupper() else made.capitalize()
     if base == "email" and mention.isupper():
@@ -206,11 +287,15 @@ def _dressed(mention: str, kind: str, made: str) -> str:
     return made
 
 
-def rewrite(text: str, key: bytes, attempts: Callable[[str, str], int]) -> tuple[str, int]:
-    """The text with its mentions replaced, and how many there were."""
+def rewrite(text: str, key: bytes, attempts: Callable[[str, str], int | str]) -> tuple[str, int]:
+    """The text with its mentions replaced, and how many there were.
+
+    ``attempts`` gives the surrogate of an entity, or the attempt that makes it.
+    """
     out, upto, found = [], 0, find(text)
     for m in found:
-        made = surrogate(m.kind, m.name, key, attempts(m.kind, m.name))
+        made = attempts(m.kind, m.name)
+        made = made if isinstance(made, str) else surrogate(m.kind, m.name, key, made)
         out += [text[upto : m.start], _dressed(text[m.start : m.end], m.kind, made)]
         upto = m.end
     return "".join([*out, text[upto:]]), len(found)
@@ -249,20 +334,91 @@ def _with_surrogates(rows: DataFrame, key: bytes) -> DataFrame:
     )
 
 
+def _mapped(rows: DataFrame, make: Callable[..., Iterator[tuple]], schema: str) -> DataFrame:
+    """The tuples that ``make`` gives for each row, text unless the schema says bigint."""
+    names, kinds = zip(*(column.split() for column in schema.split(", ")), strict=True)
+    types = [pa.int64() if k == "bigint" else pa.int32() if k == "int" else pa.string() for k in kinds]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [t for row in zip(*map(pa.Array.to_pylist, batch.columns), strict=True) for t in make(*row)]
+            columns = [pa.array([t[i] for t in made], type_) for i, type_ in enumerate(types)]
+            yield pa.RecordBatch.from_arrays(columns, names=list(names))
+
+    return rows.mapInArrow(run, schema)
+
+
+def _assigned(left: DataFrame, used: DataFrame, key: bytes) -> DataFrame:
+    """``left`` (kind, name, attempt) with made: a free value of each one's format.
+
+    ``used`` has the values (base, made) that are gone. The values of a format
+    have places in a keyed order. With the used places counted down by those
+    before them, a sort of used places and numbered entities leaves each entity
+    at its free place. Those for whom no place is left go on to a wider format.
+    """
+    done = None
+    for level in count():
+        def wanted(kind, name, attempt, level=level):
+            form, space = next(_spaces(kind.split(":")[0], _example(kind, name, key, level)))
+            yield form, min(space.size(), formats.PLACES), kind, name, attempt
+
+        def belongs(base, made):
+            for form, _ in _spaces(base, made) if base != "card" or CARD_PREFIX.match(made) else ():
+                yield form, base, made
+
+        def placed(form, base, made):
+            space = dict(_spaces(base, made))[form]
+            index = space.index(made)
+            if index is not None:
+                place = formats.permuted(index, space.size(), key, form, back=True)
+                if place < formats.PLACES:
+                    yield form, place
+
+        def valued(form, place, kind, name, attempt):
+            base, _, example = form.split("|", 2)
+            space = dict(_spaces(base, example))[form]
+            yield kind, name, attempt, space.value(formats.permuted(place, space.size(), key, form))
+
+        asked = _mapped(left.select("kind", "name", "attempt"), wanted, "form string, size bigint, kind string, name string, attempt int")
+        asked = materialize(number_rows(asked, "form", ["kind", "name"], "rank"), "asked")
+        some = asked.select("form").distinct()
+        bases = some.select(F.split_part("form", F.lit("|"), F.lit(1)).alias("base")).distinct()
+        rows = used.join(F.broadcast(bases), "base", "left_semi").select("base", "made")
+        rows = _mapped(rows, belongs, "form string, base string, made string").join(some, "form", "left_semi").distinct()
+        gone = _mapped(rows.select("form", "base", "made"), placed, "form string, place bigint")
+        gone = number_rows(gone, "form", ["place"], "before").select("form", (F.col("place") - F.col("before")).alias("rank"))
+        both = gone.withColumn("wants", F.lit(0)).unionByName(
+            asked.withColumn("wants", F.lit(1)), allowMissingColumns=True
+        )
+        got = number_rows(both, "form", ["rank", "wants"], "place").where("wants = 1")
+        got = materialize(got.select("form", "place", "size", "kind", "name", "attempt"), "placed")
+        made = got.where("place < size").drop("size")
+        made = materialize(_mapped(made, valued, "kind string, name string, attempt int, made string"), "assigned")
+        done = made if done is None else done.unionByName(made)
+        left = got.where("place >= size").select("kind", "name", "attempt")
+        if left.isEmpty():
+            return done
+        used = used.unionByName(made.select(F.split_part("kind", F.lit(":"), F.lit(1)).alias("base"), "made"))
+
+
 def settle(known: DataFrame, key: bytes) -> DataFrame:
     """kind, name, attempt, made: a surrogate for each entity, all different.
 
     A surrogate clashes if another entity of its type has it, or if it is itself
     an entity of the data. The entity with fewer attempts, then the smaller name,
-    keeps it; the others draw again until nothing clashes. The table stays on the
-    cluster, and rounds after the first concern few rows.
+    keeps it; the others draw again, ``DRAWS`` times in all, and those still left
+    are given free values. So no format runs dry before its last value is used,
+    and then a wider one follows: longer locals at example.net, IPv6 addresses of
+    2001:db8::/32, more digits after an x (phone, card, social security number,
+    IBAN), longer secrets, more syllables. The table stays on the cluster, and
+    rounds after the first concern few rows.
     """
     known = materialize(known.select("kind", "name"), "entities")
     base = F.split_part("kind", F.lit(":"), F.lit(1))
     # Surrogates of names must differ whatever the gender; scripts cannot clash.
     table = materialize(_with_surrogates(known.withColumn("attempt", F.lit(0)), key), "surrogates")
     real = known.select(base.alias("base"), F.col("name").alias("made"), F.lit(True).alias("real")).distinct()
-    for _ in range(ATTEMPTS):
+    for attempt in count(1):
         rows = table.withColumn("base", base)
         shared = (
             rows.groupBy("base", "made")
@@ -281,8 +437,12 @@ def settle(known: DataFrame, key: bytes) -> DataFrame:
         rows = rows.join(shared, ["base", "made"], "left").withColumn("moves", moves)
         stay = rows.where(~F.col("moves")).select("kind", "name", "attempt", "made")
         again = rows.where("moves").select("kind", "name", (F.col("attempt") + 1).alias("attempt"))
-        table = materialize(stay.unionByName(_with_surrogates(again, key)), "surrogates")
-    raise ValueError("a format has fewer surrogates than the data has entities of it")
+        if attempt < DRAWS:
+            new = _with_surrogates(again, key)
+        else:
+            used = stay.select(base.alias("base"), "made").unionByName(real.select("base", "made"))
+            new = _assigned(again, used, key)
+        table = materialize(stay.unionByName(new), "surrogates")
 
 
 def replace(
@@ -290,7 +450,8 @@ def replace(
 ) -> DataFrame:
     """``docs`` with surrogates in the text, and n_entities, the mentions replaced.
 
-    A surrogate depends on the key, the entity and its attempt, so an entity has
+    A surrogate depends on the key, the entity and its attempt (where a format is
+    nearly used up, also on the other entities), so an entity has
     the same one in every document, however it is written there, and different
     entities have different ones. Types: e-mail, phone, IPv4, card (by check digit
     and issuer), social security number, IBAN (by check digits), secret after a
@@ -302,16 +463,16 @@ def replace(
     a number, beyond that by a join on the text's hash.
     """
     name = free_name(docs, "n_entities")
-    moved = settle(entities(docs, text_column), key).where("attempt > 0").select("kind", "name", "attempt")
+    moved = settle(entities(docs, text_column), key).where("attempt > 0").select("kind", "name", "made")
     moved = materialize(moved, "moved")
     text, exceptions = free_name(docs, "given_text"), free_name(docs, "exceptions")
     rows = docs.withColumn(text, quoted(text_column))
     small = None
     if moved.count() <= broadcast_entities:
         small = docs.sparkSession.sparkContext.broadcast(
-            {(r["kind"], r["name"]): r["attempt"] for r in moved.collect()}
+            {(r["kind"], r["name"]): r["made"] for r in moved.collect()}
         )
-        rows = rows.withColumn(exceptions, F.lit(None).cast("array<struct<kind:string,name:string,attempt:int>>"))
+        rows = rows.withColumn(exceptions, F.lit(None).cast("array<struct<kind:string,name:string,made:string>>"))
     else:
         hash_ = F.md5(whole(quoted(text_column)))
 
@@ -326,7 +487,7 @@ def replace(
         by_text = (
             found.join(moved, ["kind", "name"])
             .groupBy(F.col("hash").alias(exceptions + "_of"))
-            .agg(F.collect_list(F.struct("kind", "name", "attempt")).alias(exceptions))
+            .agg(F.collect_list(F.struct("kind", "name", "made")).alias(exceptions))
         )
         rows = rows.join(by_text, hash_ == F.col(exceptions + "_of"), "left").drop(exceptions + "_of")
 
@@ -336,7 +497,7 @@ def replace(
             return None, 0
         if small is not None:
             return rewrite(given, key, lambda k, n: small.value.get((k, n), 0))
-        special = {(e["kind"], e["name"]): e["attempt"] for e in own or []}
+        special = {(e["kind"], e["name"]): e["made"] for e in own or []}
         return rewrite(given, key, lambda k, n: special.get((k, n), 0))
 
     done = free_name(docs, "rewritten")

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ferry.llm import jaccard_join, pieces, surrogates, token_counts, toxicity
+from ferry.llm import formats, jaccard_join, pieces, surrogates, token_counts, toxicity
 from ferry.llm.components import components
 from ferry.llm.words import BETWEEN
 from tests.llm.cases import AWKWARD, LABELS, awkward, clashing, docs, empty, rows
@@ -148,6 +148,55 @@ def test_clashes_are_settled(spark, monkeypatch):
     assert texts[0] == texts[1] and len({t for _, t in texts[0]}) == 3
 
 
+def test_small_formats_are_used_to_the_last_value(spark):
+    quads = [".".join(f"{i:04d}") for i in range(0, 10_000)]
+    random.Random(3).shuffle(quads)
+    known = [("ip", q) for q in quads[:3_700]]
+    known += [("email", f"{c}@{d}.example.com") for c in "abcdefghijklmnopqrstuvwxyz" for d in ("x", "long")]
+    known += [("secret", "-" * 15 + c) for c in "0123456789-"]
+    told = surrogates.settle(spark.createDataFrame(known, "kind string, name string"), KEY).collect()
+    assert sorted((r.kind, r.name) for r in told) == sorted(known)
+    assert len({(r.kind, r.made) for r in told}) == len(known) and not {(r.kind, r.made) for r in told} & set(known)
+    assert all(re.fullmatch(r"[1-9](\.[1-9]){3}", r.made) for r in told if r.kind == "ip")
+    assert all(re.fullmatch(r"[a-z]@[a-z]+\.example\.org", r.made) for r in told if r.kind == "email")
+    assert all(re.fullmatch(r"-{15}[-0-9][a-z]{12}", r.made) for r in told if r.kind == "secret")
+
+
+def test_a_format_too_small_for_its_entities_is_widened(spark):
+    made = [(i, f"at {'.'.join(f'{i:04d}')}, Dr X{i}") for i in range(5_000)]
+    got = surrogates.replace(docs(spark, made), KEY)
+    texts = [r.text.split(",")[0][3:] for r in got.collect()]
+    free = 9**4 - sum("0" not in f"{i:04d}" for i in range(5_000))
+    assert len(set(texts)) == 5_000 and not set(texts) & {".".join(f"{i:04d}") for i in range(5_000)}
+    assert sum(bool(re.fullmatch(r"[1-9](\.[1-9]){3}", t)) for t in texts) == free
+    assert sum(bool(re.fullmatch(r"2001:db8(:[0-9a-f]{4}){6}", t)) for t in texts) == 5_000 - free
+    card, phone = "411111111111111" + str(surrogates.luhn("411111111111111")), "+1 (217) 555-1234"
+    for given, wider in ((card, "4222222222222220x12345678"), (phone, "13334445555x12345678")):
+        text, n = surrogates.rewrite(f"a {given}.", KEY, lambda kind, name, wider=wider: wider)
+        assert n == 1 and text.endswith(" x12345678.")
+
+
+def test_numbers_of_a_format(spark):
+    for size in (1, 2, 7, 100, 6_561):
+        order = [formats.permuted(i, size, KEY, "t") for i in range(size)]
+        assert sorted(order) == list(range(size))
+        assert [formats.permuted(x, size, KEY, "t", back=True) for x in order] == list(range(size))
+    kinds = [
+        ("email", "a.b1@x.org"), ("card", "4111111111111111"), ("card", "6011000990139424"), ("card", "6500000000000002"),
+        ("ip", "9.10.200.1"), ("iban", "GB82WEST12345698765432"), ("ssn", "078051120"), ("phone", "12175551234"),
+        ("secret", "00ff00ff00ff00ff"), ("secret", "Ab-_9zzzzzzzzzzzz"), ("given:f:latin", "anna"), ("surname:greek", "ιο"),
+    ]
+    for kind, name in kinds:
+        base = kind.split(":")[0]
+        for example in [surrogates.surrogate(kind, name, KEY), *(surrogates._example(kind, name, KEY, n) for n in (0, 1, 2))]:
+            form, space = next(surrogates._spaces(base, example))
+            for index in (0, 1, space.size() // 3, space.size() - 1):
+                assert space.index(space.value(index)) == index
+                assert form in dict(surrogates._spaces(base, space.value(index)))
+        first = next(surrogates._spaces(base, surrogates._example(kind, name, KEY, 0)))
+        assert first[1].index(surrogates.surrogate(kind, name, KEY)) is not None or base == "card"
+
+
 def test_surrogates_of_awkward_rows(spark):
     df = clashing(spark)
     got = surrogates.replace(df, KEY)
