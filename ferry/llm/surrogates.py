@@ -30,6 +30,25 @@ PHONE = re.compile(
     r"(?<![\w.])(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{4}"
     r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?!\w)"
 )
+# A number with its country code, however grouped; digits are counted after it is found.
+WORLD_PHONE = re.compile(r"(?<![\w.+])(?:\+|00)[1-9]\d*(?:[ .\-/()]{1,3}\d+)*")
+SPACED_PHONE = re.compile(r"(?<![\w.+])(?<!\d[ .\-/])[2-9]\d\d \d{3} \d{4}(?!\w|[ .\-/]\d)")
+# A national number that begins with the trunk digit 0, one separator throughout.
+TRUNK_PHONE = re.compile(
+    r"(?<![\w.+])(?<!\d[ .\-/])(?:\(0\d{1,4}\) ?\d{2,8}(?:[ \-]\d{2,8}){0,3}"
+    r"|0[1-9]([ .\-])\d\d(?:\1\d\d){3}|0\d{2,4}([ .\-/])\d{2,8}(?:\2\d{2,8}){0,3})(?!\w|[ .\-/]\d)"
+)
+TRUNK_DIGITS = (9, 12)
+# Country codes: 1 and 7, these, and three digits otherwise.
+TWO_DIGIT_CODES = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 "
+    "92 93 94 95 98".split()
+)
+# Digits after the code without the trunk digit, where a plan is known; else 7 up to 15 in all.
+NATIONAL_DIGITS = {
+    "1": (10, 10), "7": (10, 10), "30": (10, 10), "31": (9, 9), "32": (8, 9), "33": (9, 9), "34": (9, 9),
+    "39": (6, 11), "41": (9, 9), "43": (7, 12), "44": (9, 10), "49": (6, 11), "52": (10, 10), "351": (9, 9),
+}
 IP = re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)")
 CARD = re.compile(r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w)")
 SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
@@ -41,10 +60,14 @@ TITLES = {
     "x": "Dr Prof".split(),
 }
 NAME = r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))*"
-PERSON = re.compile(
-    rf"(?<!\w)({'|'.join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))})\.?[  ]"
-    rf"({NAME})(?:[  ]({NAME}))?"
+TITLE = re.compile(
+    rf"(?<!\w)({'|'.join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))})\.?(?=[  ])"
 )
+PARTICLES = "von van der den de del della di da dos du la le zu zum zur ter ten".split()
+# Initials and particles stay; the name after them counts.
+NEXT_NAME = re.compile(rf"[  ](?:[^\W\d_]\.[  ]?)*(?:(?:{'|'.join(PARTICLES)})[  ])*({NAME})")
+BARE_NAME = re.compile(rf"(?<!\w){NAME}(?!\w)")
+MOST_NAMES = 6
 CARD_PREFIX = re.compile(r"4|5[1-5]|2[2-7]|3[47]|35|6011|65")
 # Syllables of invented names, and how given names end.
 SYLLABLES = {
@@ -95,6 +118,72 @@ def _digits(text: str) -> str:
     return re.sub(r"\D", "", text)
 
 
+def _split_code(digits: str) -> tuple[str, str]:
+    """The country code and the number after it, without a trunk digit."""
+    code = digits[: 1 if digits[0] in "17" else 2 if digits[:2] in TWO_DIGIT_CODES else 3]
+    rest = digits[len(code) :]
+    return code, rest if code == "1" else rest.lstrip("0")
+
+
+def _phone_name(code: str, rest: str) -> str:
+    """One name with or without country code: 1 and the number in North America,
+    0 and the number elsewhere."""
+    return ("1" if code == "1" else "0") + rest
+
+
+def _phones(text: str) -> Iterator[Mention]:
+    for m in WORLD_PHONE.finditer(text):
+        ends = [g.end() for g in re.finditer(r"\d+", m[0])]
+        if m[0][0] == "0" and len(ends) == 1:  # 00 begins other numbers too
+            continue
+        for end in reversed(ends):  # digits that follow may not belong to it
+            if re.match(r"\w", text[m.start() + end :][:1]):
+                continue
+            code, rest = _split_code(_digits(m[0][:end]).removeprefix("00"))
+            low, high = NATIONAL_DIGITS.get(code, (7, 15 - len(code)))
+            if low <= len(rest) <= high:
+                yield Mention(m.start(), m.start() + end, "phone", _phone_name(code, rest))
+                break
+    for m in PHONE.finditer(text):
+        digits = _digits(m[0])
+        code, rest = _split_code(digits) if m[0][0] == "+" else ("1", digits)
+        yield Mention(*m.span(), "phone", _phone_name(code, rest))
+    for m in SPACED_PHONE.finditer(text):
+        yield Mention(*m.span(), "phone", _phone_name("1", _digits(m[0])))
+    for m in TRUNK_PHONE.finditer(text):
+        digits = _digits(m[0])
+        if TRUNK_DIGITS[0] <= len(digits) <= TRUNK_DIGITS[1] and digits.lstrip("0"):
+            yield Mention(*m.span(), "phone", _phone_name("", digits.lstrip("0")))
+
+
+def _name_at(match: re.Match, group: int = 0) -> tuple[int, int, str]:
+    """Where a name stands without a possessive ending, and its lower-case form."""
+    start, end = match.span(group)
+    if match[group][-2:] in ("'s", "’s"):
+        end -= 2
+    return start, end, match[group][: end - start].lower()
+
+
+def _persons(text: str) -> Iterator[Mention]:
+    """Names after a title, and the same names wherever else they stand alone."""
+    kinds: dict[str, str] = {}
+    for title in TITLE.finditer(text):
+        names, at = [], title.end()
+        while len(names) < MOST_NAMES and (m := NEXT_NAME.match(text, at)):
+            if not m[1][0].isupper() or m[1] in GENDER or len(names) > 1 and len(m[1]) == 1:
+                break
+            names.append(_name_at(m, 1))
+            at = m.end()
+        for start, end, name in names:
+            kind = "surname" if (start, end, name) == names[-1] else f"given:{GENDER[title[1]]}"
+            kinds.setdefault(name, f"{kind}:{script(name)}")
+            yield Mention(start, end, f"{kind}:{script(name)}", name)
+    for m in BARE_NAME.finditer(text) if kinds else ():
+        start, end, name = _name_at(m)
+        if name in kinds and len(name) > 1 and m[0][0].isupper():
+            yield Mention(start, end, kinds[name], name)
+
+
 def _numbers(text: str) -> Iterator[Mention]:
     for m in IBAN.finditer(text):
         bare = m[0].replace(" ", "")
@@ -109,8 +198,7 @@ def _numbers(text: str) -> Iterator[Mention]:
             yield Mention(*m.span(), "ip", m[0])
     for m in SSN.finditer(text):
         yield Mention(*m.span(), "ssn", _digits(m[0]))
-    for m in PHONE.finditer(text):
-        yield Mention(*m.span(), "phone", _digits(m[0]))
+    yield from _phones(text)
 
 
 def find(text: str) -> list[Mention]:
@@ -121,13 +209,7 @@ def find(text: str) -> list[Mention]:
     found += [Mention(*m.span(1), "secret", m[1]) for m in SECRET.finditer(text)]
     if re.search(r"\d\D{0,3}\d", text):
         found += _numbers(text)
-    for m in PERSON.finditer(text):
-        names = [g for g in (2, 3) if m[g] and m[g][0].isupper()]
-        if names[:1] != [2]:
-            continue
-        for g in names:
-            kind = "surname" if g == names[-1] else f"given:{GENDER[m[1]]}"
-            found.append(Mention(*m.span(g), f"{kind}:{script(m[g])}", m[g].lower()))
+    found += _persons(text)
     kept, upto = [], 0
     for mention in sorted(found, key=lambda m: m.start):  # stable: types in the order above
         if mention.start >= upto:
@@ -194,10 +276,9 @@ def surrogate(kind: str, name: str, key: bytes, attempt: int = 0) -> str:
         long = 3 if base == "given" else 4
         made = "".join(first[draw.below(len(first))] + second[draw.below(len(second))] for _ in range(long))
         return made + (ENDINGS[rest[-1]][rest[0]] if base == "given" else "")
-    if base == "phone":  # country code stays; area codes do not begin with 0 or 1
-        head = name[: max(len(name) - 10, 0)]
-        rest_of = _alike(name[len(head) :], draw)
-        return head + str(2 + draw.below(8)) + rest_of[1:]
+    if base == "phone":  # the first digit tells the plan; area codes do not begin with 0 or 1
+        rest_of = _alike(name[1:], draw)
+        return name[0] + str(2 + draw.below(8)) + rest_of[1:]
     if base == "secret" and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", name):
         made = "".join("0123456789abcdef"[draw.below(16)] for _ in name)
         return made if name == name.lower() else made.upper()
@@ -228,8 +309,7 @@ def _spaces(base: str, value: str) -> Iterator[tuple[str, Space]]:
                 form(formats.fixed(body[:2]) + formats.alike(body[4:]), _with_check, lambda v: v[:2] + v[4:])
             )
         elif base == "phone":
-            head = max(len(body) - 10, 0)
-            made.append(form([*formats.fixed(body[:head]), "23456789", *formats.alike(body[head + 1 :])]))
+            made.append(form([[body[0]], "23456789", *formats.alike(body[2:])]))
         else:
             made.append(form(formats.alike(body)))
     elif base == "ip" and ":" in value:
@@ -278,6 +358,9 @@ def _dressed(mention: str, kind: str, made: str) -> str:
     base = kind.split(":")[0]
     if base in ("card", "phone", "ssn", "iban"):
         made, x, more = made.partition("x")  # a widened format goes on behind the layout
+        if base == "phone":  # country code, trunk digit and what stands for the plan stay
+            digits = _digits(mention)
+            made = digits[: len(digits) - len(made) + 1] + made[1:]
         left = iter(made)
         return "".join(next(left) if c.isalnum() else c for c in mention) + (x and f" {x}{more}")
     if base in ("given", "surname"):
@@ -445,6 +528,15 @@ def settle(known: DataFrame, key: bytes) -> DataFrame:
         table = materialize(stay.unionByName(new), "surrogates")
 
 
+def _one_kind(known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entities with one kind for each given name, and the other kinds it has, with
+    ``first``, that one: a woman's title goes before a man's, and Dr comes last."""
+    given = known.where("kind LIKE 'given:%'").withColumn("script", F.split_part("kind", F.lit(":"), F.lit(3)))
+    firsts = given.groupBy("script", "name").agg(F.min("kind").alias("first"))
+    alias = given.join(firsts, ["script", "name"]).where("kind <> first").select("kind", "name", "first")
+    return known.join(alias, ["kind", "name"], "left_anti"), alias
+
+
 def replace(
     docs: DataFrame, key: bytes, text_column: str = "text", broadcast_entities: int = BROADCAST_ENTITIES
 ) -> DataFrame:
@@ -455,7 +547,9 @@ def replace(
     the same one in every document, however it is written there, and different
     entities have different ones. Types: e-mail, phone, IPv4, card (by check digit
     and issuer), social security number, IBAN (by check digits), secret after a
-    word such as token, and names after a title, by gender and script. Null texts
+    word such as token, and names after a title, by gender and script, with the
+    same names elsewhere in the document. Phones are one entity with and without
+    country code, given names whatever the title. Null texts
     stay null with no entities; texts without entities stay as they are. Repeated
     ids and rows do no harm; an empty table gives an empty result.
 
@@ -463,8 +557,11 @@ def replace(
     a number, beyond that by a join on the text's hash.
     """
     name = free_name(docs, "n_entities")
-    moved = settle(entities(docs, text_column), key).where("attempt > 0").select("kind", "name", "made")
-    moved = materialize(moved, "moved")
+    known, alias = _one_kind(materialize(entities(docs, text_column), "mentioned"))
+    settled = settle(known, key)
+    moved = settled.where("attempt > 0").select("kind", "name", "made")
+    same = alias.join(settled.select(F.col("kind").alias("first"), "name", "made"), ["first", "name"])
+    moved = materialize(moved.unionByName(same.select("kind", "name", "made")), "moved")
     text, exceptions = free_name(docs, "given_text"), free_name(docs, "exceptions")
     rows = docs.withColumn(text, quoted(text_column))
     small = None

@@ -197,6 +197,50 @@ def test_numbers_of_a_format(spark):
         assert first[1].index(surrogates.surrogate(kind, name, KEY)) is not None or base == "card"
 
 
+def test_phones_of_many_countries():
+    same = [("+1 (217) 555-1234", "(217) 555-1234", "217 555 1234", "217-555-1234", "+12175551234", "001 217 555 1234")]
+    same += [("+44 20 7946 0958", "020 7946 0958", "+44 (0)20 7946 0958", "+442079460958", "0044 20 7946 0958")]
+    same += [("+49 30 901820", "030 901820", "(030) 901820", "+49 (0) 30 / 901820"), ("+34 912 345 678", "+34912345678")]
+    same += [("+33 1 23 45 67 89", "01 23 45 67 89", "01.23.45.67.89"), ("+7 495 123-45-67",), ("+353 1 679 1234",)]
+    for phones in same:
+        names = set()
+        for phone in phones:
+            text = f"call {phone}, or 2024"
+            found = surrogates.find(text)
+            assert [(m.kind, text[m.start : m.end]) for m in found] == [("phone", phone)]
+            names.add(found[0].name)
+            new, _ = surrogates.rewrite(text, KEY, lambda k, v: 0)
+            assert new != text and re.sub(r"\d", "9", new) == re.sub(r"\d", "9", text)
+            assert phone[0] != "+" or new[5:7] == text[5:7]  # the country code stays
+        assert len(names) == 1
+    assert len(surrogates.find("+1 (217) 555-1234 4111 and +49 30 901820 2024")) == 2
+    for text in "01.02.2024 10:30", "+5 points", "2024-01-02 10", "9807 0157 6280 4490", "1 234 567 8901", "+1000000":
+        assert surrogates.find(text) == []
+
+
+def test_names_are_found_again():
+    text = (
+        "Mrs Anna Schmidt left. Schmidt's cat met Mr John Ronald Smith, Dr. J. R. Weber and Herr Dr. Ludwig van Beethoven; "
+        "Frau Müller Mr Lee. SMITH and Beethoven, schmidt; Anna."
+    )
+    assert [text[m.start : m.end] for m in surrogates.find(text)] == (
+        "Anna Schmidt Schmidt John Ronald Smith Weber Ludwig Beethoven Müller Lee SMITH Beethoven Anna".split()
+    )
+    new, _ = surrogates.rewrite(text, KEY, lambda k, v: 0)
+    made = [new[m.start : m.end] for m in surrogates.find(new)]
+    assert made[1] == made[2] and made[5].upper() == made[11] and made[0] == made[13] and made[8] == made[12]
+    assert surrogates.find("Schmidt and Anna met Smith") == []
+
+
+def test_a_given_name_has_one_surrogate_under_any_title(spark):
+    made = [(1, "Dr Anna Schmidt"), (2, "Mrs Anna Weber"), (3, "Dr Ivan Weber"), (4, "Mr. Ivan Lee"), (5, "Prof Kim Lee")]
+    for most in (100, 0):
+        texts = dict(rows(surrogates.replace(docs(spark, made), KEY, broadcast_entities=most), "doc_id", "text"))
+        given = {d: t.split()[1] for d, t in texts.items()}
+        assert given[1] == given[2] and given[1].endswith("a")
+        assert given[3] == given[4] and given[3].endswith("n") and len(set(given.values())) == 3
+
+
 def test_surrogates_of_awkward_rows(spark):
     df = clashing(spark)
     got = surrogates.replace(df, KEY)
