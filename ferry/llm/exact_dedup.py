@@ -21,6 +21,28 @@ def normal(text: Column | str) -> Column:
     return F.translate(whole(text), BLANKS, "")
 
 
+def _clashes(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """hash and clash (true) of the groups of ``rows`` by hash whose texts differ.
+
+    ``texts`` has t and hash; the smallest and the largest text of each group of
+    several are compared.
+    """
+    several = (
+        rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    )
+    several = materialize(several, "copied")
+    if several.count() <= BROADCAST_GROUPS:
+        several = F.broadcast(several)
+    clash = (
+        texts.join(several, "hash", "left_semi")
+        .groupBy("hash")
+        .agg(F.min("t").alias("low"), F.max("t").alias("high"))
+        .where("low <> high")
+        .select("hash", F.lit(True).alias("clash"))
+    )
+    return materialize(clash, "clash")
+
+
 def mark_copies(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -53,21 +75,8 @@ def mark_copies(
     rank = F.struct(
         (-F.col("points")).alias("a"), F.col("doc_id").isNull().alias("b"), "doc_id", "row"
     )
-    several = (
-        rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    )
-    several = materialize(several, "copied")
-    if several.count() <= BROADCAST_GROUPS:
-        several = F.broadcast(several)
     texts = docs.select(text.alias("t")).select("t", F.unhex(content_hash(F.col("t"))).alias("hash"))
-    clash = (
-        texts.join(several, "hash", "left_semi")
-        .groupBy("hash")
-        .agg(F.min("t").alias("low"), F.max("t").alias("high"))
-        .where("low <> high")
-        .select("hash", F.lit(True).alias("clash"))
-    )
-    clash = materialize(clash, "clash")
+    clash = _clashes(rows, texts)
     rows = rows.join(clash, "hash", "left").withColumn(
         "part", F.when(F.col("clash"), F.col("sha")).otherwise(F.lit(b""))
     )
@@ -86,32 +95,37 @@ def mark_copies(
     )
 
 
-def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def drop_copies(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    content_hash: Callable[[Column], Column] = F.md5,
+) -> DataFrame:
     """``docs`` with one row of each group of equal rows, all columns as they were.
 
-    The row that stays is that of ``mark_copies``; rows alike in id, text length
-    and hash are told apart by a number, so exactly one stays.
+    Groups are those of ``mark_copies``, compared byte for byte by the same step,
+    and the row that stays is the same; rows alike in id, text length and hash are
+    told apart by a number, so exactly one stays.
     """
     text = normal(quoted(text_column))
     h, n, keep, sha = (free_name(docs, c) for c in ("hash", "points", "keep", "sha"))
     keyed = docs.withColumns(
         {
-            h: F.md5(text),
-            sha: F.sha2(text.cast("binary"), 256),
+            h: F.unhex(content_hash(text)),
+            sha: F.unhex(F.sha2(text.cast("binary"), 256)),
             n: F.char_length(whole(quoted(text_column))),
         }
     )
     row = free_name(keyed, "row")
     staged = materialize(keyed.withColumn(row, F.monotonically_increasing_id()), "keyed")
-    best = staged.groupBy(h, sha).agg(
-        F.min(
-            F.struct(
-                (-F.col(n)).alias("a"),
-                quoted(id_column).isNull().alias("b"),
-                quoted(id_column).alias("c"),
-                F.col(row).alias("d"),
-            )
-        ).alias(keep)
+    slim = staged.select(
+        quoted(id_column).alias("id"), *(F.col(c).alias(a) for c, a in ((h, "hash"), (sha, "sha"), (n, "points"), (row, "row")))
+    )
+    clash = _clashes(slim, staged.select(text.alias("t"), F.col(h).alias("hash")))
+    slim = slim.join(clash, "hash", "left").withColumn(
+        "part", F.when(F.col("clash"), F.col("sha")).otherwise(F.lit(b""))
     )
-    kept = best.select(F.col(f"{keep}.d").alias(row))
+    rank = F.struct((-F.col("points")).alias("a"), F.col("id").isNull().alias("b"), "id", "row")
+    best = slim.groupBy("hash", "part").agg(F.min(rank).alias(keep))
+    kept = best.select(F.col(f"{keep}.row").alias(row))
     return staged.join(kept, row, "left_semi").select(*[quoted(c) for c in docs.columns])

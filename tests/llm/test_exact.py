@@ -44,6 +44,13 @@ def test_drop_copies_keeps_one_row_and_all_columns(spark):
     assert exact_dedup.mark_copies(empty(spark)).count() == 0
 
 
+def test_drop_copies_compares_bytes_as_mark_copies(spark):
+    few = lambda text: F.lpad(F.hex(F.length(text) % 2), 32, "0")  # noqa: E731  two hashes for all texts
+    df = docs(spark, [(i, "x" * (i % 7)) for i in range(40)])
+    kept = rows(exact_dedup.mark_copies(df, content_hash=few).where("kept"), "doc_id")
+    assert rows(exact_dedup.drop_copies(df, content_hash=few), "doc_id") == kept == [(i,) for i in range(7)]
+
+
 def _jump(key, shards):
     key, b, j = key & (2**64 - 1), -1, 0
     while j < shards:
