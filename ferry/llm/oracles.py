@@ -132,6 +132,111 @@ SELECT doc_id, CASE WHEN text IS NULL OR len(kept) = len(ls) THEN text ELSE arra
 FROM k
 """
 
+# For tables whose ids do not repeat, as the given ones.
+OP11 = f"""
+WITH c(n, v) AS (
+  SELECT i, list_reduce(list_prepend(i, range(8)::BIGINT[]), lambda a, x: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END))
+  FROM range(256) r(i)
+), crctable AS (SELECT list(v ORDER BY n) AS t FROM c
+), k AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents
+), e AS (
+  SELECT doc_id, text, n, coalesce(lead(doc_id) OVER w, max(doc_id) OVER ()) AS next_id,
+         left(text, n - n // 3) || left(coalesce(lead(text) OVER w, first_value(text) OVER w), n // 3) AS edited
+  FROM k WINDOW w AS (ORDER BY doc_id DESC)
+), t AS (
+  SELECT doc_id, false AS changed, {WORDS} AS w FROM e
+  UNION ALL SELECT doc_id, true, {WORDS.replace('text', 'edited')} FROM e
+), vocab AS (SELECT DISTINCT unnest(w) AS v FROM t
+), crc AS (
+  SELECT v, xor(list_reduce(list_prepend(4294967295::BIGINT, [('0x' || h)::BIGINT FOR h IN regexp_extract_all(hex(encode(v)), '..')]),
+         lambda a, x: xor(a >> 8, t[xor(a, x) % 256 + 1])), 4294967295::BIGINT) AS code
+  FROM vocab, crctable
+), coded AS (
+  SELECT doc_id, changed, list(code ORDER BY p) AS w
+  FROM (SELECT doc_id, changed, unnest(w) AS v, generate_subscripts(w, 1) AS p FROM t) JOIN crc USING (v) GROUP BY ALL
+), s AS (
+  SELECT doc_id, changed, coalesce(len(w), 0) < 69 AS whole,
+         list_transform(range(CASE WHEN w IS NULL THEN 0 ELSE greatest(len(w) - 4, 1) END), lambda i: (w[i + 1] * 203445013 + coalesce(w[i + 2], 0) * 251174521
+           + coalesce(w[i + 3], 0) * 167870539 + coalesce(w[i + 4], 0) * 229648847 + coalesce(w[i + 5], 0) * 184230161) % 72057594037927931) AS h
+  FROM (SELECT doc_id, changed FROM t) LEFT JOIN coded USING (doc_id, changed)
+), f AS (
+  SELECT doc_id, changed, whole, list_sort(list_distinct(list_filter(h, lambda x: whole OR x < 9007199254740991))) AS h FROM s
+), p AS (
+  SELECT e.doc_id, e.n, e.edited, o.whole AS ow, o.h AS oh, c.whole AS cw, c.h AS ch, x.whole AS xw, x.h AS xh
+  FROM e JOIN f o ON o.doc_id = e.doc_id AND NOT o.changed JOIN f c ON c.doc_id = e.doc_id AND c.changed
+  JOIN f x ON x.doc_id = e.next_id AND NOT x.changed
+), y AS (
+  SELECT *, list_filter(oh, lambda i: cw OR NOT ow OR i < 9007199254740991) AS oc, list_filter(ch, lambda i: ow OR NOT cw OR i < 9007199254740991) AS co,
+         list_filter(oh, lambda i: xw OR NOT ow OR i < 9007199254740991) AS ox, list_filter(xh, lambda i: ow OR NOT xw OR i < 9007199254740991) AS xo
+  FROM p
+), z AS (
+  SELECT *, len(list_distinct(list_concat(oc, co))) AS uc, len(list_distinct(list_concat(ox, xo))) AS ux FROM y
+)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256,
+       CASE WHEN ow THEN '1:' ELSE '8:' END || array_to_string([printf('%014x', i) FOR i IN oh], '') AS fingerprint,
+       CASE WHEN cw THEN '1:' ELSE '8:' END || array_to_string([printf('%014x', i) FOR i IN ch], '') AS edited_fingerprint,
+       CASE WHEN uc > 0 THEN (len(oc) + len(co) - uc)::DOUBLE / uc WHEN ow AND cw THEN 1.0 ELSE 0.0 END AS near_edited,
+       CASE WHEN ux > 0 THEN (len(ox) + len(xo) - ux)::DOUBLE / ux WHEN ow AND xw THEN 1.0 ELSE 0.0 END AS near_next
+FROM z
+"""
+
+OP12 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, len(w) < 200 AS a,
+         100 * len(list_distinct(w)) < 50 * len(w) AS b,
+         100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 3 * length(t) AS c,
+         regexp_matches(t, '[#$%&*|]') AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e
+  FROM d LEFT JOIN l USING (doc_id)
+), m AS (
+  SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS mask, count(*) AS n,
+         count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f GROUP BY ALL
+), x(c, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+), o AS (
+  SELECT p.c || q.c || r.c || s.c || t.c AS filter_order, unnest([p.bit, q.bit, r.bit, s.bit, t.bit]) AS bit,
+         unnest([0, p.bit, p.bit + q.bit, p.bit + q.bit + r.bit, p.bit + q.bit + r.bit + s.bit]) AS earlier, unnest([1, 2, 3, 4, 5]) AS step
+  FROM x p, x q, x r, x s, x t WHERE p.bit + q.bit + r.bit + s.bit + t.bit = 31 AND len(list_distinct([p.c, q.c, r.c, s.c, t.c])) = 5
+), s AS (
+  SELECT part, filter_order, step, bit,
+         coalesce(sum(n) FILTER (mask & (earlier | bit) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (mask & earlier = 0 AND mask & bit > 0), 0) AS removed,
+         coalesce(sum(n) FILTER (mask & earlier > 0 AND mask & bit > 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (mask & earlier = 0 AND mask & bit > 0), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & earlier = 0 AND mask & bit > 0), 0) AS toxic_lost
+  FROM m, o GROUP BY ALL
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM s
+"""
+
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), c AS (
+  SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS b,
+         CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') OR ('0x' || h[17:24])::BIGINT % 100 >= 100 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+), p AS (
+  SELECT *, array_to_string(u[:least(a, b)], '') AS pre, array_to_string(u[least(a, b) + 1 : greatest(a, b)], '') AS mid,
+         array_to_string(u[greatest(a, b) + 1 :], '') AS suf FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE t END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
 
 def llm_oracles() -> dict[str, str]:
     return {
@@ -140,4 +245,7 @@ def llm_oracles() -> dict[str, str]:
         "op4_decontamination": OP4,
         "op7_exact_dedup": OP7,
         "op9_line_dedup": OP9,
+        "op11_fingerprints": OP11,
+        "op12_filter_audit": OP12,
+        "op13_fill_middle": OP13,
     }

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ferry.llm import (
     decontaminate,
     exact_dedup,
+    fill_middle,
+    filter_audit,
+    fingerprints,
     jaccard_join,
     licenses,
     line_dedup,
@@ -72,6 +75,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.limits(token_counts.histogram(table(spark, sf_dir, "documents")))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(*(table(spark, sf_dir, t) for t in ("documents", "labels")))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -86,5 +101,8 @@ def llm_queries() -> dict[str, Query]:
             op8_sentencepiece,
             op9_line_dedup,
             op10_token_counts,
+            op11_fingerprints,
+            op12_filter_audit,
+            op13_fill_middle,
         )
     }
