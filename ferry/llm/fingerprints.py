@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,10 +23,54 @@ RANGE = 2**56 - 5
 PLACES = (203_445_013, 251_174_521, 167_870_539, 229_648_847, 184_230_161)
 # Hexadecimal digits of a hash.
 DIGITS = 14
+# Words hashed at a time in a worker, at least a text.
+HASHED = 1 << 20
+FINGERPRINT = "struct<whole:boolean,hashes:array<bigint>>"
 # Texts paired at a time in a worker.
 PAIRED = 512
 
 
+def _hashes(codes: np.ndarray, counts: np.ndarray, fraction: int) -> tuple[np.ndarray, np.ndarray]:
+    """Kept hashes of texts whose words' codes lie one after the other, and how many each text has."""
+    texts = len(counts)
+    ends = np.cumsum(counts)
+    starts = ends - counts
+    total = codes * np.uint64(PLACES[0])
+    for k in range(1, WORDS):
+        total[:-k] += codes[k:] * np.uint64(PLACES[k])
+    for i in np.flatnonzero((counts > 0) & (counts < WORDS)):
+        words_of = codes[starts[i] : ends[i]].tolist()
+        total[starts[i]] = sum(c * p for c, p in zip(words_of, PLACES, strict=False))
+    total %= np.uint64(RANGE)
+    runs = np.where(counts > 0, np.maximum(counts - (WORDS - 1), 1), 0)
+    text = np.repeat(np.arange(texts), counts)
+    is_run = np.arange(len(codes)) - np.repeat(starts, counts) < np.repeat(runs, counts)
+    kept = np.flatnonzero(is_run & ((counts < WHOLE + WORDS)[text] | (total < np.uint64(RANGE // fraction))))
+    text, total = text[kept], total[kept]
+    order = np.lexsort((total, text))
+    text, total = text[order], total[order]
+    once = np.ones(len(total), bool)
+    once[1:] = (total[1:] != total[:-1]) | (text[1:] != text[:-1])
+    return total[once].astype(np.int64), np.bincount(text[once], minlength=texts)
+
+
+def _by_codes(batch: pa.ListArray, fraction: int) -> pa.StructArray:
+    """The fingerprints of a batch, some texts at a time."""
+    offsets = batch.offsets.to_numpy().astype(np.int64)
+    codes = batch.values.to_numpy().astype(np.uint64, copy=False)
+    found, sizes, low = [], [], 0
+    while low < len(batch):
+        high = max(int(np.searchsorted(offsets, offsets[low] + HASHED, "right")) - 1, low + 1)
+        hashes, counts = _hashes(codes[offsets[low] : offsets[high]], np.diff(offsets[low : high + 1]), fraction)
+        found.append(hashes)
+        sizes.append(counts)
+        low = high
+    flat = np.concatenate(found) if found else np.zeros(0, np.int64)
+    bounds = np.concatenate([[0], *map(np.cumsum, [np.concatenate(sizes)] if sizes else [])]).astype(np.int32)
+    whole_text = pa.array(np.diff(offsets) < WHOLE + WORDS, pa.bool_())
+    return pa.StructArray.from_arrays([whole_text, pa.ListArray.from_arrays(bounds, pa.array(flat))], ["whole", "hashes"])
+
+
 def with_fingerprint(df: DataFrame, text_column: str, name: str, fraction: int = FRACTION) -> DataFrame:
     """``df`` with a column struct<whole: boolean, hashes: array<bigint>>.
 
@@ -36,22 +81,13 @@ def with_fingerprint(df: DataFrame, text_column: str, name: str, fraction: int =
     Equal texts have equal fingerprints, as have texts that differ in case (A-Z as
     well as others) or in what stands between words.
     """
-    codes, kept = (free_name(df, c) for c in ("_codes", "_kept"))
-    n = F.size(quoted(codes))
 
-    def shingle(at: Column) -> Column:
-        terms = [F.coalesce(F.get(quoted(codes), at + k), F.lit(0)) * p for k, p in enumerate(PLACES)]
-        return sum(terms[1:], terms[0]) % F.lit(RANGE)
+    @F.arrow_udf(FINGERPRINT)
+    def fingerprint(codes: pa.Array) -> pa.Array:
+        return _by_codes(codes, fraction)
 
-    runs = F.transform(F.sequence(F.lit(0), F.greatest(n - WORDS, F.lit(0))), shingle)
-    short = n < WHOLE + WORDS
-    below = F.when(short, runs).otherwise(F.filter(runs, lambda h: h < RANGE // fraction))
-    below = F.when(n > 0, below).otherwise(F.array().cast("array<bigint>"))
-    coded = df.withColumn(codes, F.transform(words(quoted(text_column)), lambda w: F.crc32(w.cast("binary"))))
-    # Columns of their own, so that each is worked out once.
-    coded = coded.withColumn(kept, F.array_sort(F.array_distinct(below)))
-    made = F.struct(short.alias("whole"), quoted(kept).alias("hashes"))
-    return coded.withColumn(name, made).drop(codes, kept)
+    codes = F.transform(words(quoted(text_column)), lambda w: F.crc32(w.cast("binary")))
+    return df.withColumn(name, fingerprint(codes))
 
 
 def as_text(fingerprint: Column, fraction: int = FRACTION) -> Column:
@@ -220,8 +256,7 @@ def edited_pairs(
     order = [F.col("id").desc_nulls_last(), F.col("spread")]
     ranges = rows.repartitionByRange(shuffle_partitions(rows), *order).sortWithinPartitions(*order, "text")
     kind = dict(rows.dtypes)["id"]
-    fingerprint = "struct<whole:boolean,hashes:array<bigint>>"
-    paired = f"id {kind}, n_chars bigint, edited string, own {fingerprint}, next {fingerprint}"
+    paired = f"id {kind}, n_chars bigint, edited string, own {FINGERPRINT}, next {FINGERPRINT}"
     inside = with_fingerprint(ranges.select("id", "text"), "text", "own", fraction).mapInArrow(_within, paired)
     ends = ranges.select("id", "text", F.spark_partition_id().alias("place"))
     ends = ends.mapInArrow(_ends, f"id {kind}, text string, place int, is_last boolean")

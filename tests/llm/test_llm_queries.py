@@ -5,7 +5,7 @@ from check import difference
 from ferry.llm.oracles import llm_oracles
 from ferry.llm.queries import llm_queries
 
-NUMBERS = range(1, 11)
+NUMBERS = range(1, 14)
 
 
 def test_one_query_for_each_operator():
