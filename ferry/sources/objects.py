@@ -10,7 +10,10 @@ from pyspark.sql.types import StringType, StructType
 
 from ferry.fixed_values import OBJECT_SCHEME
 from ferry.operators.matching import name
+from ferry.sources import layout as layouts
+from ferry.sources.scratch import path_exists
 from ferry.sources.sizing import sized_for
+from ferry.sources.sniffing import typed
 
 # CSV options under which NULL, '', blanks, quotes and line breaks come back as
 # they were written. Files whose values may hold line breaks cannot be split, so
@@ -37,6 +40,9 @@ EXACT_TIMES = {
 # Columns holding only NULLs stay visible to a reader that infers the schema.
 EXACT_JSON_WRITE = {"ignoreNullFields": "false"}
 
+# Formats whose partitioned datasets keep their schema beside them; delta has its own.
+LAID_OUT = ("parquet", "json", "csv", "orc")
+
 # Headerless pipe-separated extracts.
 PIPE_DAT = {
     "sep": "|",
@@ -108,14 +114,24 @@ def read_dataset(
     """Read csv, json, parquet, delta or any other installed format.
 
     Give ``schema`` for text formats where you can: inferring it reads the
-    whole dataset once more.
+    whole dataset once more. A partitioned dataset of this library has its schema
+    beside it, so its columns come back in their order and type, and its partition
+    values as they were, with or without one.
     """
+    layout = layouts.kept(spark, path) if format in LAID_OUT else None
+    if layout is not None:
+        schema = layout.struct if schema is None else schema
     reader = spark.read.format(format).options(
         **{**_format_defaults(format, writing=False), **(options or {})}
     )
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(path)
+    df = reader.load(path)
+    if layout is None:
+        return df
+    order = [f.name for f in layout.struct if f.name in df.columns]
+    rest = [c for c in df.columns if c not in order]
+    return layouts.restored(df, layout).select(*map(name, order + rest))
 
 
 def format_of(path: str) -> str:
@@ -132,14 +148,18 @@ def read_file(
     schema: StructType | str | None = None,
     options: Mapping[str, Any] | None = None,
 ) -> DataFrame:
-    """Read a file whose format its name tells; csv has a header and types."""
+    """Read a file, or a folder of such files, whose format its name tells.
+
+    CSV has a header unless ``options`` say otherwise, and its records may hold
+    line breaks within quotes. Without a schema a CSV column gets the narrowest type
+    that gives all its values back (``sniffing.column_types``), for which the file is
+    read once more; options such as inferSchema leave the types to Spark.
+    """
     format = format_of(path)
-    if options is None:
-        options = {"header": "true"} if format == "csv" else {}
-        if format == "csv" and schema is None:
-            options["inferSchema"] = "true"
-    reader = spark.read.format(format).options(**options)
-    return (reader if schema is None else reader.schema(schema)).load(path)
+    given = {k.lower() for k in options or {}}
+    sniff = format == "csv" and schema is None and not given & {"inferschema", "header"}
+    df = read_dataset(spark, path, format, schema, options)
+    return typed(df) if sniff else df
 
 
 def read_parts(
@@ -208,9 +228,10 @@ def _refuse(df: DataFrame, columns: Sequence[str], wrong: Callable[[Column], Col
 def _loud(df: DataFrame, format: str, partitions: Sequence[str], options: Mapping[str, Any]) -> DataFrame:
     """``df``, which fails where a reader would not find a value as it was written."""
     texts = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
-    df = _refuse(
-        df, [c for c in texts if c in partitions], lambda c: c == "", "a partition cannot be named by an empty string"
-    )
+    if format not in LAID_OUT:
+        df = _refuse(
+            df, [c for c in texts if c in partitions], lambda c: c == "", "a partition cannot be named by an empty string"
+        )
     if format != "csv":
         return df
     inside = [c for c in texts if c not in partitions]
@@ -239,18 +260,22 @@ def write_dataset(
     once, so a task that runs again does not add to it. With ``partition_by``
     rows are first rebalanced on those columns (unless ``rebalance`` is false,
     for rows that lie together already): files stay few, and adaptive execution
-    splits a value that holds much of the data over several tasks. Read with a
-    schema, partition values come back in their type.
+    splits a value that holds much of the data over several tasks. The schema is
+    kept beside the files, so partition values come back in their type, '' and
+    NULL told apart; rows appended to such a dataset must fit it.
 
     A value that the format cannot give back is an error: in CSV the mark for
-    NULL, without quotes a separator or line break, as a partition ''.
+    NULL, without quotes a separator or line break.
     """
     spark = df.sparkSession
     if output_filename:
         path = f"{path.rstrip('/')}/{output_filename}"
     columns = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     options = {**_format_defaults(format, writing=True), **(options or {})}
+    layout = _layout(df, path, mode, columns) if format in LAID_OUT else None
     df = _loud(df, format, columns, options)
+    if layout is not None:
+        df = layouts.escaped(df, layout)
     if columns and rebalance and spark.conf.get("spark.sql.adaptive.enabled", "true") == "true":
         df = df.hint("rebalance", *columns)
     rows = Observation()
@@ -264,4 +289,18 @@ def write_dataset(
         writer = writer.partitionBy(*columns)
     with sized_for(df):
         writer.save(path)
+    if layout is not None:
+        layouts.keep(spark, path, layout)
     return rows.get["n"]
+
+
+def _layout(df: DataFrame, path: str, mode: str, columns: Sequence[str]) -> layouts.Layout | None:
+    """The layout to keep once ``df`` is written, if there is one to keep."""
+    new = layouts.layout_of(df, columns)
+    if mode == "overwrite":
+        return new if columns else None
+    old = layouts.kept(df.sparkSession, path)
+    if old is None:
+        # What lies there already, if anything, is not known.
+        return new if columns and not path_exists(df.sparkSession, path) else None
+    return layouts.joined(old, new, path)

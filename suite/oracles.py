@@ -173,6 +173,11 @@ def all_oracles() -> dict[str, str]:
     valid_users = with_(VALID) + "SELECT * FROM valid"
     ledger_all = with_(LEDGER) + f"SELECT {LEDGER_COLUMNS}, rid FROM ledger"
     documents = with_(DOCUMENTS) + "SELECT * FROM documents_of_ledger"
+    awkward = (
+        "SELECT doc_id, text, lpad((doc_id % 500)::VARCHAR, 4, '0') AS code, "
+        "CASE WHEN doc_id % 5 > 0 THEN (doc_id % 7) || '.50' END AS price, doc_id / 4 AS quarter, "
+        "'int,string,string,decimal(3,2),double' AS kinds FROM documents"
+    )
     return {
         "header_check": "SELECT v AS variant, v = 'exact' AS header_ok, c AS row_count "
         "FROM (SELECT count(*) AS c FROM orders), "
@@ -290,6 +295,11 @@ UNION ALL SELECT db, round(test_version + 0.1, 1), created_at, updated_at, rid F
         "file_scan_sniffed": with_(LEDGER)
         + "SELECT f AS file, rid, db, test_version FROM ledger, "
         "(SELECT unnest(['rows.parquet', 'rows.json', 'rows.csv']) AS f)",
+        "file_scan_text": awkward,
+        "store_file_text": awkward.replace("AS kinds", "AS kinds, count(*) OVER () AS stored"),
+        "transfer_partitioned": "SELECT CASE c_nationkey WHEN 1 THEN '' WHEN 2 THEN '1e3' WHEN 3 THEN NULL WHEN 4 THEN '\\' "
+        "ELSE lpad(c_nationkey::VARCHAR, 3, '0') END AS part, c_custkey, "
+        "(DATE '2024-02-28' + (c_custkey % 3)::INT)::DATE AS day, c_name FROM customer",
         "glob_scan": raw_all,
         "pipe_dat_scan": with_(LEDGER)
         + "SELECT '\"' || db || '\"' AS _c0, test_version AS _c1, rid AS _c2 FROM ledger",

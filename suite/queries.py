@@ -443,6 +443,59 @@ def file_scan_sniffed(spark, sf_dir):
     return result
 
 
+def _awkward_text(spark, sf_dir):
+    """Whole documents, a column of numbers that are names, and one of equal scale."""
+    key = F.col("doc_id")
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "text",
+        F.lpad((key % 500).cast("string"), 4, "0").alias("code"),
+        F.when(key % 5 > 0, F.concat((key % 7).cast("string"), F.lit(".50"))).alias("price"),
+        (key / 4).alias("quarter"),
+    )
+
+
+def _read_text(df):
+    """The columns, with the types found for them."""
+    kinds = F.lit(",".join(kind for _, kind in df.dtypes))
+    return df.withColumns({"doc_id": F.col("doc_id").cast("bigint"), "price": F.col("price").cast("string"), "kinds": kinds})
+
+
+@query
+def file_scan_text(spark, sf_dir):
+    """A CSV file of whole documents, with line breaks and quotes, whose types are found."""
+    path = f"{scratch_path(spark, 'query')}/documents.csv"
+    objects.write_dataset(_awkward_text(spark, sf_dir), path, "csv")
+    return _read_text(objects.read_file(spark, path))
+
+
+@query
+def store_file_text(spark, sf_dir):
+    """The same file put into storage."""
+    stores = _stores(spark)
+    path = f"{scratch_path(spark, 'query')}/documents.csv"
+    objects.write_dataset(_awkward_text(spark, sf_dir), path, "csv")
+    stored = stores.store_file(path, "bronze/documents")
+    return _read_text(stores.read("s3", "bronze/documents")).withColumn("stored", F.lit(stored).cast("bigint"))
+
+
+@query
+def transfer_partitioned(spark, sf_dir):
+    """A dataset partitioned by awkward text and by a date, copied twice without a schema."""
+    nation = F.col("c_nationkey")
+    part = (
+        F.when(nation == 1, "").when(nation == 2, "1e3").when(nation == 3, F.lit(None))
+        .when(nation == 4, "\\").otherwise(F.lpad(nation.cast("string"), 3, "0"))
+    )
+    day = F.date_add(F.lit("2024-02-28").cast("date"), (F.col("c_custkey") % 3).cast("int"))
+    rows = table(spark, sf_dir, "customer").select(part.alias("part"), "c_custkey", day.alias("day"), "c_name")
+    stores = _stores(spark)
+    stores.write(rows, "s3", "bronze/customers", partition_by=["day", "part"])
+    stores.transfer("s3", "bronze/customers", "s3", "silver/customers", partition_by=["part", "day"], format="json")
+    stores.transfer("s3", "silver/customers", "s3", "gold/customers", source_format="json", partition_by="part")
+    return stores.read("s3", "gold/customers")
+
+
 @query
 def glob_scan(spark, sf_dir):
     """All CSV parts of a folder that also holds other files."""

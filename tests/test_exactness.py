@@ -1,4 +1,5 @@
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,8 +9,9 @@ from ferry.operators import ledger as L
 from ferry.operators import matching
 from ferry.plans import jobs
 from ferry.plans.transfer import Stores, TransferError
-from ferry.sources import objects
+from ferry.sources import objects, sniffing
 from ferry.sources.endpoint import Endpoint
+from tests.helpers import rows
 
 EDGES = [
     "", " ", " a ", "a,b", 'say "hi"', '"', '""', "'", "\\", "a\\", '\\"', '\\\\"', "\n", "a\nb", "\r", "a\rb", "a\r\nb",
@@ -43,13 +45,106 @@ def test_files_without_quotes_refuse_what_they_cannot_hold(spark, tmp_path, bad)
     assert objects.write_dataset(_texts(spark, ["a b"]), str(tmp_path / "b"), "csv", options=pipe) == 1
 
 
-def test_partition_values(spark, tmp_path):
-    df = _texts(spark, ["007", None, "7", "1.0"])
-    objects.write_dataset(df, str(tmp_path / "a"), "parquet", partition_by="t")
-    back = objects.read_dataset(spark, str(tmp_path / "a"), "parquet", df.schema)
-    assert {r.i: r.t for r in back.collect()} == {0: "007", 1: None, 2: "7", 3: "1.0"}
-    with pytest.raises(Exception, match="empty string"):
-        objects.write_dataset(_texts(spark, [""]), str(tmp_path / "b"), "parquet", partition_by="t")
+PARTITIONS = ["007", None, "7", "1.0", "1e3", "", "\\E", "\\", "\\x", "__HIVE_DEFAULT_PARTITION__", " a/b=c%20 ", "ünï"]
+
+
+@pytest.mark.parametrize("format", ["parquet", "json", "csv"])
+def test_partition_values(spark, tmp_path, format):
+    """With a schema and without one they come back, and so from a copy of a copy."""
+    df = _texts(spark, PARTITIONS).withColumn("n", F.lit(3.0)).select("t", "n", "i")
+    want = dict(enumerate(PARTITIONS))
+    for path, given in (("a", None), ("b", df.schema), ("c", None)):
+        path = str(tmp_path / path)
+        assert objects.write_dataset(df, path, format, partition_by="t") == len(PARTITIONS)
+        df = objects.read_dataset(spark, path, format, given)
+        assert df.dtypes == [("t", "string"), ("n", "double"), ("i", "int")]
+        assert {r.i: r.t for r in df.collect()} == want
+        for value in PARTITIONS:
+            assert df.where(F.col("t").eqNullSafe(F.lit(value))).count() == 1
+    pruned = df.where(F.col("t") == "")._jdf.queryExecution().executedPlan().toString()
+    assert "CASE WHEN" in pruned.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_types_of_partitions(spark, tmp_path):
+    row = {
+        "day": date(2024, 2, 29), "at": datetime(2024, 1, 2, 3, 4, 5, 678901), "flag": True,
+        "exact": Decimal("1.50"), "small": 7, "real": 0.1,
+    }
+    kinds = "id int, day date, at timestamp, flag boolean, exact decimal(5,2), small smallint, real double"
+    df = spark.createDataFrame([(1, *row.values()), (2, *[None] * 6)], kinds)
+    for column in row:
+        path = str(tmp_path / column)
+        objects.write_dataset(df, path, "parquet", partition_by=column)
+        back = objects.read_dataset(spark, path, "parquet")
+        assert back.dtypes == df.dtypes
+        assert rows(back) == rows(df)
+
+
+def test_appended_rows_must_fit_the_layout(spark, tmp_path):
+    path = str(tmp_path / "a")
+    df = _texts(spark, ["007", ""])
+    objects.write_dataset(df, path, "parquet", partition_by="t")
+    objects.write_dataset(df.withColumn("more", F.lit(1)), path, "parquet", "append", partition_by="t")
+    back = objects.read_dataset(spark, path, "parquet")
+    assert back.columns == [*df.columns, "more"] and back.count() == 4
+    with pytest.raises(ValueError, match="partitioned by"):
+        objects.write_dataset(df, path, "parquet", "append", partition_by="i")
+    with pytest.raises(ValueError, match="column i of"):
+        objects.write_dataset(df.withColumn("i", F.lit("x")), path, "parquet", "append", partition_by="t")
+    objects.write_dataset(df, path, "parquet")
+    assert objects.read_dataset(spark, path, "parquet").columns == df.columns
+
+
+# -- files whose name tells their format -------------------------------------
+
+
+def test_files_keep_records_and_values(spark, tmp_path):
+    texts = ["a\nb", 'say "x",\r\n', "", None, " blank ", "\\", "007", "1e3", "x" * 5000]
+    df = _texts(spark, texts)
+    path = str(tmp_path / "x.csv")
+    objects.write_dataset(df, path, "csv")
+    back = objects.read_file(spark, path)
+    assert back.dtypes == [("i", "int"), ("t", "string")]
+    assert {r.i: r.t for r in back.collect()} == dict(enumerate(texts))
+
+
+TYPES = [
+    ("boolean", ["true", "false", None]),
+    ("string", ["True", "false"]),
+    ("int", ["1", "-2", None]),
+    ("bigint", ["1", "3000000000"]),
+    ("string", ["99999999999999999999"]),
+    ("string", ["007", "8"]),
+    ("string", ["1e3", "2"]),
+    ("string", ["+1"]),
+    ("string", [" 1"]),
+    ("string", ["5", "5.5"]),
+    ("double", ["0.5", "1.0E10", "-2.25"]),
+    ("decimal(4,2)", ["0.50", "12.30", "-1.00"]),
+    ("string", ["0.50", "12.3", "1.205"]),
+    ("string", ["-0.00", "1.50"]),
+    ("date", ["2024-02-29"]),
+    ("string", ["2024-02-30"]),
+    ("string", ["2024-2-3"]),
+    ("timestamp_ntz", ["2024-01-02 03:04:05"]),
+    ("timestamp_ntz", ["2024-01-02T03:04:05.123456", "1999-12-31T23:59:59.000000"]),
+    ("timestamp", ["2024-01-02T03:04:05.000Z"]),
+    ("string", ["2024-01-02 03:04:05", "2024-01-02T03:04:05"]),
+    ("string", ["", "1"]),
+    ("string", [None, None]),
+    ("string", ["1" * 100]),
+]
+
+
+@pytest.mark.parametrize("kind,values", TYPES)
+def test_narrowest_type_that_gives_every_value_back(spark, kind, values):
+    df = spark.createDataFrame([(v,) for v in values], "c string").withColumnRenamed("c", "a.b`c")
+    assert sniffing.column_types(df) == {"a.b`c": kind}
+    assert sniffing.typed(df).dtypes == [("a.b`c", kind)]
+
+
+def test_sniffing_nothing(spark):
+    assert sniffing.typed(spark.createDataFrame([], "a string, b int")).dtypes == [("a", "string"), ("b", "int")]
 
 
 # -- times -------------------------------------------------------------------

@@ -257,6 +257,38 @@ def test_routes(spark, stores, tmp_path):
     assert stores.read("s3", "out/pg/ledger_json", format="json").first()["db"] == "a"
 
 
+def test_route_options_are_used_or_refused(spark, stores):
+    users = spark.createDataFrame([(i, f"p{i % 2}") for i in range(5)], "i int, p string")
+    stores.write(users, "s3", "in")
+    src = {"type": "file", "properties": {"storage": "MinIO", "path": "in", "format": "parquet"}}
+
+    def run(src=src, type="file", **more):
+        named = {"path": "out"} if type == "file" else {}
+        dest = {"type": type, "properties": {"storage": "MinIO" if type == "file" else "postgresql", **named, **more}}
+        return jobs.run_route(stores, {"src": src, "dest": dest})
+
+    run(format="json", options={"compression": "gzip"})
+    run(format="json", mode="append", options={"compression": "gzip"})
+    listed = [r["path"] for r in spark.read.format("binaryFile").load(stores.endpoint("s3").path("out")).collect()]
+    assert stores.read("s3", "out", format="json").count() == 10 and all(p.endswith(".json.gz") for p in listed)
+    run(format="parquet", partition_by="p")
+    assert stores.read("s3", "out").filter("p = 'p1'").inputFiles()[0].split("/")[-2] == "p=p1"
+    run(type="database", table="t", options={"column_types": {"p": "VARCHAR(9)"}})
+    run(type="database", table="t", mode="overwrite")
+    assert stores.read("postgresql", "t").count() == 5
+    for wrong in ({"nonsense": 1}, {"partitionBy": "p"}):
+        with pytest.raises(ValueError, match="does not use"):
+            run(**wrong)
+    with pytest.raises(ValueError, match="does not use filename"):
+        run(type="database", table="t", filename="x")
+    with pytest.raises(ValueError, match="does not use nonsense"):
+        run(src={"type": "file", "properties": {**src["properties"], "nonsense": 1}})
+    with pytest.raises(ValueError, match="unknown type"):
+        run(type="queue")
+    with pytest.raises(TypeError, match="nonsense"):
+        run(type="database", table="t", options={"nonsense": 1})
+
+
 def test_report(spark, filled, tmp_path):
     done = jobs.users_to_database(filled, "mongodb", order_by="rid")
     plain = jobs.ledger_to_storage(filled, "mongodb")
