@@ -278,6 +278,39 @@ def _with_versions(rows: DataFrame, version: Column, as_of: AsOf, like: DataFram
     return rows.select(*[made.get(c, F.col(c)).alias(c) for c in like.columns])
 
 
+class Moved(NamedTuple):
+    """New rows of some keys, staged: one per key."""
+
+    rows: DataFrame
+    small: bool
+    hot: list[str] | None = None
+
+    def into(self, ledger: DataFrame) -> DataFrame:
+        """``ledger`` with these rows in place of all rows of their keys."""
+        return _replace(ledger, self.rows, "db", self.small, self.hot)
+
+
+def bumped_rows(
+    ledger: DataFrame,
+    keys: DataFrame,
+    new_version: float | None = None,
+    as_of: AsOf = None,
+    tie_break: str | None = None,
+) -> Moved:
+    """The rows that ``bump`` gives ``keys``; ``ledger`` may be cut to what holds the keys."""
+    asked = _asked(keys)
+    best, hot = _best(ledger, asked, tie_break)
+    version = _step(new_version)
+    moved = _with_versions(asked.rows.join(best, "db", "left"), version, as_of, ledger)
+    return Moved(materialize(moved), asked.small, hot)
+
+
+def _step(new_version: float | None) -> Column:
+    if new_version is not None:
+        return F.lit(float(new_version))
+    return F.coalesce(next_version("test_version"), F.lit(FIRST_VERSION))
+
+
 def bump(
     ledger: DataFrame,
     keys: DataFrame | None = None,
@@ -291,17 +324,29 @@ def bump(
     stay those of the highest version; only the new row of a key remains.
     Without ``keys`` every key moves and the result is one aggregate.
     """
-    if new_version is not None:
-        version = F.lit(float(new_version))
-    else:
-        version = F.coalesce(next_version("test_version"), F.lit(FIRST_VERSION))
     if keys is None:
         best = latest_version(_checked(ledger), tie_break)
-        return _with_versions(best, version, as_of, ledger)
+        return _with_versions(best, _step(new_version), as_of, ledger)
+    return bumped_rows(ledger, keys, new_version, as_of, tie_break).into(ledger)
+
+
+def _given(rows: DataFrame) -> DataFrame:
+    return highest_versions(rows).withColumnRenamed("test_version", "_given")
+
+
+def handed_rows(
+    source: DataFrame,
+    target: DataFrame,
+    keys: DataFrame,
+    as_of: AsOf = None,
+    tie_break: str | None = None,
+) -> Moved:
+    """The rows that ``transfer_versions`` gives ``keys`` in the target."""
     asked = _asked(keys)
-    best, hot = _best(ledger, asked, tie_break)
-    moved = _with_versions(asked.rows.join(best, "db", "left"), version, as_of, ledger)
-    return _replace(ledger, materialize(moved), "db", asked.small, hot)
+    best, hot = _best(target, asked, tie_break)
+    handed = asked.rows.join(_given(_about(source, asked)), "db", "left").join(best, "db", "left")
+    moved = _with_versions(handed, version_or_first("_given"), as_of, target)
+    return Moved(materialize(moved), asked.small, hot)
 
 
 def transfer_versions(
@@ -316,17 +361,9 @@ def transfer_versions(
     A key the source lacks, or holds at 0.0, is set to 1.0. Without ``keys``
     all keys of the source are handed over.
     """
-    def given(rows: DataFrame) -> DataFrame:
-        return highest_versions(rows).withColumnRenamed("test_version", "_given")
-
-    if keys is None:
-        best = latest_version(target, tie_break)
-        handed = given(_checked(source)).join(best, "db", "left")
-    else:
-        asked = _asked(keys)
-        best, hot = _best(target, asked, tie_break)
-        handed = asked.rows.join(given(_about(source, asked)), "db", "left").join(best, "db", "left")
+    if keys is not None:
+        return handed_rows(source, target, keys, as_of, tie_break).into(target)
+    best = latest_version(target, tie_break)
+    handed = _given(_checked(source)).join(best, "db", "left")
     moved = materialize(_with_versions(handed, version_or_first("_given"), as_of, target))
-    if keys is None:
-        return replace_by_key(target, moved, "db")
-    return _replace(target, moved, "db", asked.small, hot)
+    return replace_by_key(target, moved, "db")

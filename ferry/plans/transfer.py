@@ -22,9 +22,10 @@ from ferry.fixed_values import (
     USER_TABLE_LENGTHS,
 )
 from ferry.operators import ledger as ledgers
-from ferry.operators.quality import validate_all
+from ferry.operators.quality import drop_surrogate_key, validate_all
+from ferry.operators.verification import require_same
 from ferry.schemas import LEDGER, fits_user_table
-from ferry.sources import documents, objects, tables
+from ferry.sources import documents, keyed, layout as layouts, objects, tables
 from ferry.sources.endpoint import Endpoint
 from ferry.sources.scratch import own_scratch, path_exists, stage
 
@@ -264,18 +265,33 @@ class Stores:
         source_schema: StructType | None = None,
         source_format: str | None = None,
         source_options: Mapping[str, Any] | None = None,
+        verify: bool = False,
         **write_options: Any,
     ) -> Transferred:
         """Copy a container from any store to any store.
 
         An empty source is an error and leaves the target alone. The source is
-        read once; the row count comes from the write.
+        read once; the row count comes from the write. With ``verify``, which needs
+        a target that is overwritten, both ends are read again and their content
+        compared; where it differs, the error names the differing buckets.
         """
+        store = self.endpoint(target)
+        if verify and (mode or ("append" if store.is_database else "overwrite")) != "overwrite":
+            raise ValueError("only a target that is overwritten can be verified")
         self.require_ends(source, target)
         df = self.read(source, source_name, source_schema, source_format, source_options)
         if df.isEmpty():
             raise TransferError(f"{source} {source_name} holds no rows to move")
         rows = self.write(df, target, target_name, mode, **write_options)
+        if verify:
+            if store.is_table_store:
+                df = drop_surrogate_key(df)
+            named = target_name
+            if write_options.get("output_filename"):
+                named = f"{target_name.rstrip('/')}/{write_options['output_filename']}"
+            format = write_options.get("format")
+            schema = df.schema if (format or store.format) in ("json", "csv") else None
+            require_same(df, self.read(target, named, schema, format), f"{target} {target_name}")
         return Transferred(True, rows, source, target)
 
     @_tidy
@@ -338,6 +354,41 @@ class Stores:
             return self.spark.createDataFrame([], store.schemas.get(name, LEDGER))
         return self.read(kind, name)
 
+    def _keyed(self, kind: str, name: str) -> layouts.Layout | None:
+        store = self.endpoint(kind)
+        return keyed.keyed_layout(self.spark, store.path(name)) if store.root else None
+
+    @_tidy
+    def key_ledger(self, kind: str, name: str = LEDGER_CONTAINER, buckets: int | None = None) -> int:
+        """Spread the ledger in a folder store by key, over ``buckets`` folders.
+
+        From then on moving keys rewrites only the folders these keys lie in.
+        """
+        store = self.endpoint(kind)
+        if not store.root:
+            raise ValueError(f"{kind} keeps no ledger in a folder")
+        copy = stage(self.read_ledger(kind, name), "ledger")
+        try:
+            return keyed.write_keyed(copy.rows, store.path(name), store.format, "db", buckets)
+        except Exception as e:
+            raise TransferError(f"{kind} {name} not replaced; the rows are in {copy.path}") from e
+
+    def _replace_keys(
+        self, kind: str, name: str, keys: DataFrame, moved: Callable[[DataFrame], ledgers.Moved]
+    ) -> int | None:
+        """Rows written, where a store can replace the rows of some keys alone, else None."""
+        store = self.endpoint(kind)
+        layout = self._keyed(kind, name)
+        if layout is not None:
+            keys = stage(ledgers.distinct_keys(keys), "keys").rows
+            folders = keyed.touched(keys, layout)
+            there = keyed.read_keyed(self.spark, store.path(name), store.format, folders)
+            return keyed.replace_buckets(moved(there).into(there), store.path(name), store.format, folders)
+        if store.is_table_store:
+            rows = moved(self.read_ledger(kind, name)).rows
+            return tables.replace_rows(rows, store, name, "db", ("test_version", "updated_at"))
+        return None
+
     def latest_version(
         self, kind: str, key: str, name: str = LEDGER_CONTAINER
     ) -> float | None:
@@ -356,7 +407,11 @@ class Stores:
     ) -> int:
         """Append a first row for each key."""
         like = self.read_ledger(kind, name)
-        return self.write(ledgers.new_rows(keys, like, version, as_of), kind, name, "append")
+        rows = ledgers.new_rows(keys, like, version, as_of)
+        if self._keyed(kind, name) is not None:
+            store = self.endpoint(kind)
+            return keyed.append_keyed(rows, store.path(name), store.format)
+        return self.write(rows, kind, name, "append")
 
     @_tidy
     def bump_versions(
@@ -368,7 +423,18 @@ class Stores:
         as_of: ledgers.AsOf = None,
         tie_break: str | None = None,
     ) -> int:
-        """Move keys of a store's ledger on, or set them to ``new_version``."""
+        """Move keys of a store's ledger on, or set them to ``new_version``.
+
+        Returns the rows written. With ``keys``, a keyed ledger (``key_ledger``) has
+        only their folders rewritten, and a table gets their rows appended and the
+        superseded ones deleted; other ledgers are replaced as a whole.
+        """
+        if keys is not None:
+            written = self._replace_keys(
+                kind, name, keys, lambda rows: ledgers.bumped_rows(rows, keys, new_version, as_of, tie_break)
+            )
+            if written is not None:
+                return written
         moved = ledgers.bump(self.read_ledger(kind, name), keys, new_version, as_of, tie_break)
         return self.write_ledger(moved, kind, name)
 
@@ -376,7 +442,17 @@ class Stores:
     def compact_ledger(
         self, kind: str, name: str = LEDGER_CONTAINER, tie_break: str | None = None
     ) -> int:
-        """Keep only the most recently updated row of each key."""
+        """Keep only the most recently updated row of each key.
+
+        Of a keyed ledger only folders with a key of several rows are rewritten.
+        """
+        layout = self._keyed(kind, name)
+        if layout is not None:
+            store = self.endpoint(kind)
+            several = self.read_ledger(kind, name).groupBy("db").count().where("count > 1")
+            folders = keyed.touched(several, layout)
+            there = keyed.read_keyed(self.spark, store.path(name), store.format, folders)
+            return keyed.replace_buckets(ledgers.compact(there, tie_break), store.path(name), store.format, folders)
         return self.write_ledger(ledgers.compact(self.read_ledger(kind, name), tie_break), kind, name)
 
     @_tidy
@@ -384,13 +460,15 @@ class Stores:
         """Replace the ledger in a store with rows computed from it.
 
         The new ledger is complete in scratch before the old one is touched,
-        and stays there if the store fails on the way.
+        and stays there if the store fails on the way. A keyed ledger stays keyed.
         """
+        layout = self._keyed(kind, name)
         copy = stage(df, "ledger")
+        store = self.endpoint(kind)
         try:
-            rows = self.write(
-                copy.rows, kind, name, "overwrite", staged=self.endpoint(kind).is_table_store
-            )
+            if layout is not None:
+                return keyed.write_keyed(copy.rows, store.path(name), store.format, "db", layout.buckets)
+            rows = self.write(copy.rows, kind, name, "overwrite", staged=store.is_table_store)
         except Exception as e:
             raise TransferError(f"{kind} {name} not replaced; the rows are in {copy.path}") from e
         return rows
@@ -416,11 +494,13 @@ class Stores:
         self.require(source, target)
         if keys is None:
             keys = self.spark.createDataFrame([(source,)], "db string")
-        moved = ledgers.transfer_versions(
-            self.read_ledger(source, source_name),
-            self.read_ledger(target, target_name),
-            keys, as_of, tie_break,
+        given = self.read_ledger(source, source_name)
+        written = self._replace_keys(
+            target, target_name, keys, lambda rows: ledgers.handed_rows(given, rows, keys, as_of, tie_break)
         )
+        if written is not None:
+            return written
+        moved = ledgers.transfer_versions(given, self.read_ledger(target, target_name), keys, as_of, tie_break)
         return self.write_ledger(moved, target, target_name)
 
 

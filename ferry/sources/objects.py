@@ -110,13 +110,15 @@ def read_dataset(
     format: str,
     schema: StructType | str | None = None,
     options: Mapping[str, Any] | None = None,
+    folders: Column | None = None,
 ) -> DataFrame:
     """Read csv, json, parquet, delta or any other installed format.
 
     Give ``schema`` for text formats where you can: inferring it reads the
     whole dataset once more. A partitioned dataset of this library has its schema
     beside it, so its columns come back in their order and type, and its partition
-    values as they were, with or without one.
+    values as they were, with or without one. ``folders`` is a condition on the
+    folders of a keyed dataset, whose numbers are not among its columns.
     """
     layout = layouts.kept(spark, path) if format in LAID_OUT else None
     if layout is not None:
@@ -130,8 +132,11 @@ def read_dataset(
     if layout is None:
         return df
     order = [f.name for f in layout.struct if f.name in df.columns]
-    rest = [c for c in df.columns if c not in order]
-    return layouts.restored(df, layout).select(*map(name, order + rest))
+    order += [c for c in df.columns if c not in order]
+    if folders is not None:
+        df = df.where(folders)
+    hidden = layout.partition_by if layout.key else ()
+    return layouts.restored(df, layout).select(*[name(c) for c in order if c not in hidden])
 
 
 def format_of(path: str) -> str:
@@ -272,7 +277,9 @@ def write_dataset(
         path = f"{path.rstrip('/')}/{output_filename}"
     columns = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     options = {**_format_defaults(format, writing=True), **(options or {})}
-    layout = _layout(df, path, mode, columns) if format in LAID_OUT else None
+    # Of an overwrite of some folders only, the others stay, and so does the layout.
+    stays = str(options.get("partitionOverwriteMode", "")).lower() == "dynamic"
+    layout = _layout(df, path, "append" if stays else mode, columns) if format in LAID_OUT else None
     df = _loud(df, format, columns, options)
     if layout is not None:
         df = layouts.escaped(df, layout)

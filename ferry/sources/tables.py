@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,6 +86,85 @@ def read_table(
     )
 
 
+def _connection(spark: SparkSession, endpoint: Endpoint):
+    """A connection of the driver process, for statements that Spark does not send."""
+    jvm, options = spark._jvm, endpoint.options
+    if "driver" in options:
+        loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        jvm.java.lang.Class.forName(options["driver"], True, loader)
+    properties = jvm.java.util.Properties()
+    for key, value in options.items():
+        if key not in ("url", "driver"):
+            properties.setProperty(key, str(value))
+    return jvm.java.sql.DriverManager.getConnection(options["url"], properties)
+
+
+def execute(spark: SparkSession, endpoint: Endpoint, *statements: str, none_left: str | None = None) -> None:
+    """Carry out statements in the database, together in one transaction.
+
+    They take effect only if the count that ``none_left`` asks for is 0 after them.
+    """
+    connection = _connection(spark, endpoint)
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.createStatement()
+        for text in statements:
+            statement.execute(text)
+        if none_left:
+            found = statement.executeQuery(none_left)
+            found.next()
+            if found.getLong(1):
+                raise VerificationError(f"not 0: {none_left}")
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
+def replace_rows(
+    rows: DataFrame,
+    endpoint: Endpoint,
+    table: str,
+    key: str,
+    told_by: Sequence[str],
+    surrogate_key: str = "id",
+) -> int:
+    """Put ``rows``, one for each of some keys, in place of all rows of these keys.
+
+    The rows are appended; then one statement deletes the keys' other rows, those
+    that differ in a column of ``told_by``. So readers always find the key, rows of
+    other keys keep their ids, and what others append meanwhile stays unless it is
+    about these keys. The new rows also go to a table of their own, of the same
+    types, that the statement joins with; it is dropped in the end. The statement
+    takes effect only if every key still has a row. ``rows`` must be staged. If the
+    step breaks off after the append, a key has its old rows besides the new one,
+    of which the new one is the latest; calling again puts that right.
+    """
+    spark = rows.sparkSession
+    rows = drop_surrogate_key(rows, surrogate_key)
+    side = f"{table.strip('\"').lower()}_{uuid.uuid4().hex[:12]}"
+    folded = {c.lower(): c for c in _load(spark, endpoint, quoted(table)).columns}
+    names = ['"' + folded.get(c.lower(), c).replace('"', '""') + '"' for c in rows.columns]
+    of = dict(zip(rows.columns, names, strict=True))
+    execute(spark, endpoint, f"CREATE TABLE {quoted(side)} AS SELECT {', '.join(names)} FROM {quoted(table)} WITH NO DATA")
+    try:
+        write_table(rows, endpoint, side, "append", surrogate_key=surrogate_key, staged=True)
+        written = write_table(rows, endpoint, table, "append", surrogate_key=surrogate_key, staged=True)
+        old = " OR ".join(f"t.{of[c]} IS NULL OR t.{of[c]} <> s.{of[c]}" for c in told_by)
+        same = f"s.{of[key]} = t.{of[key]}"
+        execute(
+            spark,
+            endpoint,
+            f"DELETE FROM {quoted(table)} t WHERE EXISTS (SELECT 1 FROM {quoted(side)} s WHERE {same} AND ({old}))",
+            none_left=f"SELECT count(*) FROM {quoted(side)} s WHERE NOT EXISTS (SELECT 1 FROM {quoted(table)} t WHERE {same})",
+        )
+    finally:
+        execute(spark, endpoint, f"DROP TABLE {quoted(side)}")
+    return written
+
+
 def _count_or_zero(spark: SparkSession, endpoint: Endpoint, table: str) -> int:
     try:
         return count_rows(spark, endpoint, table)

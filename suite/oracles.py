@@ -100,6 +100,27 @@ SELECT k.db, {version}, coalesce(b.created_at, {AS_OF}), {AS_OF}, b.rid
 FROM order_keys k LEFT JOIN best b ON b.db = k.db"""
 
 
+def in_store(version: str) -> str:
+    """The event ledger after moving some of its keys, and one for each region."""
+    return with_(
+        LEDGER,
+        ORDER_LEDGER,
+        best("best", "ledger"),
+        "c(n, v) AS (SELECT i, list_reduce(list_prepend(i, range(8)::BIGINT[]), "
+        "lambda a, x: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END)) FROM range(256) r(i))",
+        "t AS (SELECT list(v ORDER BY n) AS t FROM c)",
+        "keys AS (SELECT db FROM (SELECT DISTINCT db FROM ledger WHERE db LIKE '%0'), t "
+        "WHERE xor(list_reduce(list_prepend(4294967295::BIGINT, [('0x' || h)::BIGINT FOR h IN "
+        "regexp_extract_all(hex(encode(db)), '..')]), lambda a, x: xor(a >> 8, t[xor(a, x) % 256 + 1])), 4294967295::BIGINT) % 16 = 0 "
+        "UNION ALL SELECT 'missing_' || r_regionkey FROM region)",
+    ) + f"""
+SELECT {LEDGER_COLUMNS}, rid, 0::BIGINT AS changed_elsewhere, true AS some_elsewhere
+FROM ledger WHERE db NOT IN (SELECT db FROM keys)
+UNION ALL
+SELECT k.db, {version}, coalesce(b.created_at, {AS_OF}), {AS_OF}, b.rid, 0, true
+FROM keys k LEFT JOIN best b ON b.db = k.db"""
+
+
 # -- synthetic users ---------------------------------------------------------
 
 
@@ -245,6 +266,10 @@ def all_oracles() -> dict[str, str]:
         + f"SELECT db, round(test_version + 0.1, 1) AS test_version, created_at, {AS_OF} AS updated_at, rid FROM best",
         "ledger_bump_keys": moved("coalesce(round(b.test_version + 0.1, 1), 1.0)"),
         "ledger_set": moved("CAST(2.5 AS DOUBLE)"),
+        "ledger_bump_store": in_store("coalesce(round(b.test_version + 0.1, 1), 1.0)"),
+        "ledger_transfer_store": in_store(
+            "coalesce(nullif((SELECT max(test_version) FROM order_ledger o WHERE o.db = k.db), 0), 1.0)"
+        ),
         "ledger_transfer": with_(
             LEDGER,
             ORDER_LEDGER,
@@ -310,6 +335,10 @@ UNION ALL SELECT db, round(test_version + 0.1, 1), created_at, updated_at, rid F
         f"UNION ALL SELECT 2, rid, {USERS} FROM raw",
         "partitioned_write": "SELECT event_id, user_id, ts, value, event_type FROM events",
         "write_verification": "SELECT count(*) AS expected, count(*) AS found, true AS verified FROM orders",
+        "content_verification": "SELECT c_custkey, c_name, c_acctbal + n AS c_acctbal, m AS missing, 'faulty' AS copy "
+        "FROM customer, (SELECT min(c_custkey) AS a, max(c_custkey) AS z FROM customer), "
+        "(VALUES (0, 0, 1), (1, 0, 1), (1, 1, -1), (2, 0, -1)) v(i, n, m) "
+        "WHERE c_custkey = CASE i WHEN 0 THEN a WHEN 1 THEN a + 1 ELSE z END",
         "document_roundtrip": documents,
         "jdbc_roundtrip": valid_users,
         "jdbc_partitioned_scan": ledger_all,

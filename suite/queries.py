@@ -22,11 +22,12 @@ from ferry.fixtures import (
 )
 from ferry.functions.rules import next_version, nonblank, valid_email, valid_phone
 from ferry.operators import ledger as ledgers, quality
+from ferry.operators.verification import differences
 from ferry.plans import jobs
 from ferry.plans.report import append_report, failed, report, succeeded
 from ferry.plans.transfer import Stores, TransferError
 from ferry.schemas import fits_user_table, schema_by_name
-from ferry.sources import documents, objects, synthetic, tables
+from ferry.sources import documents, keyed, objects, synthetic, tables
 from ferry.sources.endpoint import Endpoint
 from ferry.sources.scratch import is_local, make_folder, materialize, scratch_path
 
@@ -244,6 +245,53 @@ def ledger_set(spark, sf_dir):
     )
 
 
+def _keyed_store(spark, sf_dir):
+    """The event ledger spread over folders, keys to move in it, and its files before that."""
+    rows = ledger(spark, sf_dir)
+    stores = _stores(spark, **{LEDGER_CONTAINER: rows.schema})
+    stores.write(rows, "postgresql", LEDGER_CONTAINER)
+    stores.key_ledger("postgresql", buckets=64)
+    some = rows.where(F.col("db").endswith("0")).select("db").distinct()
+    absent = table(spark, sf_dir, "region").select(F.concat_ws("_", F.lit("missing"), "r_regionkey").alias("db"))
+    keys = some.where(F.pmod(F.crc32(F.col("db").cast("binary")), F.lit(16)) == 0).unionByName(absent)
+    path = stores.endpoint("postgresql").path(LEDGER_CONTAINER)
+    return stores, materialize(keys, "keys"), path, materialize(objects.inventory(spark, path), "listed")
+
+
+def _with_changed_files(spark, stores, keys, path, before):
+    """The ledger as it is now, and how many files of folders without a moved key changed."""
+    layout = keyed.keyed_layout(spark, path)
+    moved = keyed.touched(keys, layout)
+    folder = F.regexp_extract("name", f"{keyed.BUCKET}=([0-9]+)/", 1).cast("int")
+    elsewhere = before.where(~folder.isin(moved))
+    changed = elsewhere.join(objects.inventory(spark, path), ["name", "size", "last_modified"], "left_anti").count()
+    return stores.read_ledger("postgresql").withColumns(
+        {"changed_elsewhere": F.lit(changed).cast("bigint"), "some_elsewhere": F.lit(elsewhere.count() > 0)}
+    )
+
+
+@query
+def ledger_bump_store(spark, sf_dir):
+    """Some keys of a stored ledger moved on: files of other folders stay as they are."""
+    stores, keys, path, before = _keyed_store(spark, sf_dir)
+    stores.bump_versions("postgresql", keys, as_of=AS_OF, tie_break="rid")
+    return _with_changed_files(spark, stores, keys, path, before)
+
+
+@query
+def ledger_transfer_store(spark, sf_dir):
+    """Versions of the order ledger handed to some keys of a stored ledger."""
+    stores, keys, path, before = _keyed_store(spark, sf_dir)
+    orders = order_ledger(spark, sf_dir).drop("rid").withColumns(
+        {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") for c in ("created_at", "updated_at")}
+    )
+    stores.write(orders, "mongodb", "orders")
+    stores.transfer_versions(
+        "mongodb", "postgresql", keys, source_name="orders", as_of=AS_OF, tie_break="rid"
+    )
+    return _with_changed_files(spark, stores, keys, path, before)
+
+
 def _transfer_keys(spark, sf_dir):
     """All keys of the event ledger, and one per nation that no ledger has."""
     absent = table(spark, sf_dir, "nation").select(
@@ -563,6 +611,27 @@ def write_verification(spark, sf_dir):
     )
 
 
+@query
+def content_verification(spark, sf_dir):
+    """One row lost, one doubled, one changed in a stored copy: each is found, and nothing else."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    stores = _stores(spark)
+    stores.write(rows, "s3", "whole")
+    ends = rows.agg(F.min("c_custkey").alias("first"), F.max("c_custkey").alias("last")).first().asDict()
+    key = F.col("c_custkey")
+    marked = rows.withColumns({c: F.lit(v) for c, v in ends.items()})
+    copies = F.when(key == F.col("first"), 0).when(key == F.col("last"), 2).otherwise(1)
+    changed = F.when(key == F.col("first") + 1, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
+    faulty = marked.withColumn("_", F.explode(F.array_repeat(F.lit(1), copies))).select(
+        "c_custkey", "c_name", changed.cast(rows.schema["c_acctbal"].dataType).alias("c_acctbal")
+    )
+    stores.write(faulty, "s3", "faulty")
+    found = [
+        differences(rows, stores.read("s3", name)).withColumn("copy", F.lit(name)) for name in ("whole", "faulty")
+    ]
+    return found[0].unionByName(found[1])
+
+
 @query
 def document_roundtrip(spark, sf_dir):
     rows = ledger_documents(spark, sf_dir)
