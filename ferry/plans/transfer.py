@@ -22,14 +22,19 @@ from ferry.fixed_values import (
     USER_TABLE_LENGTHS,
 )
 from ferry.operators import ledger as ledgers
+from ferry.operators.matching import broadcastable, hot_keys, match, measure, name
 from ferry.operators.quality import drop_surrogate_key, validate_all
 from ferry.operators.verification import require_same
-from ferry.schemas import LEDGER, fits_user_table
+from ferry.schemas import LEDGER, RAW_USER, fits_user_table
 from ferry.sources import documents, keyed, layout as layouts, objects, tables
 from ferry.sources.endpoint import Endpoint
 from ferry.sources.scratch import own_scratch, path_exists, stage
 
 
+# Formats that have to be read to be counted.
+TEXT_FORMATS = ("csv", "json")
+
+
 class TransferError(RuntimeError):
     """A transfer that cannot be made, or has nothing to move."""
 
@@ -49,8 +54,8 @@ class UsersTransferred:
     """Outcome of a validated transfer.
 
     ``invalid`` is everything that is not valid, duplicates included.
-    ``written`` is less than ``valid`` by the rows a table would refuse; those are
-    kept in the dataset ``refused_to``.
+    ``written`` is less than ``valid`` by the rows a table would refuse, which are
+    kept in the dataset ``refused_to``, and in append mode by the ``known`` ones.
     """
 
     total: int
@@ -61,6 +66,7 @@ class UsersTransferred:
     target: str
     refused: int = 0
     refused_to: str | None = None
+    known: int = 0
 
 
 def _tidy(call: Callable) -> Callable:
@@ -109,7 +115,11 @@ class Stores:
             raise ValueError(f"reading {kind} needs the name of a container or a path")
         if store.is_table_store:
             _unused(kind, schema=schema, format=format)
-            return tables.read_table(self.spark, store, name, **(options or {}))
+            options = dict(options or {})
+            if name in store.splits and not options:
+                column, parts = store.splits[name]
+                options = {"partition_column": column, "num_partitions": parts, "by_depth": True}
+            return tables.read_table(self.spark, store, name, **options)
         if store.is_database:
             _unused(kind, format=format)
             return documents.read_collection(self.spark, store, name, schema, options)
@@ -237,8 +247,8 @@ class Stores:
         """Raise one error naming every end of a transfer that cannot be reached.
 
         The source must exist; a target in a folder may be made by the transfer,
-        but its file system must answer. A database that a table is yet to be made
-        in shows only when it is written.
+        but its file system must answer. A relational database must accept a
+        connection. A document store shows when its connector reads or writes.
         """
         failures = []
         for kind, is_target in ((source, False), (target, True)):
@@ -248,6 +258,8 @@ class Stores:
                     path_exists(self.spark, store.root)
                 elif store.root:
                     self.probe(kind)
+                elif store.is_table_store:
+                    tables.reach(self.spark, store)
             except Exception as e:
                 failures.append(f"{kind}: {_message(e)}")
         if failures:
@@ -310,15 +322,21 @@ class Stores:
         """Validate raw users from storage and write the valid ones.
 
         The raw rows are counted (for Parquet from file footers) and read once
-        in full; the valid rows are staged, so the target is touched only when
-        there is something to write, and everything after reads the stage. Valid
-        rows that a relational user table has no room for go to the storage
-        dataset ``refused_to``, by default ``refused/`` and the target's name.
+        in full; text sources are staged for that, so that they are read once and
+        what is counted is what is validated. The valid rows are staged, so the
+        target is touched only when there is something to write, and everything
+        after reads the stage. Valid rows that a relational user table has no room
+        for are added to the storage dataset ``refused_to``, by default ``refused/``
+        and the target's name. In append mode, users whose e-mail the target has are
+        left out and counted.
         """
         if target not in DATABASES:
             raise ValueError(f"{target!r} is not a database; use {', '.join(DATABASES)}")
         self.require_ends(source, target)
         raw = self.read(source, source_name, format=source_format)
+        if (source_format or self.endpoint(source).format) in TEXT_FORMATS:
+            wanted = [c for c in raw.columns if c in RAW_USER.fieldNames() or c == order_by]
+            raw = stage(raw.select(*map(name, wanted)), "raw").rows
         total = raw.count()
         if total == 0:
             raise TransferError(f"{source_name} holds no rows to move")
@@ -332,8 +350,13 @@ class Stores:
             refused = rows.filter(~fits).count()
             if refused:
                 refused_to = refused_to or f"refused/{target_name}"
-                self.write(rows.filter(~fits), source, refused_to)
+                self.write(rows.filter(~fits), source, refused_to, "append")
                 rows = rows.filter(fits)
+        known = 0
+        if mode == "append":
+            fresh = stage(self._without_known(rows, target, target_name), "fresh").rows
+            known = rows.count() - fresh.count()
+            rows = fresh
         if self.endpoint(target).is_table_store:
             types = {c: f"VARCHAR({n})" for c, n in USER_TABLE_LENGTHS.items()}
             written = self.write(
@@ -342,9 +365,35 @@ class Stores:
         else:
             written = self.write(rows, target, target_name, mode)
         return UsersTransferred(
-            total, valid, total - valid, written, source, target, refused, refused_to if refused else None
+            total, valid, total - valid, written, source, target, refused, refused_to if refused else None, known
         )
 
+    def _without_known(self, users: DataFrame, kind: str, container: str) -> DataFrame:
+        """``users`` (staged, an e-mail once) without those whose e-mail a container has.
+
+        The container is cut to the e-mails in question first: by a broadcast of
+        them, their size having been measured, or else by a join on the shuffle that
+        spreads e-mails the container has very often.
+        """
+        store = self.endpoint(kind)
+        if store.is_table_store:
+            there = tables.table_exists(self.spark, store, container)
+        else:
+            there = not store.root or path_exists(self.spark, store.path(container))
+        if not there:
+            return users
+        asked = users.select("email")
+        schema = None if store.is_table_store else StructType().add("email", "string")
+        held = self.read(kind, container, schema).select("email")
+        if broadcastable(*measure(asked, "email")):
+            held = held.join(F.broadcast(asked), "email", "left_semi")
+        else:
+            held = match(held, asked, "email", "left_semi", hot_keys(held, "email"))
+        known = stage(held.distinct(), "known").rows
+        if broadcastable(*measure(known, "email")):
+            return users.join(F.broadcast(known), "email", "left_anti").select(*users.columns)
+        return match(users, known, "email", "left_anti")
+
     # -- the ledger in a store -----------------------------------------------
 
     def read_ledger(self, kind: str, name: str = LEDGER_CONTAINER) -> DataFrame:

@@ -22,6 +22,8 @@ class Endpoint:
     options  data source options, credentials included; nothing is built in
     schemas  known schemas by container; a text format read without one is
              read once more in full to infer it
+    splits   for tables, by container: the column by whose values reading is split
+             into parts of like size, and how many of them
     """
 
     kind: str
@@ -29,6 +31,7 @@ class Endpoint:
     root: str = ""
     options: Mapping[str, str] = field(default_factory=dict)
     schemas: Mapping[str, StructType] = field(default_factory=dict)
+    splits: Mapping[str, tuple[str, int]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.kind not in DATABASES + STORAGES:

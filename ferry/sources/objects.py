@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType, StructType
 from ferry.fixed_values import OBJECT_SCHEME
 from ferry.operators.matching import name
 from ferry.sources import layout as layouts
-from ferry.sources.scratch import path_exists
+from ferry.sources.scratch import _file_system, path_exists
 from ferry.sources.sizing import sized_for
 from ferry.sources.sniffing import typed
 
@@ -195,12 +195,40 @@ def read_pipe_dat(
     return (reader if schema is None else reader.schema(schema)).csv(path)
 
 
+def _status(status) -> tuple[str, int, float]:
+    return status.getPath().toString(), status.getLen(), status.getModificationTime() / 1000
+
+
+def _hidden(spark: SparkSession, path: str) -> list[tuple[str, int, float]]:
+    """Objects whose name, or that of a folder above them, begins with _ or a dot.
+
+    Spark's readers leave them out. They mark and describe datasets, so there are few
+    of them; the file system is asked for them level by level.
+    """
+    fs, root = _file_system(spark, path)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    found, level = {}, root.toString().rstrip("/")
+    while True:
+        for status in fs.globStatus(at(f"{level}/[_.]*")) or ():
+            if not status.isDirectory():
+                found[status.getPath().toString()] = _status(status)
+                continue
+            inside = fs.listFiles(status.getPath(), True)
+            while inside.hasNext():
+                below = inside.next()
+                found[below.getPath().toString()] = _status(below)
+        level += "/*"
+        if not len(fs.globStatus(at(level)) or ()):
+            return list(found.values())
+
+
 def inventory(spark: SparkSession, path: str) -> DataFrame:
-    """(name, size, last_modified) of every object below ``path``.
+    """(name, size, last_modified) of every object below ``path``, markers included.
 
-    Only file status is read; the contents are pruned from the scan.
+    Only file status is read; the contents are pruned from the scan. Folders are no
+    objects.
     """
-    return (
+    seen = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(path)
@@ -210,6 +238,10 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
             F.col("modificationTime").alias("last_modified"),
         )
     )
+    hidden = spark.createDataFrame(_hidden(spark, path), "name string, size bigint, seconds double")
+    return seen.unionByName(
+        hidden.select("name", "size", F.timestamp_millis(F.round(F.col("seconds") * 1000).cast("bigint")).alias("last_modified"))
+    )
 
 
 # -- writing -----------------------------------------------------------------

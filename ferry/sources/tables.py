@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import CharType, IntegralType, NumericType, StringType, VarcharType
 
 from ferry.fixed_values import LEDGER_CONTAINER
 from ferry.operators.quality import drop_surrogate_key
@@ -43,6 +45,65 @@ def count_rows(spark: SparkSession, endpoint: Endpoint, table: str) -> int:
     return int(_load(spark, endpoint, query).first()[0])
 
 
+def depth_cuts(counts: Sequence[tuple[object, int]], parts: int) -> list[object]:
+    """Values at which a range of values is cut into ``parts`` of nearly equal counts.
+
+    ``counts`` has the first value of each stretch and its rows, in order. A stretch
+    is never cut, so a part is too large by one stretch at most; there are fewer
+    parts where single stretches hold more than a part's share.
+    """
+    total = sum(n for _, n in counts)
+    cuts, seen, share = [], 0, 1
+    for value, n in counts:
+        if seen * parts >= share * total and share < parts:
+            cuts.append(value)
+            share = seen * parts // total + 1
+        seen += n
+    return cuts
+
+
+def _literal(value: object) -> str:
+    if isinstance(value, (bool, int, float)):
+        return repr(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def depth_predicates(
+    spark: SparkSession, endpoint: Endpoint, table: str, column: str, parts: int, prefix: int = 4, steps: int = 50
+) -> list[str]:
+    """Conditions, one for each part of a read, that cut a table into parts of like size.
+
+    The database counts rows by the first ``prefix`` characters of a text column, or
+    by ``parts`` x ``steps`` ranges of equal width of a number, date or time; only
+    these counts come back. Every row fits exactly one condition, also one that is
+    NULL or was added since, whatever the order that the database gives texts.
+    """
+    name, rows = '"' + column.replace('"', '""') + '"', quoted(table)
+    kind = _load(spark, endpoint, rows).schema[column].dataType
+    if isinstance(kind, (StringType, VarcharType, CharType)):
+        asked = f"SELECT v, count(*) AS n FROM (SELECT SUBSTR({name}, 1, {prefix}) AS v FROM {rows}) p WHERE v IS NOT NULL GROUP BY v"
+        counts = _load(spark, endpoint, f"({asked}) counted").orderBy("v").collect()
+        cuts = depth_cuts([tuple(r) for r in counts], parts)
+    elif isinstance(kind, NumericType):
+        low, high = _load(spark, endpoint, f"(SELECT min({name}) AS lo, max({name}) AS hi FROM {rows}) bounds").first()
+        if low is None or low == high:
+            return ["1 = 1"]
+        width = (float(high) - float(low)) / (parts * steps)
+        place = f"FLOOR((CAST({name} AS DOUBLE PRECISION) - {float(low)!r}) / {width!r})"
+        asked = f"SELECT v, count(*) AS n FROM (SELECT {place} AS v FROM {rows}) p WHERE v IS NOT NULL GROUP BY v"
+        counts = _load(spark, endpoint, f"({asked}) counted").orderBy("v").collect()
+        whole = isinstance(kind, IntegralType)
+        starts = [float(low) + float(v) * width for v, _ in counts]
+        cuts = depth_cuts(list(zip([math.ceil(s) if whole else s for s in starts], [n for _, n in counts], strict=True)), parts)
+    else:
+        raise ValueError(f"{column} is neither text nor a number")
+    if not cuts:
+        return ["1 = 1"]
+    edges = [_literal(c) for c in cuts]
+    between = [f"{name} >= {a} AND {name} < {b}" for a, b in zip(edges, edges[1:])]
+    return [f"{name} < {edges[0]} OR {name} IS NULL", *between, f"{name} >= {edges[-1]}"]
+
+
 def read_table(
     spark: SparkSession,
     endpoint: Endpoint,
@@ -51,15 +112,21 @@ def read_table(
     num_partitions: int | None = None,
     bounds: tuple[object, object] | None = None,
     predicates: Sequence[str] | None = None,
+    by_depth: bool = False,
 ) -> DataFrame:
     """Read a table.
 
     Without more it is one partition over one connection. A numeric, date or
     timestamp ``partition_column`` splits it into ``num_partitions`` ranges;
     bounds not given are asked of the database. ``predicates`` gives one
-    partition per condition instead, for keys without an order.
+    partition per condition instead, for keys without an order. With ``by_depth``
+    the column may be text as well, and the parts hold nearly equal numbers of rows
+    however its values are spread (``depth_predicates``).
     """
     name = quoted(table)
+    if by_depth:
+        parts = num_partitions or spark.sparkContext.defaultParallelism
+        predicates = depth_predicates(spark, endpoint, table, partition_column, parts)
     if predicates:
         properties = {
             k: str(v) for k, v in {**JDBC_DEFAULTS, **endpoint.options}.items() if k != "url"
@@ -165,11 +232,19 @@ def replace_rows(
     return written
 
 
-def _count_or_zero(spark: SparkSession, endpoint: Endpoint, table: str) -> int:
+def reach(spark: SparkSession, endpoint: Endpoint) -> None:
+    """Fail unless the database answers."""
+    _connection(spark, endpoint).close()
+
+
+def table_exists(spark: SparkSession, endpoint: Endpoint, table: str) -> bool:
+    """Whether there is such a table; a database that does not answer is an error."""
+    connection = _connection(spark, endpoint)
     try:
-        return count_rows(spark, endpoint, table)
-    except Exception:  # no such table yet; an unreachable database fails the write
-        return 0
+        found = connection.getMetaData().getTables(None, None, quoted(table)[1:-1].replace('""', '"'), None)
+        return found.next()
+    finally:
+        connection.close()
 
 
 def write_table(
@@ -197,7 +272,8 @@ def write_table(
     copy = None if staged else stage(rows, "table")
     rows = copy.rows if copy else rows
     expected = rows.count()
-    before = _count_or_zero(spark, endpoint, table) if mode == "append" else 0
+    there = mode == "append" and table_exists(spark, endpoint, table)
+    before = count_rows(spark, endpoint, table) if there else 0
     options = {**JDBC_DEFAULTS, "numPartitions": str(WRITE_CONNECTIONS), **endpoint.options}
     if column_types:
         options["createTableColumnTypes"] = ", ".join(

@@ -330,9 +330,19 @@ UNION ALL SELECT db, round(test_version + 0.1, 1), created_at, updated_at, rid F
         + "SELECT '\"' || db || '\"' AS _c0, test_version AS _c1, rid AS _c2 FROM ledger",
         "object_inventory": "SELECT DISTINCT 'events/event_type=' || event_type AS folder, "
         "true AS has_bytes, true AS has_time FROM events UNION ALL SELECT 'users', true, true",
+        "object_inventory_full": "SELECT 'texts' AS folder, '' AS marker, "
+        "sum(strlen(coalesce(text, '')) + 1)::BIGINT AS bytes, NULL::BIGINT AS markers, true AS has_time FROM documents "
+        "UNION ALL SELECT * FROM (VALUES ('texts', '_SUCCESS', 0, 1, true), ('nations', '', NULL, NULL, true), "
+        "('nations', '_SUCCESS', NULL, 1, true), ('nations', '_layout.json', NULL, 1, true))",
         "schema_merge_scan": with_(RAW)
         + f"SELECT 1 AS batch, rid, first_name, last_name, email, phone, NULL AS gender FROM raw "
         f"UNION ALL SELECT 2, rid, {USERS} FROM raw",
+        "schema_widen_scan": "SELECT format, c_custkey AS id, batch, "
+        "CASE batch WHEN 0 THEN c_custkey::VARCHAR WHEN 1 THEN (c_custkey * 3000000000)::VARCHAR "
+        "WHEN 2 THEN c_acctbal::DOUBLE::VARCHAR WHEN 3 THEN 'n' || c_custkey ELSE c_custkey::VARCHAR END AS v, "
+        "CASE batch WHEN 1 THEN c_acctbal ELSE c_custkey END::DOUBLE AS w, CASE batch WHEN 2 THEN 'new' END AS x, "
+        "'v:string,w:double,x:string' AS kinds "
+        "FROM customer, (SELECT unnest(['parquet', 'json']) AS format), (SELECT unnest(range(5)) AS batch)",
         "partitioned_write": "SELECT event_id, user_id, ts, value, event_type FROM events",
         "write_verification": "SELECT count(*) AS expected, count(*) AS found, true AS verified FROM orders",
         "content_verification": "SELECT c_custkey, c_name, c_acctbal + n AS c_acctbal, m AS missing, 'faulty' AS copy "
@@ -349,6 +359,18 @@ UNION ALL SELECT db, round(test_version + 0.1, 1), created_at, updated_at, rid F
         "transfer_document_to_object": documents,
         "transfer_jdbc_to_object": ledger_all,
         "transfer_validated_document": valid_users,
+        "transfer_users_append": with_(
+            RAW,
+            *(
+                f"{n}_firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY email ORDER BY rid) AS rn "
+                f"FROM raw WHERE {where}) WHERE rn = 1), {n} AS (SELECT {USERS} FROM {n}_firsts WHERE {IS_VALID})"
+                for n, where in (("a", "rid % 3 > 0"), ("b", "rid % 3 <> 1"))
+            ),
+            "fresh AS (SELECT * FROM b WHERE email NOT IN (SELECT email FROM a))",
+            "n AS (SELECT (SELECT count(*) FROM raw WHERE rid % 3 <> 1) AS total, (SELECT count(*) FROM b) AS valid, "
+            "(SELECT count(*) FROM fresh) AS written)",
+        )
+        + f"SELECT {USERS}, total, valid, valid - written AS known, written FROM (FROM a UNION ALL FROM fresh), n",
         "transfer_validated_jdbc": valid_users,
         "source_readiness": "SELECT 'mongodb:db_connect' AS source, true AS ok, count(*) AS row_count, "
         "false AS has_error FROM events UNION ALL "

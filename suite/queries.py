@@ -27,7 +27,7 @@ from ferry.plans import jobs
 from ferry.plans.report import append_report, failed, report, succeeded
 from ferry.plans.transfer import Stores, TransferError
 from ferry.schemas import fits_user_table, schema_by_name
-from ferry.sources import documents, keyed, objects, synthetic, tables
+from ferry.sources import documents, evolution, keyed, objects, synthetic, tables
 from ferry.sources.endpoint import Endpoint
 from ferry.sources.scratch import is_local, make_folder, materialize, scratch_path
 
@@ -579,6 +579,28 @@ def object_inventory(spark, sf_dir):
     )
 
 
+@query
+def object_inventory_full(spark, sf_dir):
+    """Every object of a dataset, its marker included, with exact sizes."""
+    path = scratch_path(spark, "query")
+    texts = table(spark, sf_dir, "documents").select(F.coalesce("text", F.lit("")).alias("value"))
+    texts.write.text(f"{path}/texts")
+    objects.write_dataset(table(spark, sf_dir, "nation"), f"{path}/nations", "json", partition_by="n_regionkey")
+    listed = objects.inventory(spark, path)
+    folder, file = F.regexp_extract("name", r"/(texts|nations)/", 1), F.regexp_extract("name", r"([^/]+)$", 1)
+    marker = F.when(file.startswith("_"), file).otherwise("")
+    exact = F.when(F.col("folder") == "texts", F.sum("size"))
+    return (
+        listed.select(folder.alias("folder"), marker.alias("marker"), "size", "last_modified")
+        .groupBy("folder", "marker")
+        .agg(
+            exact.alias("bytes"),
+            F.when(F.col("marker") != "", F.count("*")).alias("markers"),
+            (F.min("last_modified") > F.lit("2020-01-01").cast("timestamp")).alias("has_time"),
+        )
+    )
+
+
 @query
 def schema_merge_scan(spark, sf_dir):
     """Two batches in one dataset, the first without a gender column."""
@@ -591,6 +613,31 @@ def schema_merge_scan(spark, sf_dir):
     )
 
 
+@query
+def schema_widen_scan(spark, sf_dir):
+    """Five batches with other columns and types each time, as Parquet and as JSON."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    key, balance = F.col("c_custkey").cast("int"), F.col("c_acctbal").cast("double")
+    batches = [
+        [key.alias("v"), key.alias("w")],
+        [(key.cast("bigint") * 3_000_000_000).alias("v"), balance.alias("w")],
+        [balance.alias("v"), key.alias("w"), F.lit("new").alias("x")],
+        [F.concat(F.lit("n"), key.cast("string")).alias("v"), key.alias("w")],
+        [key.alias("v"), key.alias("w")],
+    ]
+    result = None
+    for format in ("parquet", "json"):
+        path = scratch_path(spark, "query")
+        for i, columns in enumerate(batches):
+            part = rows.select(key.alias("id"), F.lit(i).alias("batch"), *columns)
+            objects.write_dataset(part, path, format, "append")
+        found = evolution.read_widened(spark, path, format)
+        kinds = F.lit(",".join(f"{f.name}:{f.dataType.simpleString()}" for f in found.schema if f.name in "vwx"))
+        found = found.select(F.lit(format).alias("format"), *[F.col(c).cast("bigint").alias(c) for c in ("id", "batch")], "v", "w", "x", kinds.alias("kinds"))
+        result = found if result is None else result.unionByName(found)
+    return result
+
+
 @query
 def partitioned_write(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value", "event_type")
@@ -717,6 +764,21 @@ def transfer_validated_document(spark, sf_dir):
     return stores.read("mongodb", USER_CONTAINER)
 
 
+@query
+def transfer_users_append(spark, sf_dir):
+    """Raw users of two overlapping batches, the second appended: no e-mail comes twice."""
+    raw = raw_users(spark, sf_dir)
+    stores = _stores(spark, **{USER_CONTAINER: schema_by_name("raw_valid_data_user")})
+    stores.write(raw.where("rid % 3 > 0"), "s3", "silver/first", format="json")
+    stores.write(raw.where("rid % 3 <> 1"), "s3", "silver/second", format="csv")
+    stores.transfer_users("mongodb", "silver/first", USER_CONTAINER, order_by="rid", source_format="json")
+    done = stores.transfer_users(
+        "mongodb", "silver/second", USER_CONTAINER, "append", order_by="rid", source_format="csv"
+    )
+    found = stores.read("mongodb", USER_CONTAINER)
+    return found.withColumns({c: F.lit(getattr(done, c)).cast("bigint") for c in ("total", "valid", "known", "written")})
+
+
 @query
 def transfer_validated_jdbc(spark, sf_dir):
     stores = _stores(spark, _relational(spark))
