@@ -15,8 +15,9 @@ WINDOW, MISSES = 13, 2
 # Masks of six words. Whichever two words of a window differ,
 # one of these masks lies in the window without touching them.
 MASKS = ("11101011", "1010001111")
-# A shorter benchmark text cannot be told from ordinary text.
-LEAST_WORDS = 5
+# An item under WINDOW words must stand there whole, from so many words on with
+# at most SHORT_MISSES changed; shorter ones, phrases, are matched word for word.
+LEAST_WORDS, SHORT_MISSES = 5, 1
 # Benchmark postings are broadcast up to this size, otherwise joined by hash.
 BROADCAST_BYTES = 64 * MB
 
@@ -29,6 +30,17 @@ def _weights(masks: list[str]) -> list[list[str]]:
     return [[m for m in masks if m.count("1") == w] for w in sorted({m.count("1") for m in masks})]
 
 
+def short_masks(length: int) -> list[str]:
+    """Masks one of which, somewhere in a text of so many words, misses any one changed word.
+
+    The halves of the text; of five words, the first three, the last three, and
+    three around the middle one.
+    """
+    if length == 5:
+        return ["111", "1101"]
+    return sorted({"1" * (length // 2), "1" * (length - length // 2)})
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
@@ -80,22 +92,64 @@ def overlaps(
 
     An overlap is a window of 13 words of the item that stands in the document
     at the same relative places with at most 2 words changed. Items of 5 to 12
-    words must stand there whole and unchanged; shorter ones, null ones and null
-    documents overlap with nothing. Columns: the keys, item_id, and of the best,
-    then earliest alignment start_word (the place of the item's first word,
-    negative where the item's beginning is missing), overlap_words (its longest
-    run with at most 2 changed words) and same_words; alignments counts all. Rows with equal keys count as one document.
+    words must stand there whole, with at most 1 word changed; phrases of 1 to 4
+    words word for word (``phrase`` is true). Null documents and items, and items
+    without words, overlap with nothing; empty tables give no rows. Columns: the
+    keys, item_id, and of the best, then earliest alignment start_word (the place of
+    the item's first word, negative where the item's beginning is missing),
+    overlap_words (its longest run with at most 2 changed words) and same_words;
+    alignments counts all. Rows with equal keys count as one document. Whole texts
+    are searched, however long; further columns of either table change nothing.
     """
     items = benchmark.select(
         quoted(item_column).alias("item_id"), words(quoted(item_text)).alias("tokens")
-    ).where(F.size("tokens") >= LEAST_WORDS)
+    ).where(F.size("tokens") > 0)
+    items = materialize(items, "items")
+    length = F.size("tokens")
+    rows = docs.select(
+        *[c.alias(k) for k, c in keys.items()], words(quoted(text_column)).alias("tokens")
+    )
+    phrases = items.where(length < LEAST_WORDS)
+    found = _aligned(rows, items.where(length >= LEAST_WORDS), keys, broadcast_bytes)
+    if phrases.isEmpty():
+        return found.withColumn("phrase", F.lit(False))
+    told = _phrases(rows, phrases, keys, broadcast_bytes)
+    return found.withColumn("phrase", F.lit(False)).unionByName(told.withColumn("phrase", F.lit(True)))
+
+
+def _phrases(rows: DataFrame, items: DataFrame, keys: dict[str, Column], broadcast_bytes: int) -> DataFrame:
+    """Where phrases of 1 to 4 words stand word for word."""
+    parts = []
+    for n in range(1, LEAST_WORDS):
+        mask = ["1" * n]
+        own = items.where(F.size("tokens") == n)
+        posts = seeds(own, mask, "item_id", "tokens").select("item_id", F.col("tokens").alias("item"), "seed")
+        size = own.count() * (24 * n + 64)
+        if not size:
+            continue
+        posts = F.broadcast(posts) if size <= broadcast_bytes else posts
+        hits = seeds(rows, mask, *keys, "tokens").join(posts, "seed")
+        parts.append(hits.where(F.slice("tokens", F.col("at") + 1, n) == F.col("item")).select(*keys, "item_id", "at", F.lit(n).alias("n")))
+    # A word may stand at one place only once for each row; equal rows count as one document.
+    starts = _union(parts).groupBy(*keys, "item_id", "n").agg(F.min("at").alias("first"), F.count_distinct("at").alias("alignments"))
+    long = lambda c: F.col(c).cast("long")
+    return starts.select(
+        *keys, "item_id", long("first").alias("start_word"), long("n").alias("overlap_words"), long("n").alias("same_words"), "alignments"
+    )
+
+
+def _aligned(rows: DataFrame, items: DataFrame, keys: dict[str, Column], broadcast_bytes: int) -> DataFrame:
+    """Overlaps with items of 5 words and more."""
     long = items.where(F.size("tokens") >= WINDOW)
     short = items.where(F.size("tokens") < WINDOW)
     lengths = sorted(r[0] for r in short.select(F.size("tokens")).distinct().collect())  # 8 at most
     posts = seeds(long, list(MASKS), "item_id", "tokens")
+    masks = list(MASKS)
     for n in lengths:
-        own = seeds(short.where(F.size("tokens") == n), ["1" * n], "item_id", "tokens")
-        posts = posts.unionByName(own)
+        masks += [m for m in short_masks(n) if m not in masks]
+        for same_weight in _weights(short_masks(n)):
+            own = seeds(short.where(F.size("tokens") == n), same_weight, "item_id", "tokens")
+            posts = posts.unionByName(own)
     posts = materialize(
         posts.select(
             "item_id", F.col("tokens").alias("item"), F.col("at").alias("item_at"), "seed"
@@ -103,10 +157,6 @@ def overlaps(
         "seeds",
     )
     size = posts.agg(F.sum(F.size("item") * 24 + 64)).collect()[0][0] or 0
-    masks = [*MASKS, *("1" * n for n in lengths)]
-    rows = docs.select(
-        *[c.alias(k) for k, c in keys.items()], words(quoted(text_column)).alias("tokens")
-    )
     if size <= broadcast_bytes:
         # The words stay in reach, so hits are verified where they are found.
         hits = _union([seeds(rows, m, *keys, "tokens").join(F.broadcast(posts), "seed") for m in _weights(masks)])
@@ -142,8 +192,9 @@ def overlaps(
         F.size(F.filter("same", lambda x: x)).alias("same_words"),
         _stretch(F.col("same")).alias("overlap_words"),
     )
-    found = (F.col("length") >= WINDOW) & (F.col("overlap_words") >= WINDOW)
-    once = hits.where(found | (F.col("same_words") == F.col("length"))).distinct()
+    windows = (F.col("length") >= WINDOW) & (F.col("overlap_words") >= WINDOW)
+    near = (F.col("length") < WINDOW) & (F.col("same_words") >= F.col("length") - SHORT_MISSES)
+    once = hits.where(windows | near).distinct()
     best = F.max(F.struct("overlap_words", "same_words", (-F.col("start_word")).alias("back")))
     return (
         once.groupBy(*keys, "item_id")
@@ -159,10 +210,20 @@ def overlaps(
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_column: str = "text") -> DataFrame:
-    """``docs`` without the rows that overlap with any benchmark text."""
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, text_column: str = "text", phrases: bool = False
+) -> DataFrame:
+    """``docs`` without the rows that overlap with any benchmark text, all columns as they were.
+
+    Overlaps are those of ``overlaps``; phrases of 1 to 4 words, which ordinary
+    texts hold too, count with ``phrases`` only. Equal texts stay or go together,
+    whatever their ids; null and empty texts stay, as does everything if the
+    benchmark is empty. An empty table gives an empty result.
+    """
     key = F.md5(whole(quoted(text_column)))
     found = overlaps(docs, benchmark, {"key": key}, text_column)
+    if not phrases:
+        found = found.where(~F.col("phrase"))
     name = free_name(docs, "leaked")
     bad = materialize(found.select(F.col("key").alias(name)).distinct(), "leaks")
     return docs.join(bad, key == F.col(name), "left_anti")

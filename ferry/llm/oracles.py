@@ -103,10 +103,11 @@ OP4 = f"""
 WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
 b AS (SELECT item_id, {WORDS} AS tw FROM benchmark),
 dw AS (SELECT doc_id, unnest(w) AS v, generate_subscripts(w, 1) - 1 AS p FROM d),
-bw AS (SELECT item_id, unnest(tw) AS v, generate_subscripts(tw, 1) - 1 AS q FROM b WHERE len(tw) >= 5),
+bw AS (SELECT item_id, len(tw) AS n, unnest(tw) AS v, generate_subscripts(tw, 1) - 1 AS q FROM b),
 c AS (
   SELECT doc_id, item_id, p - q AS start_word, count(*) AS same_words
-  FROM dw JOIN bw USING (v) GROUP BY 1, 2, 3 HAVING count(*) >= 5
+  FROM dw JOIN bw USING (v) GROUP BY 1, 2, 3
+  HAVING count(*) >= CASE WHEN any_value(n) < 5 THEN any_value(n) WHEN any_value(n) < 13 THEN any_value(n) - 1 ELSE 11 END
 ), m AS (
   SELECT c.*, len(tw) AS n, list_prepend(-1, list_concat(
            list_filter(range(len(tw)), lambda i: NOT coalesce(start_word + i >= 0 AND w[start_word + i + 1] = tw[i + 1], false)),
@@ -114,10 +115,10 @@ c AS (
   FROM c JOIN d USING (doc_id) JOIN b USING (item_id)
 ), s AS (
   SELECT *, list_max(list_transform(range(1, len(cuts) - 2), lambda i: cuts[i + 3] - cuts[i] - 1)) AS overlap_words FROM m
-), f AS (SELECT * FROM s WHERE (n >= 13 AND overlap_words >= 13) OR same_words = n
+), f AS (SELECT * FROM s WHERE n < 13 OR overlap_words >= 13
 )
 SELECT DISTINCT ON (doc_id, item_id) doc_id, item_id, start_word, overlap_words, same_words,
-       count(*) OVER (PARTITION BY doc_id, item_id) AS alignments
+       count(*) OVER (PARTITION BY doc_id, item_id) AS alignments, n < 5 AS phrase
 FROM f ORDER BY doc_id, item_id, overlap_words DESC, same_words DESC, start_word
 """
 

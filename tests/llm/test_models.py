@@ -1,6 +1,8 @@
 import bisect
+import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -276,6 +278,72 @@ def test_toxicity_of_held_out_rows(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
 
 
+def _brute_force(given, told, scale):
+    """Scores by the documented rule, from plain counts."""
+    fold = {i: zlib.crc32(str(i).encode()) % 5 for i, _ in given}
+    label = {i: t for i, _, t in told}
+    learnt = {}
+    for i, text in sorted(given):
+        if fold[i] and label.get(i) in (0, 1):
+            learnt.setdefault((text, label[i]), i)
+    counts = [Counter(), Counter()]
+    for (text, t), i in learnt.items():
+        if fold[i] != 1:
+            counts[t].update(set(text.split()))
+    vocabulary = set(counts[0]) | set(counts[1])
+    own = [{w: max(c[w] - toxicity.DISCOUNT, 0) for w in vocabulary} for c in counts]
+    both = sum(counts[0].values()) + sum(counts[1].values())
+    p = [
+        {w: (1 - toxicity.SHARED) * o[w] / sum(o.values()) + toxicity.SHARED * (counts[0][w] + counts[1][w]) / both for w in vocabulary}
+        for o in own
+    ]
+    assert abs(sum(p[0].values()) - 1) < 1e-9 and abs(sum(p[1].values()) - 1) < 1e-9
+    out = {}
+    for i, text in given:
+        found = text.split()
+        total = sum(math.log(p[1][w] / p[0][w]) for w in found if w in vocabulary)
+        n = max(len(found), 1)
+        at = scale.base + scale.mean * total / n + scale.steady * total / n**0.5 + scale.length * math.log(n)
+        out[i] = 1 / (1 + math.exp(-at))
+    return out
+
+
+@pytest.mark.parametrize("lookup_words", [2_000_000, 60, 0])
+def test_scores_equal_brute_force(spark, monkeypatch, lookup_words):
+    """With all words in the look-up table, with the frequent ones, and with none."""
+    monkeypatch.setattr(toxicity.word_evidence, "__defaults__", (lookup_words,))
+    df, labels = _labelled(spark)
+    more = docs(spark, [(1000 + i, f"w1 unseen{i} awful " * (i + 1)) for i in range(20)] + [(2000, "awful"), (2001, "")])
+    df = df.unionByName(more).unionByName(docs(spark, [(3000 + i, r.text) for i, r in enumerate(df.limit(30).collect())]))
+    scale = toxicity.fit(df, labels).scale
+    want = _brute_force([(r.doc_id, r.text) for r in df.collect()], [tuple(r) for r in labels.collect()], scale)
+    got = {r.doc_id: r.score for r in toxicity.score_documents(df, labels).collect()}
+    assert got == pytest.approx(want, abs=1e-7)
+    clean = {r.doc_id for r in toxicity.drop_toxic(df, labels).select("doc_id").collect()}
+    assert clean == {i for i, s in got.items() if s < 0.5}
+
+
+def test_every_class_sums_to_one_and_rare_words_count(spark):
+    counts = spark.createDataFrame(
+        [("hapax", 1.0, 0.0), ("eight", 8.0, 0.0), ("nine", 9.0, 0.0), ("plain", 40.0, 400.0), ("other", 0.0, 1.0)],
+        "word string, t double, o double",
+    )
+    found = {r.word: r for r in toxicity.class_probabilities(counts).collect()}
+    assert sum(r.toxic for r in found.values()) == pytest.approx(1) == sum(r.ordinary for r in found.values())
+    ratio = {w: math.log(r.toxic / r.ordinary) for w, r in found.items()}
+    assert ratio["nine"] > ratio["hapax"] > 0 > ratio["other"] and ratio["eight"] > 0
+    assert toxicity.class_probabilities(counts.where("o = 0")).count() == 0
+    singles = counts.where("t + o = 1")
+    assert toxicity.class_probabilities(singles).count() == 2
+
+
+def test_a_toxic_word_in_a_very_long_text(spark):
+    df, labels = _labelled(spark)
+    long = docs(spark, [(9001, "w1 w2 w3 " * 30_000), (9002, "w1 w2 w3 " * 30_000 + "awful vile nasty")])
+    got = {r.doc_id: r.score for r in toxicity.score_documents(df.unionByName(long), labels).collect()}
+    assert got[9002] > got[9001]
+
+
 def test_held_out_labels_are_not_learnt(spark):
     df, labels = _labelled(spark)
     wrong = labels.withColumn("toxic", F.when(toxicity.fold() == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))

@@ -20,14 +20,14 @@ def _overlap(words, item):
     same = np.array(words)[:, None] == np.array(item)[None, :]
     at, of = np.nonzero(same)
     starts = at - of
-    need = min(len(item), WINDOW - MISSES)
+    need = min(len(item) - 1, WINDOW - MISSES)
     for start, n in zip(*np.unique(starts, return_counts=True), strict=True):
         if n < need:
             continue
         hit = np.zeros(len(item), int)
         hit[of[starts == start]] = 1
         if len(item) < WINDOW:
-            if hit.all():
+            if hit.sum() >= len(item) - 1:
                 return True
         elif np.convolve(hit, np.ones(WINDOW, int), "valid").max() >= WINDOW - MISSES:
             return True

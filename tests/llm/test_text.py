@@ -74,7 +74,8 @@ def _overlaps(words, item):
     for start in range(-len(item) + 1, len(words)):
         same = [0 <= start + i < len(words) and words[start + i] == w for i, w in enumerate(item)]
         windows = [sum(same[i : i + WINDOW]) for i in range(len(item) - WINDOW + 1)]
-        if (windows and max(windows) >= WINDOW - MISSES) or (len(item) >= 5 and all(same)):
+        short = len(item) < WINDOW and sum(same) >= len(item) - (len(item) >= 5)
+        if (windows and max(windows) >= WINDOW - MISSES) or short:
             out.append(start)
     return out
 
@@ -83,10 +84,10 @@ def _planted():
     draw = random.Random(5)
     vocabulary = [f"w{i}" for i in range(60)]
     text = lambda n: [draw.choice(vocabulary) for _ in range(n)]
-    items = [text(n) for n in (4, 5, 9, 12, 13, 14, 30, 60)]
+    items = [text(n) for n in (1, 2, 3, 4, 5, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 30, 60)]
     made = []
-    for k in range(80):
-        item = list(draw.choice(items))
+    for k in range(160):
+        item = list(items[k % len(items)])
         for _ in range(draw.choice((0, 1, 2, 3, 6))):
             item[draw.randrange(len(item))] = "changed"
         cut = draw.randrange(0, 4)
@@ -106,8 +107,32 @@ def test_overlaps_equal_brute_force(spark):
     got = decontaminate.overlaps(df, bench, key).collect()
     assert {(r.doc_id, r.item_id): r.alignments for r in got} == {k: len(v) for k, v in want.items()}
     assert all(r.start_word in want[r.doc_id, r.item_id] for r in got)
+    assert all(r.phrase == (len(items[r.item_id]) < 5) for r in got)
+    changed = {len(items[r.item_id]) for r in got if r.same_words < len(items[r.item_id]) < WINDOW}
+    assert len(changed) >= 5
     joined = decontaminate.overlaps(df, bench, key, broadcast_bytes=0)
     assert rows(joined, *joined.columns) == sorted(tuple(r) for r in got)
+    no_phrases = bench.where("item_id > 3")
+    assert rows(decontaminate.overlaps(df, no_phrases, key), *joined.columns) == sorted(tuple(r) for r in got if r.item_id > 3)
+
+
+def test_masks_find_every_changed_word_of_short_items():
+    for n in range(5, WINDOW):
+        for changed in range(n):
+            assert [
+                m for m in decontaminate.short_masks(n) for s in range(n - len(m) + 1)
+                if all(m[i] == "0" or s + i != changed for i in range(len(m)))
+            ], (n, changed)
+
+
+def test_short_items_of_a_question_bank(spark):
+    texts = ["what is the capital of france", "what is the capital of spain today", "forty two or forty", "nothing of it"]
+    bench = spark.createDataFrame([(1, "What is the capital of France?"), (2, "forty two")], "item_id bigint, text string")
+    df = docs(spark, list(enumerate(texts)))
+    got = rows(decontaminate.overlaps(df, bench, {"doc_id": df.doc_id}), "doc_id", "item_id", "start_word", "same_words", "phrase")
+    assert got == [(0, 1, 0, 6, False), (1, 1, 0, 5, False), (2, 2, 0, 2, True)]
+    assert {r.doc_id for r in decontaminate.drop_contaminated(df, bench).collect()} == {2, 3}
+    assert {r.doc_id for r in decontaminate.drop_contaminated(df, bench, phrases=True).collect()} == {3}
 
 
 def test_clean_documents_stay(spark):
@@ -115,8 +140,8 @@ def test_clean_documents_stay(spark):
     bench = spark.createDataFrame(
         [*((i, " ".join(w)) for i, w in enumerate(items)), (None, None), (9, "")], "item_id bigint, text string"
     )
-    bad = {d for d, w in enumerate(made) if any(_overlaps(w, item) for item in items)}
-    df = clashing(spark, [*((i, " ".join(w)) for i, w in enumerate(made)), *((r[0] and 100 + r[0], r[1]) for r in AWKWARD)])
+    bad = {d for d, w in enumerate(made) if any(_overlaps(w, item) for item in items if len(item) >= 5)}
+    df = clashing(spark, [*((i, " ".join(w)) for i, w in enumerate(made)), *((r[0] and 1000 + r[0], r[1]) for r in AWKWARD)])
     kept = decontaminate.drop_contaminated(df, bench)
     assert kept.columns == df.columns
     assert kept.count() == len(made) - len(bad) + len(AWKWARD)
