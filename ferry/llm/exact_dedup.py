@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.words import free_name, quoted, whole
+from ferry.llm.words import attach, free_name, quoted, whole
 from ferry.sources.scratch import materialize
 
 # Fixed value: what is deleted before texts are compared.
@@ -61,7 +61,9 @@ def mark_copies(
     Rows are grouped by 128 bits of hash; only groups of several rows are read
     again, to compare the smallest and the largest text of each. A group whose
     texts differ is told apart by SHA-256. Tasks reduce a group to one row before
-    it moves, so a group may hold any share of the table.
+    it moves, and only groups of several rows are brought back to their rows: by a
+    broadcast if they are measured small, else with groups that very many rows have
+    spread over many tasks. So a group may hold any share of the table.
     """
     text = normal(quoted(text_column))
     rows = docs.select(
@@ -77,21 +79,20 @@ def mark_copies(
     )
     texts = docs.select(text.alias("t")).select("t", F.unhex(content_hash(F.col("t"))).alias("hash"))
     clash = _clashes(rows, texts)
-    rows = rows.join(clash, "hash", "left").withColumn(
-        "part", F.when(F.col("clash"), F.col("sha")).otherwise(F.lit(b""))
+    rows = attach(rows, clash, "hash").withColumn("part", F.when(F.col("clash"), F.col("sha")).otherwise(F.lit(b"")))
+    rows = rows.withColumn("key", F.concat("hash", "part")).drop("hash", "part", "clash")
+    groups = rows.groupBy("key").agg(F.count("*").alias("group_size"), F.min(rank).alias("best"))
+    groups = groups.where("group_size > 1").select(
+        "key", "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row")
     )
-    groups = rows.groupBy("hash", "part").agg(
-        F.count("*").alias("group_size"), F.min(rank).alias("best")
-    )
-    return (
-        rows.join(groups, ["hash", "part"])
-        .select(
-            "doc_id",
-            F.col("best.doc_id").alias("keep_id"),
-            "group_size",
-            (F.col("best.row") == F.col("row")).alias("kept"),
-            F.lower(F.hex("sha")).alias("text_sha256"),
-        )
+    found = attach(rows, materialize(groups, "groups"), "key")
+    alone = F.col("group_size").isNull()
+    return found.select(
+        "doc_id",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).alias("group_size"),
+        (alone | (F.col("keep_row") == F.col("row"))).alias("kept"),
+        F.lower(F.hex("sha")).alias("text_sha256"),
     )
 
 
@@ -105,7 +106,8 @@ def drop_copies(
 
     Groups are those of ``mark_copies``, compared byte for byte by the same step,
     and the row that stays is the same; rows alike in id, text length and hash are
-    told apart by a number, so exactly one stays.
+    told apart by a number, so exactly one stays. Null text is empty text, a null id
+    comes last, and an empty table gives an empty result.
     """
     text = normal(quoted(text_column))
     h, n, keep, sha = (free_name(docs, c) for c in ("hash", "points", "keep", "sha"))
@@ -122,9 +124,7 @@ def drop_copies(
         quoted(id_column).alias("id"), *(F.col(c).alias(a) for c, a in ((h, "hash"), (sha, "sha"), (n, "points"), (row, "row")))
     )
     clash = _clashes(slim, staged.select(text.alias("t"), F.col(h).alias("hash")))
-    slim = slim.join(clash, "hash", "left").withColumn(
-        "part", F.when(F.col("clash"), F.col("sha")).otherwise(F.lit(b""))
-    )
+    slim = attach(slim, clash, "hash").withColumn("part", F.when(F.col("clash"), F.col("sha")).otherwise(F.lit(b"")))
     rank = F.struct((-F.col("points")).alias("a"), F.col("id").isNull().alias("b"), "id", "row")
     best = slim.groupBy("hash", "part").agg(F.min(rank).alias(keep))
     kept = best.select(F.col(f"{keep}.row").alias(row))

@@ -29,8 +29,12 @@ BINS, ERRORS = 64, 5.0
 # Keys of texts with a likely link that may be broadcast: 16 bytes each and the row
 # overhead of a hash table, under 100 MB at this number.
 BROADCAST_KEYS = 1_000_000
+# A block also holds so many shingles at most, in the mean or by a single text.
+BLOCK_SHINGLES = 1 << 20
 # Shingles compared at a time within two blocks.
 COLUMNS = 1024
+# Pairs of node and shingle that are drawn at a time.
+DRAWN = 1 << 20
 # Odd multipliers for mixing 64-bit hashes.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
 
@@ -94,6 +98,19 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
+def _drawn(shingles: np.ndarray, nodes: np.ndarray, limit: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Which nodes follow which shingles, a bounded number of draws at a time."""
+    which, token = [], []
+    many = max(DRAWN // len(shingles), 1)
+    for low in range(0, len(nodes), many):
+        for start in range(0, len(shingles), DRAWN):
+            some = shingles[start : start + DRAWN]
+            a, b = np.nonzero(_mix(_mix(some[None, :] ^ nodes[low : low + many, None]) + np.uint64(MIX[2])) < limit)
+            which.append(a + low)
+            token.append(b + start)
+    return np.concatenate(which), np.concatenate(token)
+
+
 def paths(shingles: np.ndarray, runs: int, similarity: float, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """(parents, nodes) of each depth: the tokens that a set follows in every run.
 
@@ -106,8 +123,7 @@ def paths(shingles: np.ndarray, runs: int, similarity: float, depth: int) -> lis
     levels = []
     for _ in range(depth):
         if len(shingles) and len(nodes):
-            drawn = _mix(_mix(shingles[None, :] ^ nodes[:, None]) + np.uint64(MIX[2]))
-            which, token = np.nonzero(drawn < limit)
+            which, token = _drawn(shingles, nodes, limit)
             parents = nodes[which]
             nodes = _mix(parents * np.uint64(MIX[3]) + shingles[token])
         else:
@@ -304,16 +320,17 @@ def _buckets(table: DataFrame) -> DataFrame:
     """bucket, key and blocks of every final bucket with two texts or more."""
     parts, large = [], None
     for d in range(1, DEPTH + 1):
-        rows = table.select("key", F.explode(F.arrays_zip(f"p{d}", f"n{d}")).alias("x"))
-        rows = rows.select("key", F.col(f"x.p{d}").alias("parent"), F.col(f"x.n{d}").alias("bucket"))
+        rows = table.select("key", "size", F.explode(F.arrays_zip(f"p{d}", f"n{d}")).alias("x"))
+        rows = rows.select("key", "size", F.col(f"x.p{d}").alias("parent"), F.col(f"x.n{d}").alias("bucket"))
         if large is not None:
             rows = rows.join(large, "parent", "left_semi")
-        rows = rows.select("bucket", "key").distinct()
+        rows = rows.select("bucket", "key", "size").distinct()
         rows = rows if large is None else materialize(rows, "split")
-        sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("shingles")).where("n > 1")
         sizes = materialize(sizes, "sizes")
         final = sizes if d == DEPTH else sizes.where(F.col("n") <= BLOCK)
-        final = final.select("bucket", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("shingles") / BLOCK_SHINGLES))
+        final = final.select("bucket", "n", F.least(blocks, F.col("n")).cast("int").alias("blocks"))
         named = rows.join(final, "bucket")
         parts.append(named.select(_code(F.col("n"), F.col("bucket")).alias("bucket"), "key", "blocks"))
         large = sizes.where(F.col("n") > BLOCK).select(F.col("bucket").alias("parent"))

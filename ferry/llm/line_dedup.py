@@ -17,11 +17,19 @@ REGISTERS_LOG2 = 12
 # Estimates within so many standard errors of the threshold, and within one
 # site, are counted exactly.
 ERRORS = 4
+# Up to so many lines that go are a condition of the scan; more are looked up.
+LISTED_LINES = 10_000
+# Blanks around a line, which do not tell lines apart.
+BLANKS = " \t\x0b\x0c\r"
+
+
+def _bare(line: Column) -> Column:
+    return F.btrim(line, F.lit(BLANKS))
 
 
 def _hash(line: Column) -> Column:
     """128 bits of a line without the blanks around it."""
-    bare = F.trim(line)
+    bare = _bare(line)
     return F.struct(F.xxhash64(bare).alias("a"), F.xxhash64(F.lit(1), bare).alias("b"))
 
 
@@ -36,7 +44,7 @@ def boilerplate(
     site_column: str = "source",
 ) -> DataFrame:
     """a, b: hashes of the lines that stand on ``min_sites`` sites or more."""
-    line = F.trim(F.col("line"))
+    line = _bare(F.col("line"))
     lines = docs.select(
         F.xxhash64(quoted(site_column)).alias("site"),
         F.explode(_split(whole(quoted(text_column)))).alias("line"),
@@ -68,16 +76,34 @@ def remove_boilerplate(
 ) -> DataFrame:
     """``docs`` without boilerplate lines, plus n_lines and n_removed of each row.
 
-    Lines are equal if they are equal without blanks around them; blank lines
-    belong to no site and stay. A null site counts as one site. Null text stays
-    null, with one line and none removed. Other lines keep their order and bytes.
-    An empty table gives an empty result.
+    Lines are equal if they are equal without blanks around them (space, tab, CR,
+    vertical tab, form feed); blank lines belong to no site and stay. A null site
+    counts as one site. Null text stays null, with one line and none removed. Other
+    lines keep their order and bytes. An empty table gives an empty result.
 
     A task reduces a line to one sketch before the shuffle, however many rows have
-    it. Documents look up their own lines by text hash, so copies share the lookup
-    and only lines that go are gathered, per text.
+    it. Few lines that go are a condition that is applied where a text is read, and
+    no text moves. Of more, documents look up their own lines by text hash, so
+    copies share the lookup and only lines that go are gathered, per text.
     """
     bad = boilerplate(docs, min_sites, text_column, site_column)
+    if bad.count() > LISTED_LINES:
+        return _looked_up(docs, bad, text_column)
+    n, k = (free_name(docs, c) for c in ("n_lines", "n_removed"))
+    first, second = ([r[0] for r in bad.select(c).collect()] for c in "ab")
+    lines = _split(quoted(text_column))
+    goes = lambda x: F.xxhash64(_bare(x)).isin(first) & F.xxhash64(F.lit(1), _bare(x)).isin(second)
+    kept_name = free_name(docs, "kept_lines")
+    kept = F.filter(lines, lambda x: ~goes(x)) if first else lines
+    out = docs.withColumns({kept_name: kept, n: F.coalesce(F.size(lines), F.lit(1))})
+    size = F.coalesce(F.size(quoted(kept_name)), F.lit(1))
+    new_text = F.when(size == F.col(n), quoted(text_column)).otherwise(F.array_join(quoted(kept_name), "\n"))
+    rest = [new_text.alias(c) if c == text_column else quoted(c) for c in docs.columns]
+    return out.select(*rest, F.col(n), (F.col(n) - size).alias(k))
+
+
+def _looked_up(docs: DataFrame, bad: DataFrame, text_column: str) -> DataFrame:
+    """``remove_boilerplate`` of any number of lines."""
     text = whole(quoted(text_column))
     found = docs.select(F.md5(text).alias("key"), F.explode(_split(text)).alias("line"))
     found = found.select("key", _hash(F.col("line")).alias("h")).select("key", "h.*")

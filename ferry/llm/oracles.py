@@ -122,12 +122,12 @@ SELECT DISTINCT ON (doc_id, item_id) doc_id, item_id, start_word, overlap_words,
 FROM f ORDER BY doc_id, item_id, overlap_words DESC, same_words DESC, start_word
 """
 
-OP9 = """
+OP9 = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
-l AS (SELECT source, trim(unnest(ls)) AS line FROM d),
+l AS (SELECT source, trim(unnest(ls), ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM d),
 bad AS (SELECT coalesce(list(line), []) AS gone FROM (
   SELECT line FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT coalesce(source, chr(0))) >= 10)),
-k AS (SELECT *, list_filter(ls, lambda x: NOT list_contains(gone, trim(x))) AS kept FROM d, bad)
+k AS (SELECT *, list_filter(ls, lambda x: NOT list_contains(gone, trim(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13)))) AS kept FROM d, bad)
 SELECT doc_id, CASE WHEN text IS NULL OR len(kept) = len(ls) THEN text ELSE array_to_string(kept, chr(10)) END AS text,
        coalesce(len(ls), 1) AS n_lines, coalesce(len(ls) - len(kept), 0) AS n_removed
 FROM k

@@ -6,6 +6,8 @@ from collections import Counter, defaultdict
 from pyspark.sql import functions as F
 
 from ferry.llm import exact_dedup, sharding
+from ferry.llm import words as shared
+from ferry.operators import matching
 from tests.llm.cases import AWKWARD, awkward, clashing, docs, empty, rows
 
 
@@ -34,6 +36,23 @@ def test_hash_collisions_are_told_apart_by_bytes(spark):
     assert rows(exact_dedup.mark_copies(df, content_hash=few), *same.columns) == rows(same, *same.columns)
 
 
+def test_one_group_of_a_third_of_all_rows_is_spread(spark, conf, monkeypatch):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__coalescePartitions__enabled="false",
+         spark__sql__shuffle__partitions="16")
+    monkeypatch.setattr(shared, "broadcastable", lambda *_: False)
+    monkeypatch.setattr(matching, "HOT_ROWS", 100)
+    given = [(i, "the same" if i % 3 == 0 else f"text {i // 2}") for i in range(9000)]
+    found = exact_dedup.mark_copies(docs(spark, given).repartition(8))
+    sizes = [len(p) for p in found.rdd.glom().collect()]
+    assert sum(sizes) == 9000 and max(sizes) <= 2 * 9000 / len(sizes)
+    groups = Counter(t for _, t in given)
+    first = {}
+    for i, t in given:
+        first.setdefault(t, i)
+    want = [(i, first[t], groups[t], first[t] == i) for i, t in given]
+    assert rows(found, "doc_id", "keep_id", "group_size", "kept") == want
+
+
 def test_drop_copies_keeps_one_row_and_all_columns(spark):
     df = clashing(spark)
     kept = exact_dedup.drop_copies(df)

@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from ferry.llm import decontaminate, licenses, line_dedup
 from ferry.llm.decontaminate import MASKS, MISSES, WINDOW
 from tests.llm.cases import AWKWARD, awkward, clashing, docs, empty, rows
@@ -154,23 +156,27 @@ def _lines():
     made = []
     for site in range(14):
         lines = [f"only here {site}", "", "everywhere"]
-        lines += [f"on {n}" for n in (8, 9, 10, 11, 12) if site < n]
+        lines += [f"on {n}" + ("\r" if site % 2 else "\t") for n in (8, 9, 10, 11, 12) if site < n]
         made.append((site, "\n".join(lines), None, f"s{site}"))
         made.append((100 + site, "\n".join(["on 9 ", "everywhere", " own"]), None, f"s{site % 3}"))
     return made
 
 
-def test_lines_equal_brute_force(spark):
+@pytest.mark.parametrize("listed", [10_000, 0])
+def test_lines_equal_brute_force(spark, monkeypatch, listed):
+    """Whether the lines that go are a condition or are looked up."""
+    monkeypatch.setattr(line_dedup, "LISTED_LINES", listed)
     made = _lines()
+    blanks = " \t\r\x0b\x0c"
     spread = {}
     for _, text, _, site in made:
         for line in text.split("\n"):
-            spread.setdefault(line.strip(" "), set()).add(site)
+            spread.setdefault(line.strip(blanks), set()).add(site)
     bad = {line for line, sites in spread.items() if line and len(sites) >= 10}
     assert bad == {"everywhere", "on 10", "on 11", "on 12"}
     for r in line_dedup.remove_boilerplate(docs(spark, made)).collect():
         lines = dict((m[0], m[1]) for m in made)[r.doc_id].split("\n")
-        kept = [x for x in lines if x.strip(" ") not in bad]
+        kept = [x for x in lines if x.strip(blanks) not in bad]
         assert (r.text, r.n_lines, r.n_removed) == ("\n".join(kept), len(lines), len(lines) - len(kept))
 
 
