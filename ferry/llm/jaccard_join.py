@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferry.llm.components import components
-from ferry.llm.words import BETWEEN, free_name, quoted, whole
+from ferry.llm.words import BETWEEN, free_name, quoted, small_batches, whole
 from ferry.sources.scratch import materialize
 from ferry.sources.sizing import shuffle_partitions
 
@@ -301,10 +301,12 @@ def _path_table(docs: DataFrame, text_column: str, runs: int, similarity: float)
                 *(pa.array(out[c], pa.list_(pa.int64())) for c in longs),
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=list(out))
+            pa.default_memory_pool().release_unused()
 
     found = rows.mapInArrow(run, schema)
     firsts = [F.first(c).alias(c) for c in found.columns if c != "key"]  # alike for equal texts
-    return materialize(found.groupBy("key").agg(F.count("*").alias("copies"), *firsts), "paths")
+    with small_batches(docs):
+        return materialize(found.groupBy("key").agg(F.count("*").alias("copies"), *firsts), "paths")
 
 
 def _code(n: Column, node: Column) -> Column:
@@ -390,7 +392,9 @@ def links(
             yield pa.RecordBatch.from_arrays(arrays, names=["key", "shingles"])
 
     sets = texts.mapInArrow(read, "key binary, shingles array<bigint>")
-    sets = materialize(sets.dropDuplicates(["key"]), "sets").join(table.select("key", "copies"), "key")
+    with small_batches(docs):
+        sets = materialize(sets.dropDuplicates(["key"]), "sets")
+    sets = sets.join(table.select("key", "copies"), "key")
 
     def link(block: Block, rows: pa.Table) -> pa.Table | None:
         found = linked(_longs(rows.column("shingles")), block.fresh(), similarity)

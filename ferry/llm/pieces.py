@@ -274,6 +274,7 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, text_column: str
                 out = out.append_column(ok_name, pa.array(fine, pa.bool_()))
                 done += len(part)
                 yield from out.combine_chunks().to_batches()
+            pa.default_memory_pool().release_unused()
 
     given = docs.withColumn(row, whole(quoted(text_column)))
     new = T.StructType().add(ids_name, T.ArrayType(T.IntegerType())).add(n_name, "long").add(ok_name, "boolean")

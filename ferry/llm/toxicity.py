@@ -21,6 +21,8 @@ DISCOUNT = 0.75
 SHARED = 0.99
 # Words that a worker looks up at most, 16 bytes each; the rarest beyond are joined.
 LOOKUP_WORDS = 2_000_000
+# Words looked up at a time.
+LOOKED_UP = 1 << 18
 # Sums are rounded to so many digits, so that their order does not matter.
 DIGITS = 9
 # Labelled rows that the scale is fitted on, at most.
@@ -142,6 +144,16 @@ def word_evidence(counts: DataFrame, lookup_words: int = LOOKUP_WORDS) -> Eviden
     return Evidence(hashes, ratios, rest)
 
 
+def _looked_up(asked: np.ndarray, hashes: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The evidence of each hash, 0 where it is not in the table, and whether it is."""
+    if not len(hashes):
+        return np.zeros(len(asked)), np.zeros(len(asked), bool)
+    at = np.searchsorted(hashes, asked)
+    at[at == len(hashes)] = 0
+    hit = hashes[at] == asked
+    return np.where(hit, ratios[at], 0.0), hit
+
+
 def _found(docs: DataFrame, evidence: Evidence, text_column: str) -> Column:
     """struct of total (evidence of the words looked up), n (words), rest (hashes of the words not found)."""
     tables = docs.sparkSession.sparkContext.broadcast((evidence.hashes, evidence.ratios))
@@ -149,20 +161,29 @@ def _found(docs: DataFrame, evidence: Evidence, text_column: str) -> Column:
 
     @F.arrow_udf("struct<total:double,n:bigint,rest:array<bigint>>")
     def looked_up(texts: pa.Array) -> pa.Array:
-        hashes, ratios = tables.value
         offsets = texts.offsets.to_numpy().astype(np.int64)
-        asked = texts.values.to_numpy()[offsets[0] : offsets[-1]]
-        offsets = offsets - offsets[0]
-        at = np.searchsorted(hashes, asked)
-        at[at == len(hashes)] = 0
-        hit = hashes[at] == asked if len(hashes) else np.zeros(len(asked), bool)
-        value = np.where(hit, ratios[at], 0.0) if len(hashes) else np.zeros(len(asked))
-        sums = np.concatenate([[0.0], np.cumsum(value)])
-        total = np.round(sums[offsets[1:]] - sums[offsets[:-1]], DIGITS)
-        left = ~hit if leave_rest else np.zeros(len(asked), bool)
-        ends = np.concatenate([[0], np.cumsum(left)])[offsets].astype(np.int32)
-        rest = pa.ListArray.from_arrays(ends, pa.array(asked[left], pa.int64()))
-        columns = [pa.array(total), pa.array(np.diff(offsets), pa.int64()), rest]
+        asked = texts.values.to_numpy()
+        totals, ends, rest, low = [], [np.zeros(1, np.int64)], [], 0
+        while low < len(texts):  # some texts at a time, at least one, to hold little
+            high = max(int(np.searchsorted(offsets, offsets[low] + LOOKED_UP, "right")) - 1, low + 1)
+            own = offsets[low : high + 1]
+            value, hit = _looked_up(asked[own[0] : own[-1]], *tables.value)
+            sums = np.concatenate([[0.0], np.cumsum(value)])[own - own[0]]
+            totals.append(np.round(np.diff(sums), DIGITS))
+            if leave_rest:
+                rest.append(asked[own[0] : own[-1]][~hit])
+                missed = np.concatenate([[0], np.cumsum(~hit)])[own - own[0]]
+                ends.append(ends[-1][-1] + missed[1:])
+            low = high
+        none = np.zeros(len(texts) + 1, np.int32)
+        bounds = np.concatenate(ends).astype(np.int32) if leave_rest else none
+        left = np.concatenate(rest) if rest else np.zeros(0, np.int64)
+        columns = [
+            pa.array(np.concatenate(totals) if totals else np.zeros(0)),
+            pa.array(np.diff(offsets), pa.int64()),
+            pa.ListArray.from_arrays(bounds, pa.array(left, pa.int64())),
+        ]
+        pa.default_memory_pool().release_unused()
         return pa.StructArray.from_arrays(columns, ["total", "n", "rest"])
 
     return looked_up(F.transform(words(quoted(text_column)), lambda w: F.xxhash64(w)))

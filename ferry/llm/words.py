@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,23 @@ from ferry.operators.matching import broadcastable, hot_keys, places_for
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 MB = 1024 * 1024
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(df: DataFrame, rows: int = 1000) -> Iterator[None]:
+    """Hand whole texts to Python workers some rows at a time in the jobs inside.
+
+    A setting that is smaller already stays, and the session's own is put back.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(BATCH_ROWS)
+    if not 0 < int(before) <= rows:
+        conf.set(BATCH_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        conf.set(BATCH_ROWS, before)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
