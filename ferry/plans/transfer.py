@@ -425,7 +425,10 @@ class Stores:
     def _replace_keys(
         self, kind: str, name: str, keys: DataFrame, moved: Callable[[DataFrame], ledgers.Moved]
     ) -> int | None:
-        """Rows written, where a store can replace the rows of some keys alone, else None."""
+        """Where a store can replace the rows of some keys alone, do so, else None.
+
+        Gives the rows written to folders, of a table the rows it then has.
+        """
         store = self.endpoint(kind)
         layout = self._keyed(kind, name)
         if layout is not None:
@@ -435,7 +438,8 @@ class Stores:
             return keyed.replace_buckets(moved(there).into(there), store.path(name), store.format, folders)
         if store.is_table_store:
             rows = moved(self.read_ledger(kind, name)).rows
-            return tables.replace_rows(rows, store, name, "db", ("test_version", "updated_at"))
+            tables.replace_rows(rows, store, name, "db", ("test_version", "updated_at"))
+            return tables.count_rows(self.spark, store, name)
         return None
 
     def latest_version(
@@ -474,9 +478,10 @@ class Stores:
     ) -> int:
         """Move keys of a store's ledger on, or set them to ``new_version``.
 
-        Returns the rows written. With ``keys``, a keyed ledger (``key_ledger``) has
-        only their folders rewritten, and a table gets their rows appended and the
-        superseded ones deleted; other ledgers are replaced as a whole.
+        Returns the rows written, for a table the rows it then has. With ``keys``, a
+        keyed ledger (``key_ledger``) has only their folders rewritten, and a table gets
+        their rows appended and the superseded ones deleted; other ledgers are replaced
+        as a whole.
         """
         if keys is not None:
             written = self._replace_keys(

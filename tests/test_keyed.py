@@ -127,7 +127,7 @@ def test_table_rows_of_other_keys_keep_their_ids(spark):
     given = [("a", 1.0, T[0], T[1], 0), ("a", 1.5, T[0], T[2], 0), ("b", 2.0, T[0], T[1], 0), ("c", 3.0, T[0], None, 0)]
     stores, db = table_store(spark, given)
     ids = {r["db"]: r["id"] for r in stores.read("postgresql", "l").collect()}
-    assert stores.bump_versions("postgresql", keys_df(spark, "a", "c", "new"), None, "l", as_of=T[7], tie_break="id") == 3
+    assert stores.bump_versions("postgresql", keys_df(spark, "a", "c", "new"), None, "l", as_of=T[7], tie_break="id") == 4
     now = {r["db"]: r for r in stores.read("postgresql", "l").collect()}
     assert len(now) == stores.read("postgresql", "l").count() == 4
     assert {k: r["test_version"] for k, r in now.items()} == {"a": 1.6, "b": 2.0, "c": 3.1, "new": 1.0}
