@@ -15,6 +15,13 @@ WIDER = {"email": "a" * 8, "secret": "a" * 12, "digits": "0" * 8}
 # Stands for an IPv4 address where its format is used up (documentation addresses, RFC 3849).
 IPV6 = "2001:db8" + ":0000" * 6
 HEX = "0123456789abcdef"
+# Locally administered: the second digit says so.
+MAC = (HEX, "26ae", *[HEX] * 10)
+# Letters of scripts; other letters become Latin ones.
+LETTERS = (
+    ("Ѐ", "ԯ", "абвгдежзийклмнопрстуфхцчшщъыьэюя"),
+    ("Ͱ", "Ͽ", "αβγδεζηθικλμνξοπρστυφχψω"),
+)
 CARD_STARTS = {
     "4": ["4"],
     "5": [f"5{d}" for d in "12345"],
@@ -55,17 +62,15 @@ class Space(NamedTuple):
         return index if at == len(body) and self.whole(body) == value else None
 
 
+def letters(c: str) -> str:
+    """The letters of the script and case of ``c``."""
+    small = next((s for low, high, s in LETTERS if low <= c <= high), string.ascii_lowercase)
+    return small.upper() if c.isupper() else small
+
+
 def alike(text: str) -> list[list[str] | str]:
-    """Letters for letters of the same case, digits for digits, the rest as it is."""
-    out: list[list[str] | str] = []
-    for c in text:
-        if c.isdigit():
-            out.append(string.digits)
-        elif c.isascii() and c.isalpha():
-            out.append(string.ascii_lowercase if c.islower() else string.ascii_uppercase)
-        else:
-            out.append([c])
-    return out
+    """Letters for letters of the same case and script, digits for digits, the rest as it is."""
+    return [string.digits if c.isdigit() else letters(c) if c.isalpha() else [c] for c in text]
 
 
 def fixed(text: str) -> list[list[str] | str]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Callable, Iterator
 from itertools import count
@@ -25,7 +26,7 @@ BROADCAST_ENTITIES = 100_000
 DRAWS = 4
 
 # What each type looks like.
-EMAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+EMAIL = re.compile(r"(?<![^\W_])[^\W_][\w.%+-]*@[^\W_][\w-]*(?:\.[\w-]+)*\.[^\W\d_]{2,}")
 PHONE = re.compile(
     r"(?<![\w.])(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{4}"
     r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?!\w)"
@@ -33,6 +34,15 @@ PHONE = re.compile(
 # A number with its country code, however grouped; digits are counted after it is found.
 WORLD_PHONE = re.compile(r"(?<![\w.+])(?:\+|00)[1-9]\d*(?:[ .\-/()]{1,3}\d+)*")
 SPACED_PHONE = re.compile(r"(?<![\w.+])(?<!\d[ .\-/])[2-9]\d\d \d{3} \d{4}(?!\w|[ .\-/]\d)")
+# Nine or ten digits without a code: 217 5551234 and 912 345 678.
+PLAIN_PHONE = re.compile(r"(?<![\w.+])(?<!\d[ .\-/])(?:([2-9]\d\d[ .-]\d{7})|[6-9]\d\d \d{3} \d{3})(?!\w|[ .\-/]\d)")
+# Any number after a word that announces a phone; its digits are counted.
+CUED_PHONE = re.compile(
+    r"(?i)(?<!\w)(?:tel|telephone|phone|mobile|cell|call|fax|whatsapp|telefon|handy|mobil|rufnummer|téléphone|portable|"
+    r"teléfono|móvil|тел|телефон|τηλ|τηλέφωνο)(?!\w)[^\w\n+]{0,4}(?:(?:number|nummer|me|at|is|ist|no|nr)(?!\w)[^\w\n+]{1,3}){0,2}"
+    r"\(?(\d+(?:[ .\-/()]{1,2}\d+)*)(?!\w)"
+)
+CUED_DIGITS = (7, 12)
 # A national number that begins with the trunk digit 0, one separator throughout.
 TRUNK_PHONE = re.compile(
     r"(?<![\w.+])(?<!\d[ .\-/])(?:\(0\d{1,4}\) ?\d{2,8}(?:[ \-]\d{2,8}){0,3}"
@@ -50,10 +60,25 @@ NATIONAL_DIGITS = {
     "39": (6, 11), "41": (9, 9), "43": (7, 12), "44": (9, 10), "49": (6, 11), "52": (10, 10), "351": (9, 9),
 }
 IP = re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)")
+IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])")
+MAC = re.compile(r"(?<![\w:-])[0-9A-Fa-f]{2}([:-])[0-9A-Fa-f]{2}(?:\1[0-9A-Fa-f]{2}){4}(?![\w:-])")
+# What stands before four numbers that are a version and not an address.
+VERSION = re.compile(r"(?i)(?<!\w)(?:version|release|firmware|build|ver|rev|v)[ .:=]*$")
 CARD = re.compile(r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w)")
 SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
+SPACED_SSN = re.compile(r"(?<![\w-])(?<!\d )(?!000|666|9)\d{3} (?!00)\d\d (?!0000)\d{4}(?![\w-]| \d)")
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 SECRET = re.compile(r"(?i)\b(?:token|secret|password|api[_-]?key)\W{0,6}[=:]\W{0,6}([A-Za-z0-9_\-]{16,})")
+# Keys known by how they begin; what follows the beginning is the secret.
+TOKEN = re.compile(
+    r"(?<![\w-])(?:(?:AKIA|ASIA)([0-9A-Z]{16})(?!\w)"
+    r"|(?:gh[pousr]_|github_pat_|glpat-|xox[abprs]-|sk_live_|sk_test_|sk-|hf_|AIza)([A-Za-z0-9_-]{20,})"
+    r"|Bearer[ ]+([A-Za-z0-9._~+/-]{16,}))"
+)
+PASSWORD = re.compile(
+    r"(?i)(?<!\w)(?:password|passwd|pwd|passphrase|passwort|kennwort|mot de passe|contraseña|пароль|κωδικός)"
+    r"[\"']?\s?[=:]\s?[\"']?([^\s\"'<>,;]{6,64})"
+)
 TITLES = {
     "m": "Mr Herr Monsieur Señor Sr Господин г-н Κύριος κ".split(),
     "f": "Mrs Ms Miss Frau Madame Mme Señora Sra Госпожа г-жа Κυρία".split(),
@@ -65,9 +90,47 @@ TITLE = re.compile(
 )
 PARTICLES = "von van der den de del della di da dos du la le zu zum zur ter ten".split()
 # Initials and particles stay; the name after them counts.
-NEXT_NAME = re.compile(rf"[  ](?:[^\W\d_]\.[  ]?)*(?:(?:{'|'.join(PARTICLES)})[  ])*({NAME})")
+NEXT_NAME = re.compile(rf"(?:[^\W\d_]\.[  ]?)*(?:(?:{'|'.join(PARTICLES)})[  ])*({NAME})")
 BARE_NAME = re.compile(rf"(?<!\w){NAME}(?!\w)")
 MOST_NAMES = 6
+# Names that need no title if a capitalised word follows.
+GIVEN_NAMES = {
+    "m": (
+        "Alexander Andreas Anthony Antoine Antonio Carlos Charles Christian Christopher Daniel David Dieter Edward Fernando "
+        "Francisco François Frank George Günter Hans Heinrich Henri Jacques James Javier Jean Johann John José Joseph Juan "
+        "Jürgen Karl Klaus Laurent Louis Luis Manuel Martin Matthew Michael Michel Miguel Nicolas Olivier Pablo Patrick Paul "
+        "Pedro Peter Philippe Pierre Rafael Richard Robert Stefan Stephen Thomas Uwe Werner William Wolfgang "
+        "Александр Алексей Андрей Дмитрий Иван Сергей Γιώργος Δημήτρης Νίκος"
+    ).split(),
+    "f": (
+        "Alice Ana Andrea Angela Anna Anne Barbara Birgit Brigitte Camille Carmen Catherine Christine Claire Cristina Elena "
+        "Elizabeth Emily Emma Françoise Hannah Heike Helen Ingrid Isabel Isabelle Jane Jennifer Jessica Julia Karen Katharina "
+        "Laura Linda Lisa Lucía Margaret Maria María Marie Martina Mary Michelle Monika Monique Nathalie Nicole Olivia Patricia "
+        "Petra Pilar Rosa Sabine Sandra Sarah Silvia Sophie Susan Susanne Sylvie Teresa Ursula "
+        "Анна Екатерина Елена Мария Наталья Ольга Ελένη Κατερίνα Μαρία"
+    ).split(),
+}
+GIVEN = {n: g for g, names in GIVEN_NAMES.items() for n in names}
+CAPITAL = "[A-ZÀ-ÖØ-ÞΆ-ΫА-Я]"
+TWO_CAPITALS = re.compile(rf"(?<!\w){NAME}(?=[ \u00a0]{CAPITAL})")
+# What a person says before the own name.
+OWN_NAME = re.compile(
+    r"(?<!\w)(?i:my name is|i am called|mein name ist|ich hei(?:ß|ss)e|je m['’]appelle|mon nom est|me llamo|mi nombre es|"
+    r"меня зовут|με λένε)[ \u00a0](?=" + CAPITAL + ")"
+)
+# Names that are words too: alone they are not taken for the person named before.
+WORDS_TOO = frozenset(
+    (
+        "angel april august baker ball banks bauer becker berg bill bird bishop black blanc blanco brown bush butler campos "
+        "carpenter castillo chance church cook costa cross cruz day dean drew earl east faith fischer ford forest forêt fox "
+        "frank fuchs gold grace graf grant gray green groß hall hill hope hunter jäger joy june kaiser king kirche klein knight "
+        "koch könig kurz lang lange law leblanc lee leroy little long major mark market march marsh mason may meier miller "
+        "moreno moon norman north page park parker petit pope porter potter price prince rey reyes rich richter rivers roberts "
+        "rojo rose roth ruiz schäfer schmied schneider schulz sharp shepherd short sierra silver smart sommer stein stern stone "
+        "storm strong summer taylor torres turner vogel wagner walker ward weaver weber weiß west white will winter wolf wood "
+        "woods young zimmermann"
+    ).split()
+)
 CARD_PREFIX = re.compile(r"4|5[1-5]|2[2-7]|3[47]|35|6011|65")
 # Syllables of invented names, and how given names end.
 SYLLABLES = {
@@ -80,6 +143,8 @@ ENDINGS = {
     "cyrillic": {"m": "н", "f": "а", "x": "л"},
     "greek": {"m": "ς", "f": "α", "x": "ν"},
 }
+# Types written with separators that a surrogate takes over.
+DRESSED = ("card", "phone", "ssn", "iban", "mac")
 GENDER = {t: g for g, ts in TITLES.items() for t in ts}
 
 
@@ -150,10 +215,17 @@ def _phones(text: str) -> Iterator[Mention]:
         yield Mention(*m.span(), "phone", _phone_name(code, rest))
     for m in SPACED_PHONE.finditer(text):
         yield Mention(*m.span(), "phone", _phone_name("1", _digits(m[0])))
+    for m in PLAIN_PHONE.finditer(text):
+        yield Mention(*m.span(), "phone", _phone_name("1" if m[1] else "", _digits(m[0])))
     for m in TRUNK_PHONE.finditer(text):
         digits = _digits(m[0])
         if TRUNK_DIGITS[0] <= len(digits) <= TRUNK_DIGITS[1] and digits.lstrip("0"):
             yield Mention(*m.span(), "phone", _phone_name("", digits.lstrip("0")))
+    for m in CUED_PHONE.finditer(text):
+        digits = _digits(m[1])
+        if CUED_DIGITS[0] <= len(digits) <= CUED_DIGITS[1] and digits.lstrip("0"):
+            code = "1" if len(digits) == 10 and digits[0] in "23456789" else ""
+            yield Mention(*m.span(1), "phone", _phone_name(code, digits if code else digits.lstrip("0")))
 
 
 def _name_at(match: re.Match, group: int = 0) -> tuple[int, int, str]:
@@ -164,24 +236,47 @@ def _name_at(match: re.Match, group: int = 0) -> tuple[int, int, str]:
     return start, end, match[group][: end - start].lower()
 
 
+def _names_from(text: str, at: int) -> list[tuple[int, int, str]]:
+    """The capitalised names in a row that begin here."""
+    names: list[tuple[int, int, str]] = []
+    while len(names) < MOST_NAMES and (m := NEXT_NAME.match(text, at)):
+        if not m[1][0].isupper() or m[1] in GENDER or len(names) > 1 and len(m[1]) == 1:
+            break
+        names.append(_name_at(m, 1))
+        at = m.end() + 1
+        if text[m.end() : at] not in (" ", "\u00a0"):
+            break
+    return names
+
+
+def _introduced(text: str) -> Iterator[tuple[str, list[tuple[int, int, str]]]]:
+    """Gender and names: after a title, after "my name is", and from a common given name on."""
+    for title in TITLE.finditer(text):
+        yield GENDER[title[1]], _names_from(text, title.end() + 1)
+    for own in OWN_NAME.finditer(text):
+        names = _names_from(text, own.end())
+        yield GIVEN.get(text[names[0][0] : names[0][1]], "x") if names else "x", names
+    for first in TWO_CAPITALS.finditer(text):
+        if first[0] in GIVEN and len(names := _names_from(text, first.start())) > 1:
+            yield GIVEN[first[0]], names
+
+
 def _persons(text: str) -> Iterator[Mention]:
-    """Names after a title, and the same names wherever else they stand alone."""
+    """Names that are introduced, and the same names wherever else they stand alone."""
     kinds: dict[str, str] = {}
-    for title in TITLE.finditer(text):
-        names, at = [], title.end()
-        while len(names) < MOST_NAMES and (m := NEXT_NAME.match(text, at)):
-            if not m[1][0].isupper() or m[1] in GENDER or len(names) > 1 and len(m[1]) == 1:
-                break
-            names.append(_name_at(m, 1))
-            at = m.end()
+    for gender, names in _introduced(text):
         for start, end, name in names:
-            kind = "surname" if (start, end, name) == names[-1] else f"given:{GENDER[title[1]]}"
+            kind = "surname" if (start, end, name) == names[-1] else f"given:{gender}"
             kinds.setdefault(name, f"{kind}:{script(name)}")
             yield Mention(start, end, f"{kind}:{script(name)}", name)
+    upto = -2
     for m in BARE_NAME.finditer(text) if kinds else ():
         start, end, name = _name_at(m)
         if name in kinds and len(name) > 1 and m[0][0].isupper():
-            yield Mention(start, end, kinds[name], name)
+            after = BARE_NAME.match(text, end + 1) if kinds[name][0] == "g" else None
+            if name not in WORDS_TOO or start == upto + 1 or after and _name_at(after)[2] in kinds:
+                yield Mention(start, end, kinds[name], name)
+                upto = end
 
 
 def _numbers(text: str) -> Iterator[Mention]:
@@ -194,19 +289,48 @@ def _numbers(text: str) -> Iterator[Mention]:
         if CARD_PREFIX.match(bare) and luhn(bare[:-1]) == int(bare[-1]):
             yield Mention(*m.span(), "card", bare)
     for m in IP.finditer(text):
-        if all(int(part) < 256 for part in m[0].split(".")):
+        if all(int(part) < 256 for part in m[0].split(".")) and not VERSION.search(text[max(m.start() - 12, 0) : m.start()]):
             yield Mention(*m.span(), "ip", m[0])
-    for m in SSN.finditer(text):
-        yield Mention(*m.span(), "ssn", _digits(m[0]))
+    for ssn in (SSN, SPACED_SSN):
+        for m in ssn.finditer(text):
+            yield Mention(*m.span(), "ssn", _digits(m[0]))
     yield from _phones(text)
 
 
+def _addresses(text: str) -> Iterator[Mention]:
+    """Network addresses with colons or hyphens; IPv6 in the form of its surrogates."""
+    for m in IPV6.finditer(text):
+        if len(re.findall(r"\w+", m[0])) >= 3 and re.search(r"\d", m[0]):
+            try:
+                groups = ipaddress.IPv6Address(m[0]).exploded.split(":")
+            except ValueError:  # a time or something else with colons
+                continue
+            yield Mention(*m.span(), "ip", ":".join([f"{int(g, 16):x}" for g in groups[:2]] + groups[2:]))
+    for m in MAC.finditer(text):
+        yield Mention(*m.span(), "mac", re.sub("[:-]", "", m[0]).lower())
+
+
+def _secrets(text: str) -> Iterator[Mention]:
+    for m in PASSWORD.finditer(text):
+        value = m[1].rstrip(".)]}")
+        if len(value) >= 6 and re.search(r"\d", value) and re.search(r"[^\W\d_]", value) and not TOKEN.match(value):
+            yield Mention(m.start(1), m.start(1) + len(value), "secret", value)
+    for m in TOKEN.finditer(text):
+        if m[1] or re.search(r"\d", m[m.lastindex]):
+            value = m[m.lastindex].rstrip(".")
+            yield Mention(m.start(m.lastindex), m.start(m.lastindex) + len(value), "secret", value)
+    for m in SECRET.finditer(text):
+        if not TOKEN.match(m[1]):
+            yield Mention(*m.span(1), "secret", m[1])
+
+
 def find(text: str) -> list[Mention]:
     """Mentions in order; of overlapping ones the first found type wins."""
     found: list[Mention] = []
     if "@" in text:
         found += [Mention(*m.span(), "email", m[0].lower()) for m in EMAIL.finditer(text)]
-    found += [Mention(*m.span(1), "secret", m[1]) for m in SECRET.finditer(text)]
+    found += _secrets(text)
+    found += _addresses(text)
     if re.search(r"\d\D{0,3}\d", text):
         found += _numbers(text)
     found += _persons(text)
@@ -234,16 +358,8 @@ class _Draw:
 
 
 def _alike(text: str, draw: _Draw) -> str:
-    """Letters for letters of the same case, digits for digits, the rest as it is."""
-    out = []
-    for c in text:
-        if c.isdigit():
-            out.append(str(draw.below(10)))
-        elif c.isascii() and c.isalpha():
-            out.append(chr(draw.below(26) + ord("a" if c.islower() else "A")))
-        else:
-            out.append(c)
-    return "".join(out)
+    """Letters for letters of the same case and script, digits for digits, the rest as it is."""
+    return "".join(units[draw.below(len(units))] if len(units) > 1 else units[0] for units in formats.alike(text))
 
 
 def _octet(part: str, draw: _Draw) -> str:
@@ -267,6 +383,10 @@ def surrogate(kind: str, name: str, key: bytes, attempt: int = 0) -> str:
         if not CARD_PREFIX.match(body):  # keep the issuer's range where one digit does not tell it
             body = name[:4] + body[4:]
         return body + str(luhn(body))
+    if base == "ip" and ":" in name:
+        return formats.IPV6[:8] + "".join(formats.HEX[draw.below(16)] if c != ":" else ":" for c in formats.IPV6[8:])
+    if base == "mac":  # a locally administered address, which no device is made with
+        return "".join(units[draw.below(len(units))] for units in formats.MAC)
     if base == "ip":
         return ".".join(_octet(part, draw) for part in name.split("."))
     if base == "iban":
@@ -292,7 +412,7 @@ def _spaces(base: str, value: str) -> Iterator[tuple[str, Space]]:
     if base == "email":
         local, _, domain = value.partition("@")
         made.append((base, Space(formats.alike(local) + formats.fixed("@" + domain))))
-    elif base in ("card", "phone", "ssn", "iban"):
+    elif base in DRESSED:
         body, x, more = value.partition("x")
         tail = formats.fixed(x) + formats.alike(more)
 
@@ -311,7 +431,7 @@ def _spaces(base: str, value: str) -> Iterator[tuple[str, Space]]:
         elif base == "phone":
             made.append(form([[body[0]], "23456789", *formats.alike(body[2:])]))
         else:
-            made.append(form(formats.alike(body)))
+            made.append(form(list(formats.MAC) if base == "mac" else formats.alike(body)))
     elif base == "ip" and ":" in value:
         groups = [formats.HEX if c != ":" else ":" for c in formats.IPV6[8:]]
         made.append((base, Space([*formats.fixed(formats.IPV6[:8]), *groups])))
@@ -342,7 +462,7 @@ def _example(kind: str, name: str, key: bytes, level: int) -> str:
         local, _, domain = name.partition("@")
         host = surrogate_host(domain, key)
         return f"{local}{formats.WIDER['email'] * level}@{host}.example.{end}"
-    if base in ("card", "phone", "ssn", "iban"):
+    if base in DRESSED:
         return name + ("x" + formats.WIDER["digits"] * level if level else "")
     if base == "ip":
         return formats.IPV6 if level else name
@@ -356,16 +476,16 @@ def _example(kind: str, name: str, key: bytes, level: int) -> str:
 def _dressed(mention: str, kind: str, made: str) -> str:
     """The surrogate in the layout and the case of this mention."""
     base = kind.split(":")[0]
-    if base in ("card", "phone", "ssn", "iban"):
+    if base in DRESSED:
         made, x, more = made.partition("x")  # a widened format goes on behind the layout
         if base == "phone":  # country code, trunk digit and what stands for the plan stay
             digits = _digits(mention)
             made = digits[: len(digits) - len(made) + 1] + made[1:]
-        left = iter(made)
+        left = iter(made.upper() if mention.isupper() else made)
         return "".join(next(left) if c.isalnum() else c for c in mention) + (x and f" {x}{more}")
     if base in ("given", "surname"):
         return made.upper() if len(mention) > 1 and mention.isupper() else made.capitalize()
-    if base == "email" and mention.isupper():
+    if base in ("email", "ip") and mention.isupper():
         return made.upper()
     return made
 
@@ -545,9 +665,10 @@ def replace(
     A surrogate depends on the key, the entity and its attempt (where a format is
     nearly used up, also on the other entities), so an entity has
     the same one in every document, however it is written there, and different
-    entities have different ones. Types: e-mail, phone, IPv4, card (by check digit
+    entities have different ones. Types: e-mail, phone, IPv4, IPv6, MAC, card (by check digit
     and issuer), social security number, IBAN (by check digits), secret after a
-    word such as token, and names after a title, by gender and script, with the
+    word such as token or by how its kind begins, and names, by gender and script:
+    after a title or "my name is", or from a common given name on, with the
     same names elsewhere in the document. Phones are one entity with and without
     country code, given names whatever the title. Null texts
     stay null with no entities; texts without entities stay as they are. Repeated
