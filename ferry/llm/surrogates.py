@@ -37,11 +37,12 @@ SPACED_PHONE = re.compile(r"(?<![\w.+])(?<!\d[ .\-/])[2-9]\d\d \d{3} \d{4}(?!\w|
 # Nine or ten digits without a code: 217 5551234 and 912 345 678.
 PLAIN_PHONE = re.compile(r"(?<![\w.+])(?<!\d[ .\-/])(?:([2-9]\d\d[ .-]\d{7})|[6-9]\d\d \d{3} \d{3})(?!\w|[ .\-/]\d)")
 # Any number after a word that announces a phone; its digits are counted.
-CUED_PHONE = re.compile(
+NUMBER = re.compile(r"\d+(?:[ .\-/()]{1,2}\d+)*(?!\w)")
+PHONE_CUE = re.compile(
     r"(?i)(?<!\w)(?:tel|telephone|phone|mobile|cell|call|fax|whatsapp|telefon|handy|mobil|rufnummer|téléphone|portable|"
-    r"teléfono|móvil|тел|телефон|τηλ|τηλέφωνο)(?!\w)[^\w\n+]{0,4}(?:(?:number|nummer|me|at|is|ist|no|nr)(?!\w)[^\w\n+]{1,3}){0,2}"
-    r"\(?(\d+(?:[ .\-/()]{1,2}\d+)*)(?!\w)"
+    r"teléfono|móvil|тел|телефон|τηλ|τηλέφωνο)(?!\w)[^\w\n+]{0,4}(?:(?:number|nummer|me|at|is|ist|no|nr)(?!\w)[^\w\n+]{1,3}){0,2}$"
 )
+CUE_CHARACTERS = 48  # more than a cue and what stands behind it
 CUED_DIGITS = (7, 12)
 # A national number that begins with the trunk digit 0, one separator throughout.
 TRUNK_PHONE = re.compile(
@@ -61,6 +62,8 @@ NATIONAL_DIGITS = {
 }
 IP = re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)")
 IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])")
+# Both have one of these.
+GROUPED = re.compile(r"[:-](?:[0-9A-Fa-f]{1,4}[:-]|:)")
 MAC = re.compile(r"(?<![\w:-])[0-9A-Fa-f]{2}([:-])[0-9A-Fa-f]{2}(?:\1[0-9A-Fa-f]{2}){4}(?![\w:-])")
 # What stands before four numbers that are a version and not an address.
 VERSION = re.compile(r"(?i)(?<!\w)(?:version|release|firmware|build|ver|rev|v)[ .:=]*$")
@@ -75,6 +78,7 @@ TOKEN = re.compile(
     r"|(?:gh[pousr]_|github_pat_|glpat-|xox[abprs]-|sk_live_|sk_test_|sk-|hf_|AIza)([A-Za-z0-9_-]{20,})"
     r"|Bearer[ ]+([A-Za-z0-9._~+/-]{16,}))"
 )
+TOKEN_STARTS = "AKIA ASIA ghp_ gho_ ghu_ ghs_ ghr_ github_pat_ glpat- xox sk_live_ sk_test_ sk- hf_ AIza Bearer".split()
 PASSWORD = re.compile(
     r"(?i)(?<!\w)(?:password|passwd|pwd|passphrase|passwort|kennwort|mot de passe|contraseña|пароль|κωδικός)"
     r"[\"']?\s?[=:]\s?[\"']?([^\s\"'<>,;]{6,64})"
@@ -84,10 +88,11 @@ TITLES = {
     "f": "Mrs Ms Miss Frau Madame Mme Señora Sra Госпожа г-жа Κυρία".split(),
     "x": "Dr Prof".split(),
 }
-NAME = r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))*"
-TITLE = re.compile(
-    rf"(?<!\w)({'|'.join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))})\.?(?=[  ])"
-)
+NAME_REST = r"(?:[^\W\d_]|['’-](?=[^\W\d_]))*"
+NAME = rf"[^\W\d_]{NAME_REST}"
+# Patterns that begin with a set of letters are searched for fastest; a title is any such word of GENDER.
+TITLE_STARTS = "".join(sorted({t[0] for ts in TITLES.values() for t in ts}))
+TITLE = re.compile(rf"([{TITLE_STARTS}](?<!\w.)(?:-[^\W\d_]+|[^\W\d_]*))\.?(?=[  ])")
 PARTICLES = "von van der den de del della di da dos du la le zu zum zur ter ten".split()
 # Initials and particles stay; the name after them counts.
 NEXT_NAME = re.compile(rf"(?:[^\W\d_]\.[  ]?)*(?:(?:{'|'.join(PARTICLES)})[  ])*({NAME})")
@@ -112,12 +117,13 @@ GIVEN_NAMES = {
 }
 GIVEN = {n: g for g, names in GIVEN_NAMES.items() for n in names}
 CAPITAL = "[A-ZÀ-ÖØ-ÞΆ-ΫА-Я]"
-TWO_CAPITALS = re.compile(rf"(?<!\w){NAME}(?=[ \u00a0]{CAPITAL})")
+TWO_CAPITALS = re.compile(rf"{CAPITAL}(?<!\w.){NAME_REST}(?=[  ]{CAPITAL})")
 # What a person says before the own name.
 OWN_NAME = re.compile(
     r"(?<!\w)(?i:my name is|i am called|mein name ist|ich hei(?:ß|ss)e|je m['’]appelle|mon nom est|me llamo|mi nombre es|"
     r"меня зовут|με λένε)[ \u00a0](?=" + CAPITAL + ")"
 )
+OWN_WORDS = "name is|i am called|name ist|ich hei|appelle|nom est|me llamo|nombre es|зовут|λένε".split("|")
 # Names that are words too: alone they are not taken for the person named before.
 WORDS_TOO = frozenset(
     (
@@ -221,11 +227,13 @@ def _phones(text: str) -> Iterator[Mention]:
         digits = _digits(m[0])
         if TRUNK_DIGITS[0] <= len(digits) <= TRUNK_DIGITS[1] and digits.lstrip("0"):
             yield Mention(*m.span(), "phone", _phone_name("", digits.lstrip("0")))
-    for m in CUED_PHONE.finditer(text):
-        digits = _digits(m[1])
-        if CUED_DIGITS[0] <= len(digits) <= CUED_DIGITS[1] and digits.lstrip("0"):
+    for m in NUMBER.finditer(text):
+        digits = _digits(m[0])
+        if not CUED_DIGITS[0] <= len(digits) <= CUED_DIGITS[1] or not digits.lstrip("0"):
+            continue
+        if PHONE_CUE.search(text[max(m.start() - CUE_CHARACTERS, 0) : m.start()]):
             code = "1" if len(digits) == 10 and digits[0] in "23456789" else ""
-            yield Mention(*m.span(1), "phone", _phone_name(code, digits if code else digits.lstrip("0")))
+            yield Mention(*m.span(), "phone", _phone_name(code, digits if code else digits.lstrip("0")))
 
 
 def _name_at(match: re.Match, group: int = 0) -> tuple[int, int, str]:
@@ -252,8 +260,10 @@ def _names_from(text: str, at: int) -> list[tuple[int, int, str]]:
 def _introduced(text: str) -> Iterator[tuple[str, list[tuple[int, int, str]]]]:
     """Gender and names: after a title, after "my name is", and from a common given name on."""
     for title in TITLE.finditer(text):
-        yield GENDER[title[1]], _names_from(text, title.end() + 1)
-    for own in OWN_NAME.finditer(text):
+        if title[1] in GENDER:
+            yield GENDER[title[1]], _names_from(text, title.end() + 1)
+    lower = text.lower()
+    for own in OWN_NAME.finditer(text) if any(words in lower for words in OWN_WORDS) else ():
         names = _names_from(text, own.end())
         yield GIVEN.get(text[names[0][0] : names[0][1]], "x") if names else "x", names
     for first in TWO_CAPITALS.finditer(text):
@@ -299,6 +309,8 @@ def _numbers(text: str) -> Iterator[Mention]:
 
 def _addresses(text: str) -> Iterator[Mention]:
     """Network addresses with colons or hyphens; IPv6 in the form of its surrogates."""
+    if not GROUPED.search(text):
+        return
     for m in IPV6.finditer(text):
         if len(re.findall(r"\w+", m[0])) >= 3 and re.search(r"\d", m[0]):
             try:
@@ -311,15 +323,16 @@ def _addresses(text: str) -> Iterator[Mention]:
 
 
 def _secrets(text: str) -> Iterator[Mention]:
-    for m in PASSWORD.finditer(text):
+    assigned = "=" in text or ":" in text
+    for m in PASSWORD.finditer(text) if assigned else ():
         value = m[1].rstrip(".)]}")
         if len(value) >= 6 and re.search(r"\d", value) and re.search(r"[^\W\d_]", value) and not TOKEN.match(value):
             yield Mention(m.start(1), m.start(1) + len(value), "secret", value)
-    for m in TOKEN.finditer(text):
+    for m in TOKEN.finditer(text) if any(start in text for start in TOKEN_STARTS) else ():
         if m[1] or re.search(r"\d", m[m.lastindex]):
             value = m[m.lastindex].rstrip(".")
             yield Mention(m.start(m.lastindex), m.start(m.lastindex) + len(value), "secret", value)
-    for m in SECRET.finditer(text):
+    for m in SECRET.finditer(text) if assigned else ():
         if not TOKEN.match(m[1]):
             yield Mention(*m.span(1), "secret", m[1])
 
