@@ -1,15 +1,19 @@
 """Stores changed by key: folders, tables, appended users; and content that is verified."""
 
+import os
 import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from ferry.fixed_values import LEDGER_CONTAINER
 from ferry.operators import verification as check
 from ferry.plans.transfer import Stores, TransferError
 from ferry.sources import keyed, objects, tables
 from ferry.sources.endpoint import Endpoint
+from ferry.sources.scratch import materialize
+from suite.queries import _with_changed_files
 from tests.helpers import derby, rows
 
 LEDGER = "db string, test_version double, created_at timestamp_ntz, updated_at timestamp_ntz, rid bigint"
@@ -64,6 +68,33 @@ def test_bump_touches_only_folders_of_the_keys(spark, folder):
     )
 
 
+def test_files_of_folders_by_key_are_listed_once(spark, folder, tmp_path):
+    names = [r["name"] for r in objects.inventory(spark, folder[1]).collect()]
+    there = [p for p in (tmp_path / "s" / "l").rglob("*") if p.is_file() and not p.name.endswith(".crc")]
+    assert sorted(n.rsplit("/", 1)[1] for n in names) == sorted(p.name for p in there)
+    assert "_layout.json" in {n.rsplit("/", 1)[1] for n in names}
+
+
+def test_changed_files_are_counted_without_markers(spark, tmp_path):
+    stores = Stores(spark, [Endpoint("postgresql", "parquet", str(tmp_path / "s"))])
+    stores.write(some(spark), "postgresql", LEDGER_CONTAINER)
+    stores.key_ledger("postgresql", buckets=8)
+    path = stores.endpoint("postgresql").path(LEDGER_CONTAINER)
+    before = materialize(objects.inventory(spark, path), "listed")
+    keys = keys_df(spark, "k3")
+
+    def seen():
+        got = _with_changed_files(spark, stores, keys, path, before)
+        return {tuple(r) for r in got.select("changed_elsewhere", "some_elsewhere").collect()}
+
+    stores.bump_versions("postgresql", keys, as_of=T[7], tie_break="rid")
+    assert seen() == {(0, True)}
+    moved = keyed.touched(keys, keyed.keyed_layout(spark, path))
+    other = next(p for p in sorted(tmp_path.rglob("part-*")) if f"_bucket={moved[0]}" not in p.parts)
+    os.utime(other, (1_600_000_000, 1_600_000_000))
+    assert seen() == {(1, True)}
+
+
 def test_other_calls_keep_the_ledger_keyed(spark, folder):
     stores, path = folder
     before = files(spark, path)
