@@ -13,7 +13,7 @@ from ferry.plans.transfer import Stores, TransferError
 from ferry.sources import keyed, objects, tables
 from ferry.sources.endpoint import Endpoint
 from ferry.sources.scratch import materialize
-from suite.queries import _with_changed_files
+from suite.queries import _with_changed_files, all_queries
 from tests.helpers import derby, rows
 
 LEDGER = "db string, test_version double, created_at timestamp_ntz, updated_at timestamp_ntz, rid bigint"
@@ -95,6 +95,19 @@ def test_changed_files_are_counted_without_markers(spark, tmp_path):
     assert seen() == {(1, True)}
 
 
+def test_many_moved_keys_leave_folders_alone(spark, tmp_path):
+    n = F.col("id")
+    spark.range(0, 80_000, 10).select(
+        n.alias("event_id"), F.lit(T[0]).cast("timestamp_ntz").alias("ts"), n.alias("user_id"),
+        F.lit("view").alias("event_type"), F.lit(12.0).alias("value"),
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(5).select(n.alias("r_regionkey")).write.parquet(str(tmp_path / "region.parquet"))
+    got = all_queries()["ledger_bump_store"](spark, str(tmp_path))
+    found = {tuple(r) for r in got.select("changed_elsewhere", "some_elsewhere").distinct().collect()}
+    assert found == {(0, True)}
+    assert got.count() == 8005 and got.where("test_version = 1.3").count() > 400
+
+
 def test_other_calls_keep_the_ledger_keyed(spark, folder):
     stores, path = folder
     before = files(spark, path)
